@@ -16,6 +16,9 @@ from ..sources import ingest as IN
 from ..sources.tables import sql_over_parquet
 from ..operators import flows as FL
 from ..operators import quality as QA
+from ..operators import relations as RL
+from ..operators import ego as EG
+from ..operators import risk as RK
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 DIGITS: dict[str, dict[str, int]] = {}
@@ -119,4 +122,128 @@ def q_monthly_agg(ctx: Context):
 @query("period_options")
 def q_period_options(ctx: Context):
     return FL.company_months(ctx.f)
-FLAGSHIP = "monthly_flows"
+
+
+# ---------------------------------------------------------------- relations
+REL_DIGITS = {**money("valor"), **ratio("share", "freq_mensal", "score")}
+
+
+def _importance(ctx: Context):
+    return ctx._get("importance", lambda: RL.relation_importance(ctx.edges, 12))
+
+
+@query("relation_importance", REL_DIGITS)
+def q_relation_importance(ctx: Context):
+    return _importance(ctx)
+
+
+@query("top_relations", REL_DIGITS)
+def q_top_relations(ctx: Context):
+    return RL.top_relations(_importance(ctx), ctx.base1, 10)
+
+
+@query("concentration_hhi", ratio("hhi_in", "hhi_out"))
+def q_concentration_hhi(ctx: Context):
+    return RL.concentration_hhi(_importance(ctx))
+
+
+@query("ego_edges_by_month", money("valor"))
+def q_ego_edges_by_month(ctx: Context):
+    return RL.ego_edges_by_month(ctx.edges, None, "both", 15)
+
+
+def _ego(ctx: Context):
+    return ctx._get("ego", lambda: RL.ego_edges(ctx.edges, None, 3, "both", 25, ["TODOS"]))
+
+
+def _ego_nodes(ctx: Context):
+    return ctx._get("ego_nodes", lambda: EG.ego_nodes(_ego(ctx)))
+
+
+@query("ego_network", money("weight"))
+def q_ego_network(ctx: Context):
+    return _ego(ctx)
+
+
+@query("ego_network_pix_ted", money("weight"))
+def q_ego_network_channels(ctx: Context):
+    """Same ego networks restricted to two channels and outgoing edges."""
+    return RL.ego_edges(ctx.edges, None, 3, "out", 25, ["PIX", "TED"])
+
+
+@query("ego_nodes", {**money("in_w", "out_w", "strength"), **ratio("pagerank", "betweenness")})
+def q_ego_nodes(ctx: Context):
+    return _ego_nodes(ctx)
+
+
+@query("ego_summary", ratio("density"))
+def q_ego_summary(ctx: Context):
+    return EG.ego_summary(_ego(ctx), ctx.base1)
+
+
+@query("network_scaled", {**money("value"), **ratio("scaled")})
+def q_network_scaled(ctx: Context):
+    return EG.network_scaled(_ego(ctx), _ego_nodes(ctx))
+
+
+@query("critical_relationship", money("valor"))
+def q_critical_relationship(ctx: Context):
+    return EG.critical_relationship(_ego(ctx))
+
+
+@query("relationships_table", money("weight"))
+def q_relationships_table(ctx: Context):
+    return EG.relationships_table(_ego(ctx), 15)
+
+
+@query("network_resilience", ratio("resilience_score", "redundancy", "connectivity", "clustering",
+                                   "degree_centrality"))
+def q_network_resilience(ctx: Context):
+    return EG.network_resilience(_ego_nodes(ctx), ctx.base1)
+
+
+# ---------------------------------------------------------------- risk
+def _pairs(ctx: Context):
+    return ctx._get("pairs", lambda: RK.pair_volumes(ctx.edges))
+
+
+def _impact(ctx: Context):
+    return ctx._get("impact", lambda: RK.counterparty_loss_impact(_pairs(ctx)))
+
+
+def _scenarios(ctx: Context):
+    return ctx._get("scenarios", lambda: RK.risk_scenarios(_impact(ctx)))
+
+
+@query("concentration_metrics", {**ratio("hhi", "top_partner_share", "top_3_share"), **money("total_volume")})
+def q_concentration_metrics(ctx: Context):
+    return RK.concentration_metrics(_pairs(ctx), ctx.base1)
+
+
+@query("counterparty_loss_impact", {**ratio("impact_receita_pct", "impact_pagamentos_pct", "impact_total_pct"),
+                                    **money("volume_at_risk_in", "volume_at_risk_out")})
+def q_counterparty_loss_impact(ctx: Context):
+    return _impact(ctx)
+
+
+@query("risk_scenarios", {"impact_percentage": 4})
+def q_risk_scenarios(ctx: Context):
+    return _scenarios(ctx)
+
+
+@query("partner_risk_score", {**money("avg_transaction_volume"), **ratio("risk_score")})
+def q_partner_risk_score(ctx: Context):
+    return RK.node_profile(ctx.edges)
+
+
+@query("diversification_targets", {**money("avg_transaction_volume"), **ratio("risk_score")})
+def q_diversification_targets(ctx: Context):
+    return RK.diversification_targets(ctx.edges, 5)
+
+
+@query("risk_report", {**ratio("hhi_in", "hhi_out"), "overall_risk_score": 4})
+def q_risk_report(ctx: Context):
+    return RK.risk_report(_pairs(ctx), _scenarios(ctx), ctx.base1, 6)
+
+
+FLAGSHIP = "risk_report"

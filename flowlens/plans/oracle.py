@@ -152,6 +152,278 @@ _reg("period_options", """
     FROM (SELECT DISTINCT ID, year_month FROM fem WHERE year_month IS NOT NULL) d""")
 
 
+# ------------------------------------------------------------ relations
+CTES += [
+    ("lastm", "SELECT max(DT_REFE) AS m FROM base2"),
+    ("rleg", """
+        SELECT ID_RCBE AS company_id, ID_PGTO AS counterparty, 'in' AS direction, DT_REFE, VL FROM base2
+        WHERE DT_REFE >= (SELECT m FROM lastm) - INTERVAL 11 MONTH AND DT_REFE <= (SELECT m FROM lastm)
+        UNION ALL
+        SELECT ID_PGTO, ID_RCBE, 'out', DT_REFE, VL FROM base2
+        WHERE DT_REFE >= (SELECT m FROM lastm) - INTERVAL 11 MONTH AND DT_REFE <= (SELECT m FROM lastm)"""),
+    ("rimp", """
+        SELECT p.counterparty, p.valor, p.meses, p.valor / c.tot AS share,
+               p.meses / greatest(1, c.nm) AS freq_mensal,
+               0.6 * (p.valor / c.tot) + 0.4 * (p.meses / greatest(1, c.nm)) AS score,
+               p.company_id, p.direction
+        FROM (SELECT company_id, direction, counterparty, sum(VL) AS valor, count(DISTINCT DT_REFE) AS meses
+              FROM rleg GROUP BY 1, 2, 3) p
+        JOIN (SELECT company_id, direction, sum(VL) AS tot, count(DISTINCT DT_REFE) AS nm
+              FROM rleg GROUP BY 1, 2) c
+          ON p.company_id = c.company_id AND p.direction = c.direction"""),
+    # ego networks: last 3 months, both directions, all channels, top 25 per ego
+    ("ewin", """
+        SELECT ID_PGTO AS src, ID_RCBE AS dst, sum(VL) AS weight FROM base2
+        WHERE DT_REFE >= (SELECT m FROM lastm) - INTERVAL 2 MONTH AND DT_REFE <= (SELECT m FROM lastm)
+        GROUP BY 1, 2"""),
+    ("egoe", """
+        SELECT ego, src, dst, weight, edge_rank FROM (
+          SELECT ego, src, dst, weight,
+                 row_number() OVER (PARTITION BY ego ORDER BY weight DESC, src, dst) AS edge_rank
+          FROM (SELECT dst AS ego, src, dst, weight FROM ewin
+                UNION ALL SELECT src AS ego, src, dst, weight FROM ewin WHERE src <> dst) u) r
+        WHERE edge_rank <= 25"""),
+    ("enodes0", """
+        SELECT ego, node_id, sum(in_w) AS in_w, sum(out_w) AS out_w,
+               max(pays) AS p, max(paid) AS r
+        FROM (SELECT ego, src AS node_id, 0.0 AS in_w, weight AS out_w,
+                     CASE WHEN dst = ego THEN 1 ELSE 0 END AS pays, 0 AS paid FROM egoe
+              UNION ALL
+              SELECT ego, dst, weight, 0.0, 0, CASE WHEN src = ego THEN 1 ELSE 0 END FROM egoe) x
+        GROUP BY 1, 2"""),
+    ("enodes", """
+        SELECT n.ego, n.node_id,
+               CASE WHEN n.node_id = n.ego THEN 'ego' WHEN n.p = 1 THEN 'payer_to_ego'
+                    WHEN n.r = 1 THEN 'receiver_from_ego' ELSE 'neighbor' END AS role,
+               n.in_w, n.out_w, n.in_w + n.out_w AS strength,
+               1.0 / g.nn AS pagerank,
+               CASE WHEN n.node_id = n.ego AND g.nn > 2
+                    THEN CAST(g.np * g.nr - g.nb AS DOUBLE) / CAST((g.nn - 1) * (g.nn - 2) AS DOUBLE)
+                    ELSE 0.0 END AS betweenness
+        FROM enodes0 n JOIN (
+          SELECT ego, count(*) AS nn,
+                 sum(CASE WHEN node_id <> ego THEN p ELSE 0 END) AS np,
+                 sum(CASE WHEN node_id <> ego THEN r ELSE 0 END) AS nr,
+                 sum(CASE WHEN node_id <> ego THEN p * r ELSE 0 END) AS nb
+          FROM enodes0 GROUP BY ego) g ON n.ego = g.ego"""),
+    ("companies", "SELECT DISTINCT ID FROM base1"),
+]
+
+_reg("relation_importance", "SELECT * FROM rimp")
+_reg("top_relations", """
+    SELECT * FROM (
+      SELECT *, row_number() OVER (PARTITION BY company_id, direction ORDER BY score DESC, counterparty) AS rank
+      FROM rimp) t
+    WHERE rank <= 10 AND company_id IN (SELECT ID FROM companies)""")
+_reg("concentration_hhi", """
+    SELECT company_id,
+           sum(CASE WHEN direction = 'in' THEN share * share END) AS hhi_in,
+           sum(CASE WHEN direction = 'out' THEN share * share END) AS hhi_out
+    FROM rimp GROUP BY company_id""")
+_reg("ego_edges_by_month", """
+    SELECT ego, src, dst, valor, edge_rank FROM (
+      SELECT ego, src, dst, valor, row_number() OVER (PARTITION BY ego ORDER BY valor DESC, src, dst) AS edge_rank
+      FROM (SELECT dst AS ego, src, dst, valor FROM m1 UNION ALL SELECT src, src, dst, valor FROM m1) u) r
+    WHERE edge_rank <= 15""",
+     [("m1", "SELECT ID_PGTO AS src, ID_RCBE AS dst, sum(VL) AS valor FROM base2 "
+             "WHERE DT_REFE = (SELECT m FROM lastm) GROUP BY 1, 2")])
+_reg("ego_network", "SELECT * FROM egoe")
+_reg("ego_network_pix_ted", """
+    SELECT ego, src, dst, weight, edge_rank FROM (
+      SELECT src AS ego, src, dst, weight,
+             row_number() OVER (PARTITION BY src ORDER BY weight DESC, src, dst) AS edge_rank
+      FROM (SELECT ID_PGTO AS src, ID_RCBE AS dst, sum(VL) AS weight FROM base2
+            WHERE DT_REFE >= (SELECT m FROM lastm) - INTERVAL 2 MONTH AND DT_REFE <= (SELECT m FROM lastm)
+              AND DS_TRAN IN ('PIX', 'TED')
+            GROUP BY 1, 2) w) r
+    WHERE edge_rank <= 25""")
+_reg("ego_nodes", "SELECT * FROM enodes")
+_reg("ego_summary", """
+    SELECT c.ID AS ego, CAST(coalesce(nn, 0) AS BIGINT) AS n_nodes, CAST(coalesce(ne, 0) AS BIGINT) AS n_edges,
+           CAST(coalesce(ne, 0) AS DOUBLE) / CAST(CASE WHEN coalesce(nn, 0) > 1 THEN nn * (nn - 1) ELSE 1 END AS DOUBLE)
+             AS density
+    FROM companies c
+    LEFT JOIN (SELECT ego, count(DISTINCT node) AS nn FROM
+                 (SELECT ego, src AS node FROM egoe UNION ALL SELECT ego, dst FROM egoe) x GROUP BY ego) a
+      ON a.ego = c.ID
+    LEFT JOIN (SELECT ego, count(*) AS ne FROM egoe GROUP BY ego) b ON b.ego = c.ID""")
+_reg("network_scaled", """
+    SELECT ego, 'node' AS element, node_id, CAST(NULL AS VARCHAR) AS src, CAST(NULL AS VARCHAR) AS dst,
+           strength AS value,
+           CASE WHEN max(strength) OVER (PARTITION BY ego) <= min(strength) OVER (PARTITION BY ego) THEN 55.0
+                ELSE 30.0 + (strength - min(strength) OVER (PARTITION BY ego))
+                     / (max(strength) OVER (PARTITION BY ego) - min(strength) OVER (PARTITION BY ego)) * 50.0 END
+             AS scaled,
+           role AS kind, false AS most_important
+    FROM enodes
+    UNION ALL
+    SELECT ego, 'edge', NULL, src, dst, weight,
+           CASE WHEN max(weight) OVER (PARTITION BY ego) <= min(weight) OVER (PARTITION BY ego) THEN 4.0
+                ELSE 2.0 + (weight - min(weight) OVER (PARTITION BY ego))
+                     / (max(weight) OVER (PARTITION BY ego) - min(weight) OVER (PARTITION BY ego)) * 6.0 END,
+           CASE WHEN src = ego THEN 'out' ELSE 'in' END,
+           edge_rank = 1
+    FROM egoe""")
+_reg("critical_relationship", """
+    SELECT ego, CASE WHEN src = ego THEN 'pays' ELSE 'receives' END AS direction,
+           CASE WHEN src = ego THEN dst ELSE src END AS partner, weight AS valor
+    FROM egoe WHERE edge_rank = 1""")
+_reg("relationships_table", """
+    SELECT e.ego, e.edge_rank AS position, CASE WHEN src = e.ego THEN 'out' ELSE 'in' END AS direction,
+           CASE WHEN src = e.ego THEN dst ELSE src END AS partner, weight, weight > q.p80 AS high_risk
+    FROM egoe e JOIN (SELECT ego, quantile_cont(weight, 0.8) AS p80 FROM egoe GROUP BY ego) q ON e.ego = q.ego
+    WHERE e.edge_rank <= 15""")
+_reg("network_resilience", """
+    SELECT c.ID AS ego,
+           coalesce(0.3 * conn + 0.3 * red + 0.2 * (1.0 - cent) + 0.2 * 0.0, 0.0)::DOUBLE AS resilience_score,
+           coalesce(red, 0.0)::DOUBLE AS redundancy, coalesce(conn, 0.0)::DOUBLE AS connectivity, 0.0::DOUBLE AS clustering,
+           coalesce(cent, 0.0)::DOUBLE AS degree_centrality
+    FROM companies c LEFT JOIN (
+      SELECT ego,
+             CASE WHEN n >= 2 THEN 1.0 ELSE 0.0 END AS conn,
+             CASE WHEN n > 1 THEN least(1.0, CAST(r AS DOUBLE) / CAST(n - 1 AS DOUBLE)) ELSE 0.0 END AS red,
+             CASE WHEN n > 1 THEN CAST(p + r AS DOUBLE) / CAST(n - 1 AS DOUBLE) ELSE 1.0 END AS cent
+      FROM (SELECT ego, count(*) AS n,
+                   sum(CASE WHEN node_id <> ego AND in_w > 0 THEN 1 ELSE 0 END) AS r,
+                   sum(CASE WHEN node_id <> ego AND out_w > 0 THEN 1 ELSE 0 END) AS p
+            FROM enodes GROUP BY ego) g) x ON x.ego = c.ID""")
+
+# ------------------------------------------------------------ risk
+CTES += [
+    ("pairs", "SELECT ID_PGTO AS src, ID_RCBE AS dst, sum(VL) AS v, count(*) AS n FROM base2 GROUP BY 1, 2"),
+    ("pf", """
+        SELECT company_id, partner_id, sum(vin) AS vin, sum(vout) AS vout FROM (
+          SELECT dst AS company_id, src AS partner_id, v AS vin, 0.0 AS vout FROM pairs
+          UNION ALL SELECT src, dst, 0.0, v FROM pairs) x GROUP BY 1, 2"""),
+    ("cleg", """
+        SELECT company_id, partner_id, 'in' AS direction, vin AS v FROM pf WHERE vin > 0
+        UNION ALL SELECT company_id, partner_id, 'out', vout FROM pf WHERE vout > 0
+        UNION ALL SELECT company_id, partner_id, 'both', vin + vout FROM pf"""),
+    ("cmet", """
+        SELECT g.company_id, g.direction,
+               CASE WHEN t.tot <> 0 THEN t.sq / (t.tot * t.tot) ELSE 0.0 END AS hhi,
+               CASE WHEN t.tot <> 0 THEN t.top / t.tot ELSE 0.0 END AS top_partner_share,
+               CASE WHEN t.tot <> 0 THEN t.top3 / t.tot ELSE 0.0 END AS top_3_share,
+               CAST(CASE WHEN t.tot <> 0 THEN t.np ELSE 0 END AS BIGINT) AS num_partners,
+               CASE WHEN t.tot <> 0 THEN t.tot ELSE 0.0 END AS total_volume,
+               CASE WHEN t.tot IS NULL OR t.tot = 0 THEN 'BAIXO'
+                    WHEN t.top / t.tot > 0.5 THEN 'CRÍTICO'
+                    WHEN t.top3 / t.tot > 0.8 THEN 'ALTO'
+                    WHEN t.top3 / t.tot > 0.6 THEN 'MÉDIO' ELSE 'BAIXO' END AS concentration_risk
+        FROM (SELECT ID AS company_id, d AS direction FROM companies, (VALUES ('in'), ('out'), ('both')) v(d)) g
+        LEFT JOIN (
+          SELECT company_id, direction, sum(v) AS tot, sum(v * v) AS sq, max(v) AS top, count(*) AS np,
+                 sum(CASE WHEN rk <= 3 THEN v END) AS top3
+          FROM (SELECT *, row_number() OVER (PARTITION BY company_id, direction ORDER BY v DESC, partner_id) AS rk
+                FROM cleg) r
+          GROUP BY 1, 2) t ON g.company_id = t.company_id AND g.direction = t.direction"""),
+    ("imp", """
+        SELECT pf.company_id, partner_id,
+               CASE WHEN tin > 0 THEN vin / tin ELSE 0.0 END AS impact_receita_pct,
+               CASE WHEN tout > 0 THEN vout / tout ELSE 0.0 END AS impact_pagamentos_pct,
+               greatest(CASE WHEN tin > 0 THEN vin / tin ELSE 0.0 END,
+                        CASE WHEN tout > 0 THEN vout / tout ELSE 0.0 END) AS impact_total_pct,
+               vin AS volume_at_risk_in, vout AS volume_at_risk_out
+        FROM pf JOIN (SELECT company_id, sum(vin) AS tin, sum(vout) AS tout FROM pf GROUP BY 1) t
+          ON pf.company_id = t.company_id"""),
+    ("payers3", """
+        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY company_id
+                                                    ORDER BY volume_at_risk_in DESC, partner_id) AS rk
+                       FROM imp WHERE volume_at_risk_in > 0) x WHERE rk <= 3"""),
+    ("payees3", """
+        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY company_id
+                                                    ORDER BY volume_at_risk_out DESC, partner_id) AS rk
+                       FROM imp WHERE volume_at_risk_out > 0) x WHERE rk <= 3"""),
+    ("scen", """
+        SELECT company_id, 'top_payer_loss' AS scenario, partner_id AS affected_companies,
+               impact_receita_pct * 100 AS impact_percentage,
+               CASE WHEN impact_receita_pct > 0.5 THEN 'CRÍTICO' WHEN impact_receita_pct > 0.3 THEN 'ALTO'
+                    WHEN impact_receita_pct > 0.15 THEN 'MÉDIO' ELSE 'BAIXO' END AS risk_level
+        FROM payers3 WHERE rk = 1
+        UNION ALL
+        SELECT company_id, 'top_payee_loss', partner_id, impact_pagamentos_pct * 100,
+               CASE WHEN impact_pagamentos_pct > 0.5 THEN 'CRÍTICO' WHEN impact_pagamentos_pct > 0.3 THEN 'ALTO'
+                    WHEN impact_pagamentos_pct > 0.15 THEN 'MÉDIO' ELSE 'BAIXO' END
+        FROM payees3 WHERE rk = 1
+        UNION ALL
+        SELECT company_id, 'top_partners_joint_loss', string_agg(partner_id, ',' ORDER BY rk2),
+               least(100.0, sum(impact_total_pct) * 100),
+               CASE WHEN sum(impact_total_pct) > 0.5 THEN 'CRÍTICO' WHEN sum(impact_total_pct) > 0.3 THEN 'ALTO'
+                    WHEN sum(impact_total_pct) > 0.15 THEN 'MÉDIO' ELSE 'BAIXO' END
+        FROM (SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY impact_total_pct DESC, partner_id) AS rk2,
+                     count(*) OVER (PARTITION BY company_id) AS nu
+              FROM (SELECT DISTINCT company_id, partner_id, impact_total_pct FROM payers3
+                    UNION SELECT company_id, partner_id, impact_total_pct FROM payees3) u) z
+        WHERE nu >= 2 AND rk2 <= 3
+        GROUP BY company_id"""),
+    ("touch", """
+        SELECT ID_PGTO AS node, ID_PGTO, ID_RCBE, DT_REFE, VL FROM base2
+        UNION ALL SELECT ID_RCBE, ID_PGTO, ID_RCBE, DT_REFE, VL FROM base2 WHERE ID_RCBE <> ID_PGTO"""),
+    ("nprof", """
+        SELECT s.node AS partner_id, s.n_payments, s.total / s.n_payments AS avg_transaction_volume,
+               c.np AS diversification_level,
+               CASE WHEN s.n_payments < 2 THEN 0.8
+                    ELSE least(1.0, coalesce(least(0.5, m.sd / (m.mu + 1e-6) / 10), 0.5)
+                                    + 0.3 * CASE WHEN c.tot <> 0 THEN c.top / c.tot ELSE 0.0 END
+                                    + 0.2 / CAST(greatest(1, CASE WHEN c.tot <> 0 THEN c.np ELSE 0 END) AS DOUBLE))
+               END AS risk_score,
+               CASE WHEN s.total / s.n_payments > 50000 AND c.np > 10 THEN 'high_volume_well_diversified'
+                    WHEN s.total / s.n_payments > 100000 THEN 'high_volume_potential'
+                    WHEN c.np > 15 THEN 'well_connected' ELSE 'diversification_opportunity' END
+                 AS recommendation_reason
+        FROM (SELECT node, count(*) AS n_payments, sum(VL) AS total FROM touch GROUP BY node) s
+        JOIN (SELECT node, stddev_samp(mv) AS sd, avg(mv) AS mu
+              FROM (SELECT node, DT_REFE, sum(VL) AS mv FROM touch GROUP BY 1, 2) mm GROUP BY node) m
+          ON m.node = s.node
+        JOIN (SELECT company_id, count(*) AS np, max(vin + vout) AS top, sum(vin + vout) AS tot
+              FROM pf GROUP BY company_id) c ON c.company_id = s.node"""),
+    ("adj", """
+        SELECT DISTINCT a, b FROM (SELECT ID_PGTO AS a, ID_RCBE AS b FROM base2
+                                   UNION ALL SELECT ID_RCBE, ID_PGTO FROM base2) x WHERE a <> b"""),
+]
+
+_reg("concentration_metrics", "SELECT * FROM cmet")
+_reg("counterparty_loss_impact", """
+    SELECT company_id, partner_id, impact_receita_pct, impact_pagamentos_pct, impact_total_pct,
+           CASE WHEN impact_total_pct > 0.5 THEN 'CATASTRÓFICO' WHEN impact_total_pct > 0.3 THEN 'SEVERO'
+                WHEN impact_total_pct > 0.15 THEN 'MODERADO' ELSE 'LEVE' END AS severity,
+           CASE WHEN impact_total_pct > 0.5 THEN '12+ meses' WHEN impact_total_pct > 0.3 THEN '6-12 meses'
+                WHEN impact_total_pct > 0.15 THEN '3-6 meses' ELSE '1-3 meses' END AS recovery_time_estimate,
+           volume_at_risk_in, volume_at_risk_out
+    FROM imp""")
+_reg("risk_scenarios", "SELECT * FROM scen")
+_reg("partner_risk_score", "SELECT * FROM nprof")
+_reg("diversification_targets", """
+    SELECT company_id, CAST(rank AS BIGINT) AS rank, partner_id, avg_transaction_volume, diversification_level,
+           risk_score, recommendation_reason
+    FROM (SELECT c AS company_id, q AS partner_id, n.*,
+                 row_number() OVER (PARTITION BY c ORDER BY n.risk_score, n.avg_transaction_volume DESC, q) AS rank
+          FROM (SELECT DISTINCT m.a AS c, x.b AS q FROM adj m JOIN adj x ON x.a = m.b
+                WHERE x.b <> m.a AND NOT EXISTS (SELECT 1 FROM adj y WHERE y.a = m.a AND y.b = x.b)) cq
+          JOIN nprof n ON n.partner_id = cq.q) r
+    WHERE rank <= 5""")
+_reg("risk_report", """
+    SELECT c.ID AS company_id, 6 AS period_months, i.hhi AS hhi_in, o.hhi AS hhi_out,
+           i.concentration_risk AS risk_in, o.concentration_risk AS risk_out,
+           CAST(coalesce(s.nh, 0) AS BIGINT) AS n_high_scenarios,
+           CAST(coalesce(p.np, 0) AS BIGINT) AS current_partners_count,
+           least(100.0, i.hhi * 30 + o.hhi * 30 + coalesce(s.nh, 0) * 10
+                        + 30.0 / CAST(greatest(1, coalesce(p.np, 0)) AS DOUBLE)) AS overall_risk_score,
+           CASE WHEN i.hhi * 30 + o.hhi * 30 + coalesce(s.nh, 0) * 10
+                     + 30.0 / CAST(greatest(1, coalesce(p.np, 0)) AS DOUBLE) > 70 THEN 'CRÍTICO'
+                WHEN i.hhi * 30 + o.hhi * 30 + coalesce(s.nh, 0) * 10
+                     + 30.0 / CAST(greatest(1, coalesce(p.np, 0)) AS DOUBLE) > 50 THEN 'ALTO'
+                WHEN i.hhi * 30 + o.hhi * 30 + coalesce(s.nh, 0) * 10
+                     + 30.0 / CAST(greatest(1, coalesce(p.np, 0)) AS DOUBLE) > 30 THEN 'MÉDIO'
+                ELSE 'BAIXO' END AS risk_classification
+    FROM companies c
+    JOIN cmet i ON i.company_id = c.ID AND i.direction = 'in'
+    JOIN cmet o ON o.company_id = c.ID AND o.direction = 'out'
+    LEFT JOIN (SELECT company_id, count(*) AS nh FROM scen WHERE risk_level IN ('ALTO', 'CRÍTICO')
+               GROUP BY 1) s ON s.company_id = c.ID
+    LEFT JOIN (SELECT company_id, count(*) AS np FROM pf GROUP BY 1) p ON p.company_id = c.ID""")
+
+
 def build(name: str, digits: dict[str, int]) -> str:
     body, extra = BODIES[name]
     ctes = CTES + extra
