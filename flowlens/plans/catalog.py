@@ -19,6 +19,12 @@ from ..operators import quality as QA
 from ..operators import relations as RL
 from ..operators import ego as EG
 from ..operators import risk as RK
+from ..operators import features as FT
+from ..operators import sector as SC
+from ..operators import summary as SM
+from ..operators import insights as INS
+from ..operators import report as RP
+from ..functions import columns as COLS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 DIGITS: dict[str, dict[str, int]] = {}
@@ -129,7 +135,7 @@ REL_DIGITS = {**money("valor"), **ratio("share", "freq_mensal", "score")}
 
 
 def _importance(ctx: Context):
-    return ctx._get("importance", lambda: RL.relation_importance(ctx.edges, 12))
+    return ctx._kept("importance", lambda: RL.relation_importance(ctx.edges, 12))
 
 
 @query("relation_importance", REL_DIGITS)
@@ -153,11 +159,11 @@ def q_ego_edges_by_month(ctx: Context):
 
 
 def _ego(ctx: Context):
-    return ctx._get("ego", lambda: RL.ego_edges(ctx.edges, None, 3, "both", 25, ["TODOS"]))
+    return ctx._kept("ego", lambda: RL.ego_edges(ctx.edges, None, 3, "both", 25, ["TODOS"]))
 
 
 def _ego_nodes(ctx: Context):
-    return ctx._get("ego_nodes", lambda: EG.ego_nodes(_ego(ctx)))
+    return ctx._kept("ego_nodes", lambda: EG.ego_nodes(_ego(ctx)))
 
 
 @query("ego_network", money("weight"))
@@ -204,11 +210,11 @@ def q_network_resilience(ctx: Context):
 
 # ---------------------------------------------------------------- risk
 def _pairs(ctx: Context):
-    return ctx._get("pairs", lambda: RK.pair_volumes(ctx.edges))
+    return ctx._kept("pairs", lambda: RK.pair_volumes(ctx.edges))
 
 
 def _impact(ctx: Context):
-    return ctx._get("impact", lambda: RK.counterparty_loss_impact(_pairs(ctx)))
+    return ctx._kept("impact", lambda: RK.counterparty_loss_impact(_pairs(ctx)))
 
 
 def _scenarios(ctx: Context):
@@ -246,4 +252,256 @@ def q_risk_report(ctx: Context):
     return RK.risk_report(_pairs(ctx), _scenarios(ctx), ctx.base1, 6)
 
 
+
+
+# ---------------------------------------------------------------- staging features
+STAGE_FEAT_DIGITS = {**money("receita_mensal_media", "receita_total_periodo", "volatilidade_receita",
+                             "fluxo_liquido_medio", "tendencia_receita"),
+                     **ratio("crescimento_mom_medio", "coef_variacao_receita", "consistencia_fluxo_positivo"),
+                     "margem_media": 2, "taxa_recuperacao": 2}
+
+
+def _stage_feats(ctx: Context):
+    return ctx._kept("stage_feats", lambda: FT.stage_features(ctx.f, 6))
+
+
+def _sup(ctx: Context):
+    return ctx._kept("sup", lambda: FT.supervised_features(ctx.base1, ctx.flows, ctx.base2, ctx.as_of))
+
+
+def _labelled(ctx: Context):
+    return ctx._kept("labelled", lambda: FT.business_labels(_sup(ctx)))
+
+
+def _rule_stages(ctx: Context):
+    return ctx._kept("rule_stages", lambda: FT.rule_stages(_labelled(ctx)))
+
+
+def _summary(ctx: Context):
+    return ctx._kept("summary", lambda: SM.company_summary(ctx.rep, ctx.base1, _rule_stages(ctx)))
+
+
+def _profile(ctx: Context):
+    return ctx._kept("profile", lambda: FT.company_profile(_summary(ctx), _sup(ctx), _rule_stages(ctx)))
+
+
+@query("stage_features", STAGE_FEAT_DIGITS)
+def q_stage_features(ctx: Context):
+    return _stage_feats(ctx)
+
+
+@query("stage_features_clean", {**ratio(*[c for c in FT.C.CLUSTER_FEATURES]), "margem_media": 2})
+def q_stage_features_clean(ctx: Context):
+    return FT.stage_features_clean(_stage_feats(ctx))
+
+
+@query("classify_sector")
+def q_classify_sector(ctx: Context):
+    return ctx.base1.select("ID", "DS_CNAE").distinct().select("ID", "DS_CNAE", COLS.sector_of("DS_CNAE").alias("setor"))
+
+
+@query("classify_size", money("VL_FATU"))
+def q_classify_size(ctx: Context):
+    return ctx.base1.select("ID", "DT_REFE", "VL_FATU", COLS.size_of("VL_FATU").alias("porte"))
+
+
+@query("company_age", ratio("idade_anos"))
+def q_company_age(ctx: Context):
+    return ctx.base1.select("ID", "DT_ABRT").distinct().select(
+        "ID", "DT_ABRT", COLS.age_years("DT_ABRT", ctx.as_of).alias("idade_anos"))
+
+
+@query("sector_profile_lookup")
+def q_sector_profile_lookup(ctx: Context):
+    s = COLS.sector_of("DS_CNAE")
+    return ctx.base1.select("ID", "DS_CNAE").distinct().select(
+        "ID", s.alias("setor"), COLS.sector_cycle(s).alias("ciclo_setor_anos"),
+        COLS.sector_capital_intensive(s).alias("capital_intensivo"))
+
+
+SUP_DIGITS = {**money("VL_FATU", "VL_SLDO", "receita_trend", "fluxo_trend", "receita_media", "fluxo_medio"),
+              **ratio("idade_anos", "faturamento_normalizado", "receita_cv", "fluxo_cv", "consistencia_receita",
+                      "consistencia_fluxo", "maturidade_relativa", "performance_vs_porte"),
+              "eficiencia_capital": 2}
+
+
+@query("supervised_features", SUP_DIGITS)
+def q_supervised_features(ctx: Context):
+    return _sup(ctx)
+
+
+@query("business_labels")
+def q_business_labels(ctx: Context):
+    return _labelled(ctx).select("ID", "DT_REFE", "label")
+
+
+@query("rule_stages", ratio("confianca"))
+def q_rule_stages(ctx: Context):
+    return _rule_stages(ctx)
+
+
+ENS_DIGITS = {**money("receita_media", "despesa_media", "fluxo_medio", "receita_total", "volatilidade_receita",
+                      "receita_trend", "fluxo_trend"),
+              **ratio("margem_media", "crescimento_medio", "consistencia_fluxo", "idade_anos", "maturidade_relativa")}
+
+
+@query("ensemble_features", ENS_DIGITS)
+def q_ensemble_features(ctx: Context):
+    return FT.ensemble_features(_profile(ctx))
+
+
+@query("ensemble_labels")
+def q_ensemble_labels(ctx: Context):
+    return FT.ensemble_labels(_profile(ctx))
+
+
+# ---------------------------------------------------------------- sector
+SECTOR_DIGITS = {**money("receita_p25", "receita_p50", "receita_p75"),
+                 **ratio("margem_p25", "margem_p50", "margem_p75", "crescimento_p50", "fluxo_consistencia_p50",
+                         "empresas_saudaveis_pct")}
+
+
+@query("sector_metrics", SECTOR_DIGITS)
+def q_sector_metrics(ctx: Context):
+    return SC.sector_metrics(_profile(ctx))
+
+
+@query("peer_ranking", {"value": 6})
+def q_peer_ranking(ctx: Context):
+    return SC.peer_ranking(_profile(ctx))
+
+
+@query("competitive_score", {"competitive_score": 6})
+def q_competitive_score(ctx: Context):
+    return SC.competitive_score(SC.peer_ranking(_profile(ctx)))
+
+
+@query("swot")
+def q_swot(ctx: Context):
+    p = _profile(ctx)
+    return SC.swot(p, SC.peer_ranking(p), SC.sector_metrics(p))
+
+
+@query("competitive_analysis", {**money("receita_p50"), **ratio("margem_p50", "empresas_saudaveis_pct",
+                                                                "competitive_score")})
+def q_competitive_analysis(ctx: Context):
+    return SC.competitive_analysis(_profile(ctx))
+
+
+@query("sector_evolution", {**money("receita_media"), **ratio("margem_media", "consistencia_fluxo",
+                                                               "receita_trend", "margem_trend")})
+def q_sector_evolution(ctx: Context):
+    return SC.sector_evolution(SC.sector_history(ctx.f))
+
+
+# ---------------------------------------------------------------- dashboard-1 queries
+SUMMARY_DIGITS = {**money("receita_media", "despesa_media", "fluxo_medio", "receita_total", "volatilidade_receita",
+                          "VL_FATU"),
+                  **ratio("crescimento_medio", "consistencia_fluxo", "margem_media")}
+
+
+@query("company_summary", SUMMARY_DIGITS)
+def q_company_summary(ctx: Context):
+    return _summary(ctx)
+
+
+@query("period_kpis", {**money("receita_total", "despesa_total", "fluxo_total", "volatilidade_media"),
+                       **ratio("crescimento_pct", "consistencia_pct", "margem_pct", "confianca")})
+def q_period_kpis(ctx: Context):
+    return SM.period_kpis(ctx.rep, _rule_stages(ctx), None)
+
+
+@query("financial_composition", money("despesas", "lucro"))
+def q_financial_composition(ctx: Context):
+    return SM.financial_composition(ctx.rep)
+
+
+@query("flow_deltas", money("delta"))
+def q_flow_deltas(ctx: Context):
+    return SM.flow_deltas(ctx.rep)
+
+
+@query("revenue_growth_pairs", {**money("receita", "fluxo"), **ratio("crescimento_pct")})
+def q_revenue_growth_pairs(ctx: Context):
+    return SM.revenue_growth_pairs(ctx.rep)
+
+
+@query("radar_scores", ratio("receita", "crescimento", "margem", "consistencia", "eficiencia"))
+def q_radar_scores(ctx: Context):
+    return SM.radar_scores(_summary(ctx))
+
+
+@query("metric_correlation", {"corr": 2})
+def q_metric_correlation(ctx: Context):
+    return SM.metric_correlation(ctx.rep)
+
+
+@query("simple_competitive_score", ratio("score"))
+def q_simple_competitive_score(ctx: Context):
+    return SM.simple_competitive_score(_summary(ctx), ctx.base1)
+
+
+@query("trend_series", {**money("receita", "tendencia", "volatilidade"), **ratio("crescimento_pct", "consistencia_pct")})
+def q_trend_series(ctx: Context):
+    return SM.trend_series(ctx.rep)
+
+
+@query("period_insights")
+def q_period_insights(ctx: Context):
+    return SM.period_insights(ctx.rep, _rule_stages(ctx), None)
+
+
+# ---------------------------------------------------------------- insight codes
+def _insight_input(ctx: Context):
+    return _profile(ctx)
+
+
+@query("contextual_insights")
+def q_contextual_insights(ctx: Context):
+    return INS.contextual_insights(_insight_input(ctx))
+
+
+@query("comparative_benchmarks")
+def q_comparative_benchmarks(ctx: Context):
+    return INS.comparative_benchmarks(_insight_input(ctx))
+
+
+@query("actionable_recommendations")
+def q_actionable_recommendations(ctx: Context):
+    return INS.actionable_recommendations(_insight_input(ctx))
+
+
+# ---------------------------------------------------------------- report formatting
+REPORT_METRICS = ["VL_FATU", "VL_SLDO", "receita_mensal", "despesa_mensal", "fluxo_liquido", "g_receita_mom",
+                  "vol_receita_3m"]
+CARD_METRICS = ["receita_mensal_media", "crescimento_mom_medio", "volatilidade_receita", "fluxo_liquido_medio",
+                "consistencia_fluxo_positivo", "margem_media", "tendencia_receita", "coef_variacao_receita",
+                "taxa_recuperacao", "num_meses"]
+
+
+@query("format_report")
+def q_format_report(ctx: Context):
+    return RP.format_report(ctx.f, ["ID", "year_month"], REPORT_METRICS)
+
+
+@query("metric_cards", {"value": 4})
+def q_metric_cards(ctx: Context):
+    return RP.metric_cards(_stage_feats(ctx), ["ID"], CARD_METRICS)
+
+
+@query("kpi_summary", {"value": 6})
+def q_kpi_summary(ctx: Context):
+    st = _rule_stages(ctx)
+    df = _stage_feats(ctx).join(st, "ID", "left")
+    return RP.kpi_summary(df, ["ID"])
+
+
+@query("rename_for_display", {**money("Receita Mensal", "Despesa Mensal", "Fluxo de Caixa"),
+                              **ratio("Crescimento MoM")})
+def q_rename_for_display(ctx: Context):
+    return RP.rename_for_display(ctx.rep.select("ID", "ym_str", "receita_mensal", "despesa_mensal",
+                                                "fluxo_liquido", "g_receita_mom"),
+                                 {"ym_str": "mes_referencia"})
+
+
 FLAGSHIP = "risk_report"
