@@ -1,8 +1,9 @@
 """Brazilian display formats as column expressions.
 
-Rounding is half-even on the binary value (``format_number``), the same
-as Python's format specification; the decimal and thousands separators are
-swapped at the end ('.' <-> ',')."""
+Rounding is half-even (``format_number``).  Divergence: Spark rounds the
+shortest decimal form of the double, Python the exact binary value, so the
+two differ only when that shortest form is an exact tie (e.g. 1234.565).
+The decimal and thousands separators are swapped at the end ('.' <-> ',')."""
 from __future__ import annotations
 
 from pyspark.sql import Column

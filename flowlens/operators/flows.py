@@ -29,6 +29,12 @@ def monthly_flows(base2: DataFrame) -> DataFrame:
     m = (legs.filter(F.col("leg.ID").isNotNull())
          .groupBy(F.col("leg.ID").alias("ID"), F.col("DT_REFE").alias("year_month"))
          .agg(F.sum("leg.rec").alias("receita_mensal"), F.sum("leg.des").alias("despesa_mensal")))
+    return flows_window(m)
+
+
+def flows_window(m: DataFrame) -> DataFrame:
+    """Net flow, growth vs the previous row and 3-row volatility over a
+    (company, month) revenue/expense table."""
     w = Window.partitionBy("ID").orderBy("year_month")
     w3 = w.rowsBetween(-2, 0)
     return m.select(

@@ -19,7 +19,10 @@ def last_month(edges: DataFrame) -> F.Column:
 
 
 def month_window(edges: DataFrame, months_window: int, last=None) -> DataFrame:
-    last = last_month(edges) if last is None else F.to_date(F.lit(last)) if isinstance(last, str) else last
+    if last is None:
+        last = last_month(edges)
+    elif not isinstance(last, F.Column):
+        last = F.to_date(F.lit(str(last)))  # 'yyyy-MM-dd' text or a date
     first = F.add_months(last, -(months_window - 1))
     return edges.filter((F.col("year_month") >= first) & (F.col("year_month") <= last))
 

@@ -173,48 +173,67 @@ def adjacency(edges: DataFrame) -> DataFrame:
             .filter(F.col("a") != F.col("b")).distinct())
 
 
-def diversification_targets(edges: DataFrame, k: int = 5, fanout: int = 50) -> DataFrame:
+def diversification_targets(edges: DataFrame, k: int = 5, top_m: int = 64, fanout: int = 50) -> DataFrame:
     """Best ``k`` new partners per company: partners of its partners, minus
     itself and its current partners, ranked by (risk asc, mean payment
-    desc, id asc).
+    desc, id asc).  Exact, in three tiers, never expanding a hub's whole
+    neighbourhood for everybody:
 
-    Exact without expanding hub neighbourhoods: each partner contributes
-    only its ``fanout`` best-ranked neighbours.  A company's answer is
-    provably complete when its k-th found candidate ranks strictly before
-    the cut-off of every truncated partner list; the few companies where
-    that does not hold are recomputed from the full 2-hop expansion.
+    1. the ``top_m`` best-ranked companies overall (a bounded take-ordered
+       limit) are tested for every company (shared neighbour, not already a
+       partner).  A company that finds ``k`` of them is done: every other
+       candidate ranks after all of them.
+    2. the rest look at each partner's ``fanout`` best-ranked neighbours;
+       complete when the k-th found ranks before every truncated list's
+       cut-off.
+    3. the few remaining companies use the full 2-hop expansion.
     """
     adj = adjacency(edges)
     prof = node_profile(edges)
     key = F.struct(F.col("risk_score"), (-F.col("avg_transaction_volume")).alias("nv"), F.col("partner_id"))
     cand = prof.select("partner_id", key.alias("key"), "avg_transaction_volume", "diversification_level",
                        "risk_score", "recommendation_reason")
-    nb = adj.join(cand, adj.b == cand.partner_id).drop("partner_id")  # (a, b, key...) neighbour b of a
+    attrs = ["key", "avg_transaction_volume", "diversification_level", "risk_score", "recommendation_reason"]
+    mine = adj.select(F.col("a").alias("c"), F.col("b").alias("p"))
+    wr = Window.partitionBy("c").orderBy("key")
+
+    def best(pairs: DataFrame) -> DataFrame:
+        """(c, q, attrs...) candidate pairs -> the k best valid per company."""
+        valid = (pairs.select("c", "q", *attrs).filter(F.col("c") != F.col("q"))
+                 .join(mine.select("c", F.col("p").alias("q")), ["c", "q"], "left_anti")
+                 .dropDuplicates(["c", "q"]))
+        return valid.withColumn("rank", F.row_number().over(wr)).filter(F.col("rank") <= k)
+
+    def found(res: DataFrame) -> DataFrame:
+        return res.groupBy("c").agg(F.count(F.lit(1)).alias("_found"), F.max("key").alias("_kth"))
+
+    companies = adj.select(F.col("a").alias("c")).distinct()
+    # tier 1: global top-m (size-bounded by construction -> broadcast)
+    top = cand.orderBy("key").limit(top_m)
+    top_adj = mine.join(F.broadcast(top.select(F.col("partner_id").alias("q"))), mine.c == F.col("q")) \
+        .select("q", "p")
+    t1 = best(mine.join(top_adj, "p").select("c", "q").dropDuplicates(["c", "q"])
+              .join(F.broadcast(top.withColumnRenamed("partner_id", "q")), "q"))
+    done1 = found(t1).filter(F.col("_found") >= k).select("c")
+    rest = companies.join(done1, "c", "left_anti")
+    # tier 2: per-partner best ``fanout`` neighbours
+    nb = adj.join(cand, adj.b == cand.partner_id).drop("partner_id")
     deg = adj.groupBy("a").agg(F.count(F.lit(1)).alias("deg"))
     wl = Window.partitionBy("a").orderBy("key")
     ranked = nb.withColumn("_r", F.row_number().over(wl)).filter(F.col("_r") <= fanout)
     cut = (ranked.filter(F.col("_r") == fanout).join(deg, "a").filter(F.col("deg") > fanout)
            .select(F.col("a").alias("p"), F.col("key").alias("cut_key")))
-    mine = adj.select(F.col("a").alias("c"), F.col("b").alias("p"))
-
-    def best(two_hop: DataFrame) -> DataFrame:
-        c2 = (two_hop.filter(F.col("c") != F.col("q"))
-              .join(mine.select("c", F.col("p").alias("q")), ["c", "q"], "left_anti")
-              .dropDuplicates(["c", "q"]))
-        wr = Window.partitionBy("c").orderBy("key")
-        return c2.withColumn("rank", F.row_number().over(wr)).filter(F.col("rank") <= k)
-
-    capped = best(mine.join(ranked.select(F.col("a").alias("p"), F.col("b").alias("q"), "key",
-                                          "avg_transaction_volume", "diversification_level", "risk_score",
-                                          "recommendation_reason"), "p"))
-    kth = capped.groupBy("c").agg(F.count(F.lit(1)).alias("_found"), F.max("key").alias("_kth"))
-    needs = (mine.join(cut, "p").join(kth, "c", "left")
+    mine_rest = mine.join(rest, "c", "left_semi")
+    t2 = best(mine_rest.join(ranked.select(F.col("a").alias("p"), F.col("b").alias("q"), *attrs), "p"))
+    needs = (mine_rest.join(cut, "p").join(found(t2), "c", "left")
              .filter(F.col("_found").isNull() | (F.col("_found") < k) | (F.col("cut_key") <= F.col("_kth")))
              .select("c").distinct())
-    full_nb = nb.select(F.col("a").alias("p"), F.col("b").alias("q"), "key", "avg_transaction_volume",
-                        "diversification_level", "risk_score", "recommendation_reason")
-    exact = best(mine.join(needs, "c", "left_semi").join(full_nb, "p"))
-    result = capped.join(needs, "c", "left_anti").unionByName(exact)
+    # tier 3: full expansion for the remaining companies only
+    full_nb = nb.select(F.col("a").alias("p"), F.col("b").alias("q"), *attrs)
+    t3 = best(mine.join(needs, "c", "left_semi").join(full_nb, "p"))
+    result = (t1.join(done1, "c", "left_semi")
+              .unionByName(t2.join(needs, "c", "left_anti"))
+              .unionByName(t3))
     return result.select(F.col("c").alias("company_id"), F.col("rank").cast("long").alias("rank"),
                          F.col("q").alias("partner_id"), "avg_transaction_volume", "diversification_level",
                          "risk_score", "recommendation_reason")

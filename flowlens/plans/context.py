@@ -33,7 +33,9 @@ class Context:
         loss)."""
         if key not in self._cache:
             checkpoint_dir(self.spark)
-            self._cache[key] = build().checkpoint(eager=True)
+            df = build().persist(StorageLevel.MEMORY_AND_DISK)  # computed once, then written
+            self._cache[key] = df.checkpoint(eager=True)
+            df.unpersist()
         return self._cache[key]
 
     def release(self):
@@ -48,11 +50,12 @@ class Context:
 
     @property
     def base1(self) -> DataFrame:
-        return self.bases.base1
+        return self._kept("base1", lambda: self.bases.base1)
 
     @property
     def base2(self) -> DataFrame:
-        return self.bases.base2
+        # the ingested ledger has many consumers: materialise it once
+        return self._kept("base2", lambda: self.bases.base2)
 
     @property
     def flows(self) -> DataFrame:
