@@ -126,7 +126,6 @@ def network_resilience(nodes: DataFrame, companies: DataFrame) -> DataFrame:
     is_ego = F.col("node_id") == F.col("ego")
     g = nodes.groupBy("ego").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(F.when(~is_ego & (F.col("role") == "payer_to_ego"), 1).otherwise(0)).alias("_p_only"),
         F.sum(F.when(~is_ego & (F.col("in_w") > 0), 1).otherwise(0)).alias("R"),
         F.sum(F.when(~is_ego & (F.col("out_w") > 0), 1).otherwise(0)).alias("P"))
     n = F.col("n")
