@@ -173,7 +173,8 @@ def adjacency(edges: DataFrame) -> DataFrame:
             .filter(F.col("a") != F.col("b")).distinct())
 
 
-def diversification_targets(edges: DataFrame, k: int = 5, top_m: int = 64, fanout: int = 50) -> DataFrame:
+def diversification_targets(edges: DataFrame, k: int = 5, top_m: int = 64, fanout: int = 50,
+                            profile: DataFrame | None = None, adj: DataFrame | None = None) -> DataFrame:
     """Best ``k`` new partners per company: partners of its partners, minus
     itself and its current partners, ranked by (risk asc, mean payment
     desc, id asc).  Exact, in three tiers, never expanding a hub's whole
@@ -188,8 +189,8 @@ def diversification_targets(edges: DataFrame, k: int = 5, top_m: int = 64, fanou
        cut-off.
     3. the few remaining companies use the full 2-hop expansion.
     """
-    adj = adjacency(edges)
-    prof = node_profile(edges)
+    adj = adjacency(edges) if adj is None else adj
+    prof = node_profile(edges) if profile is None else profile
     key = F.struct(F.col("risk_score"), (-F.col("avg_transaction_volume")).alias("nv"), F.col("partner_id"))
     cand = prof.select("partner_id", key.alias("key"), "avg_transaction_volume", "diversification_level",
                        "risk_score", "recommendation_reason")

@@ -164,11 +164,12 @@ def swot(companies: DataFrame, ranking: DataFrame, metrics: DataFrame) -> DataFr
                       (F.col("peer_count") > 100, "high_competition")).alias("threats"))
 
 
-def competitive_analysis(companies: DataFrame, buckets: int = 32) -> DataFrame:
+def competitive_analysis(companies: DataFrame, buckets: int = 32, ranking: DataFrame | None = None,
+                         metrics: DataFrame | None = None) -> DataFrame:
     """One row per company: sector, size, group metrics, competitive score,
     market position and SWOT lists."""
-    rk = peer_ranking(companies, buckets=buckets)
-    met = sector_metrics(companies)
+    rk = peer_ranking(companies, buckets=buckets) if ranking is None else ranking
+    met = sector_metrics(companies) if metrics is None else metrics
     sc = competitive_score(rk)
     sw = swot(companies, rk, met)
     return (companies.select("ID", "setor", "porte")
