@@ -197,8 +197,14 @@ def supervised_features(base1: DataFrame, flows: DataFrame, base2: DataFrame, as
                                                 "diversificacao_contrapartes", "canais_utilizados",
                                                 "num_meses_ativo")]
     j = j.select(*[finite_or_null(c).alias(c) if c in dbl else F.col(c) for c in j.columns])
-    stats = global_stats(j, {**{c: F.percentile(F.col(c), F.lit(0.5)) for c in SUP_NUMERIC},
+    # medians only fill NULLs: count them first (cheap), then run the exact
+    # global percentile / mode only for the columns that need it
+    stats = global_stats(j, {**{f"_n_{c}": F.count(F.when(F.col(c).isNull(), 1)) for c in SUP_NUMERIC},
                              "_dt_mode": F.mode("DT_ABRT", True)})
+    need = {c: F.percentile(F.col(c), F.lit(0.5)) for c in SUP_NUMERIC if stats[f"_n_{c}"]}
+    stats.update({c: None for c in SUP_NUMERIC})
+    if need:
+        stats.update(global_stats(j, need))
     out = []
     for c in j.columns:
         if c in dbl:
