@@ -519,6 +519,16 @@ def q_rename_for_display(ctx: Context):
                                  {"ym_str": "mes_referencia"})
 
 
+# ---------------------------------------------------------------- graph ranking (rows-only check)
+from ..operators import pagerank as PR  # noqa: E402
+
+
+@query("pagerank", ratio("pagerank"))
+def q_pagerank(ctx: Context):
+    """Weighted PageRank of the whole payment graph (all months)."""
+    return PR.pagerank(_pairs(ctx).select("src", "dst", F.col("v").alias("weight")))
+
+
 # ---------------------------------------------------------------- models (rows-only checks)
 from ..operators import stages as ST  # noqa: E402
 
@@ -579,7 +589,7 @@ def q_explain_prediction(ctx: Context):
 FLAGSHIP = "risk_report"
 
 # model-fitting keys (rows-only checks) that the bench times separately
-SLOW_MODEL_QUERIES: set[str] = {"stage_unsupervised", "cluster_profiles", "stage_supervised", "stage_eval",
+SLOW_MODEL_QUERIES: set[str] = {"pagerank", "stage_unsupervised", "cluster_profiles", "stage_supervised", "stage_eval",
                                 "stage_ensemble", "ensemble_weights", "explain_prediction"}
 
 
