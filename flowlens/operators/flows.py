@@ -92,3 +92,15 @@ def company_months(f: DataFrame) -> DataFrame:
     d = f.filter(F.col("year_month").isNotNull()).select("ID", "year_month").distinct()
     return d.select("ID", "year_month", F.date_format("year_month", "yyyy-MM").alias("ym_str"),
                     (F.row_number().over(w) <= 6).alias("is_default"))
+
+
+def company_ids(f: DataFrame) -> DataFrame:
+    """Distinct company ids of the monthly facts, sorted (a range-partitioned
+    distributed sort; no single-partition window)."""
+    return f.select("ID").filter(F.col("ID").isNotNull()).distinct().orderBy("ID")
+
+
+def month_list(base2: DataFrame) -> DataFrame:
+    """Distinct ledger months (month starts) with their ``yyyy-MM`` label."""
+    return (base2.select(F.col("DT_REFE").alias("year_month")).filter(F.col("year_month").isNotNull())
+            .distinct().select("year_month", F.date_format("year_month", "yyyy-MM").alias("ym_str")))

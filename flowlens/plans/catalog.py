@@ -93,6 +93,16 @@ def q_load_edges(ctx: Context):
     return ctx.base2.select("ID_PGTO", "ID_RCBE", F.col("DT_REFE").alias("year_month"), "VL", "DS_TRAN")
 
 
+@query("company_ids")
+def q_company_ids(ctx: Context):
+    return FL.company_ids(ctx.f)
+
+
+@query("month_list")
+def q_month_list(ctx: Context):
+    return FL.month_list(ctx.base2)
+
+
 @query("edges_month", money("valor"))
 def q_edges_month(ctx: Context):
     return ctx.edges

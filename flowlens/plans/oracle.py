@@ -127,6 +127,11 @@ _reg("sql_over_parquet", """
     FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY l_suppkey, s_nationkey""")
 _reg("load_edges_for_network", "SELECT ID_PGTO, ID_RCBE, DT_REFE AS year_month, VL, DS_TRAN FROM base2")
 _reg("edges_month", "SELECT * FROM edges")
+_reg("company_ids", """
+    SELECT DISTINCT ID FROM fem WHERE ID IS NOT NULL ORDER BY ID""")
+_reg("month_list", """
+    SELECT year_month, strftime(year_month, '%Y-%m') AS ym_str
+    FROM (SELECT DISTINCT DT_REFE AS year_month FROM base2 WHERE DT_REFE IS NOT NULL) d""")
 _reg("validate", """
     SELECT "check", CAST(n_bad AS BIGINT) AS n_bad, n_bad > 0 AS failed FROM (
       SELECT 'duplicate_profile_key' AS "check",
