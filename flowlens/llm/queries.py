@@ -6,9 +6,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import exact_dedup, sharding
+from flowlens.llm import byte_bpe, exact_dedup, sharding, token_store
 from flowlens.llm.common import id_crc, reach_workers, table
 
+#: Where the public vocabularies are; a parameter of the queries that read one.
+TOKENIZERS = "/opt/tokenizers"
+
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The index holds the digests of the documents whose id has an even crc32;
@@ -19,6 +22,22 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op5_simple8b_tokens(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
+    folder = token_store.token_folder(spark)
+    manifest = token_store.write_tokens(table(spark, sf_dir, "documents"), folder,
+                                        f"{tokenizers}/byte_bpe_50k.json", byte_bpe.PATTERN, end_id=0)
+    return token_store.read_tokens(manifest, folder)
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
+    ranks = f"{tokenizers}/byte_bpe_multi_50k.tiktoken"
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = byte_bpe.encode_documents(docs, ranks, byte_bpe.PATTERN).select(
+        "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), byte_bpe.ids_sha256().alias("ids_sha256"))
+    return byte_bpe.decode_documents(ids, ranks, byte_bpe.PATTERN).select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op10_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=16)
 
@@ -67,6 +86,8 @@ FROM c JOIN done USING (key)
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op5_simple8b_tokens": op5_simple8b_tokens,
+    "op9_byte_bpe": op9_byte_bpe,
     "op10_jump_sharding": op10_jump_sharding,
 }
 
