@@ -6,13 +6,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import byte_bpe, exact_dedup, sharding, token_store
+from flowlens.llm import byte_bpe, exact_dedup, language_id, sharding, token_store
 from flowlens.llm.common import id_crc, reach_workers, table
 
 #: Where the public vocabularies are; a parameter of the queries that read one.
 TOKENIZERS = "/opt/tokenizers"
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(id_crc() % 4 == 2, F.lit(False))
+    model = language_id.train(docs, ~held_out)
+    return language_id.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The index holds the digests of the documents whose id has an even crc32;
     the others arrive later and are looked up."""
@@ -85,6 +92,7 @@ FROM c JOIN done USING (key)
 """
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_simple8b_tokens": op5_simple8b_tokens,
     "op9_byte_bpe": op9_byte_bpe,
