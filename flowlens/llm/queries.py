@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import byte_bpe, exact_dedup, language_id, sharding, token_store
+from flowlens.llm import byte_bpe, exact_dedup, language_id, minhash, sharding, token_store
 from flowlens.llm.common import id_crc, reach_workers, table
 
 #: Where the public vocabularies are; a parameter of the queries that read one.
@@ -20,6 +20,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
+    return out.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The index holds the digests of the documents whose id has an even crc32;
     the others arrive later and are looked up."""
@@ -93,6 +98,7 @@ FROM c JOIN done USING (key)
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_minhash": op2_minhash,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_simple8b_tokens": op5_simple8b_tokens,
     "op9_byte_bpe": op9_byte_bpe,
