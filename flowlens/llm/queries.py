@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import byte_bpe, decontaminate, exact_dedup, language_id, minhash, sharding, token_store
+from flowlens.llm import byte_bpe, decontaminate, exact_dedup, html_template, language_id, minhash, sharding, token_store
 from flowlens.llm.common import id_crc, reach_workers, table
 
 #: Where the public vocabularies are; a parameter of the queries that read one.
@@ -45,6 +45,10 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_html_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_template.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
     ranks = f"{tokenizers}/byte_bpe_multi_50k.tiktoken"
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -106,6 +110,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op5_simple8b_tokens": op5_simple8b_tokens,
     "op6_decontaminate": op6_decontaminate,
+    "op7_html_template": op7_html_template,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_jump_sharding": op10_jump_sharding,
 }
