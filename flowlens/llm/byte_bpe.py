@@ -52,7 +52,7 @@ class ByteBpe:
         self._latin = re.compile(_latin_pattern(pattern))
 
     def pieces(self, text: str) -> list[str]:
-        return (self._latin if text.isascii() or max(text) < _LATIN_END else self._pattern).findall(text)
+        return (self._latin if is_latin(text) else self._pattern).findall(text)
 
     def merge(self, raw: bytes) -> list[int]:
         """Plain BPE: join the neighbours of lowest rank, leftmost first."""
@@ -132,7 +132,14 @@ class ByteBpe:
         return self.decode(ids[:mid]) + self.decode(ids[mid:])
 
 
-_LATIN_END = "ɐ"
+_LATIN_END = 0x250
+#: The pattern's alternatives for words and contractions; no text matches both.
+_CONTRACTIONS, _LETTERS = "'s|'t|'re|'ve|'m|'ll|'d|", r" ?\p{L}+|"
+
+
+def is_latin(text: str) -> bool:
+    """No character from U+0250 on."""
+    return text.isascii() or bool(np.frombuffer(text.encode("utf-16-le", "surrogatepass"), np.uint16).max() < _LATIN_END)
 
 
 @lru_cache
@@ -140,10 +147,12 @@ def _latin_pattern(pattern: str) -> str:
     """``pattern`` with \\p{L} and \\p{N} written out for characters below
     U+0250, where the Unicode versions of all libraries agree."""
     def chars(kind: str) -> str:
-        return "".join(f"\\u{c:04x}" for c in range(ord(_LATIN_END)) if unicodedata.category(chr(c))[0] == kind)
+        return "".join(f"\\u{c:04x}" for c in range(_LATIN_END) if unicodedata.category(chr(c))[0] == kind)
     letters, numbers = chars("L"), chars("N")
     # \s of the two libraries differs on U+001C..U+001F, so it is written out too
     space = r"\t\n\x0b\x0c\r \x85\xa0"
+    # words come up most, so they are tried first
+    pattern = pattern.replace(_CONTRACTIONS + _LETTERS, _LETTERS + _CONTRACTIONS, 1)
     out = pattern.replace(r"[^\s\p{L}\p{N}]", f"[^{space}{letters}{numbers}]")
     out = out.replace(r"\p{L}", f"[{letters}]").replace(r"\p{N}", f"[{numbers}]")
     return out.replace(r"\S", f"[^{space}]").replace(r"\s", f"[{space}]")

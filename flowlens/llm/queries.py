@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import byte_bpe, decontaminate, exact_dedup, html_template, language_id, minhash, sharding, token_store
+from flowlens.llm import byte_bpe, decontaminate, exact_dedup, html_template, language_id, minhash, sharding, suffix_dedup, token_store
 from flowlens.llm.common import id_crc, reach_workers, table
 
 #: Where the public vocabularies are; a parameter of the queries that read one.
@@ -49,6 +49,11 @@ def op7_html_template(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_template.extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, _ = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=400)
+    return out.drop("tid")
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
     ranks = f"{tokenizers}/byte_bpe_multi_50k.tiktoken"
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -111,6 +116,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simple8b_tokens": op5_simple8b_tokens,
     "op6_decontaminate": op6_decontaminate,
     "op7_html_template": op7_html_template,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_jump_sharding": op10_jump_sharding,
 }

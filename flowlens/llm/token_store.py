@@ -22,6 +22,7 @@ import io
 import os
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from flowlens.llm.byte_bpe import _LATIN_END, _latin_pattern, _slices
+from flowlens.llm.byte_bpe import _latin_pattern, _slices, is_latin
 from flowlens.llm.common import reach_workers, scratch, written
 
 MAGIC = 0x38424C50494D5353
@@ -201,11 +202,11 @@ class _Encoder:
         self.memo: dict[str, bytes] = {}
 
     def library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         # other scripts go whole: the library's own Unicode tables cut them
-        own = [t.isascii() or max(t) < _LATIN_END for t in texts]
+        own = [is_latin(t) for t in texts]
         cut = [self.cut(t) if o else None for t, o in zip(texts, own)]
         if len(self.memo) > MEMO_PIECES:
             self.memo.clear()
@@ -279,7 +280,7 @@ def read_tokens(manifest: DataFrame, folder: str) -> DataFrame:
     reach_workers(spark)
     before = Window.orderBy("part", "file").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
     files = (manifest.withColumn("first", F.coalesce(F.sum("ids").over(before), F.lit(0)).cast("long"))
-             .repartition("name"))
+             .repartition(max(1, manifest.count()), "name"))  # a task a file, not merged
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         where, _ = pafs.FileSystem.from_uri(folder)
