@@ -21,6 +21,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: Pieces whose ids a worker remembers; it starts anew beyond that.
 MEMO_PIECES = 400_000
 #: Below this many bytes a piece is merged directly, without halves.
-LEAF_BYTES = 8
+LEAF_BYTES = 16
 
 
 class ByteBpe:
@@ -47,7 +48,10 @@ class ByteBpe:
         with open(path, "rb") as f:
             pairs = (line.split() for line in f if line.strip())
             self.ranks = {base64.b64decode(a): int(b) for a, b in pairs}
-        self.bytes_of = {i: b for b, i in self.ranks.items()}
+        self._none = max(self.ranks.values()) + 1
+        self.bytes_of = [b""] * self._none
+        for raw, i in self.ranks.items():
+            self.bytes_of[i] = raw
         self._pattern = regex.compile(pattern)
         self._latin = re.compile(_latin_pattern(pattern))
 
@@ -62,17 +66,20 @@ class ByteBpe:
             return [whole]
         if len(raw) > 64:
             return self._merge_long(raw)
-        parts = [raw[i:i + 1] for i in range(len(raw))]
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                r = ranks.get(parts[i] + parts[i + 1])
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if best is None:
+        none, get = self._none, ranks.get
+        cuts = list(range(len(raw) + 1))
+        pair = [get(raw[i:i + 2], none) for i in range(len(raw) - 1)]  # rank of part i joined with the next
+        while pair:
+            best = min(pair)
+            if best == none:
                 break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return [ranks[p] for p in parts]
+            i = pair.index(best)
+            del cuts[i + 1], pair[i]
+            if i < len(pair):
+                pair[i] = get(raw[cuts[i]:cuts[i + 2]], none)
+            if i:
+                pair[i - 1] = get(raw[cuts[i - 1]:cuts[i + 1]], none)
+        return [ranks[raw[x:y]] for x, y in pairwise(cuts)]
 
     def _merge_long(self, raw: bytes) -> list[int]:
         """``merge`` with a heap of (rank, place) over linked parts."""
@@ -126,7 +133,7 @@ class ByteBpe:
         return self.join(self.encode(raw[:mid]), self.encode(raw[mid:]))
 
     def decode(self, ids: list[int]) -> bytes:
-        if len(ids) <= 64:
+        if len(ids) <= 4096:
             return b"".join(map(self.bytes_of.__getitem__, ids))
         mid = len(ids) // 2
         return self.decode(ids[:mid]) + self.decode(ids[mid:])
@@ -223,7 +230,9 @@ def decode_documents(docs: DataFrame, ranks_path: str, pattern: str, ids: str =
         decode = _memo(ranks_path, pattern).bpe.decode
         for whole in batches:
             for batch in _slices(whole, ids, 1 << 20):
-                raw = pa.array([decode(x) if x else b"" for x in batch.column(ids).to_pylist()], pa.binary())
+                lists = batch.column(ids)
+                flat, ends = lists.flatten().to_numpy().tolist(), np.cumsum(pc.list_value_length(lists).fill_null(0)).tolist()
+                raw = pa.array([decode(flat[a:b]) for a, b in pairwise([0, *ends])], pa.binary())
                 yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), raw], names=[*names, out])
 
     return docs.mapInArrow(run, schema)
