@@ -60,8 +60,8 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return up, down
 
 
-def shingle_sets(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, offsets): the sorted distinct shingle hashes of each text.
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash of each word, first word, words) of each text, A-Z in lower case.
 
     Words are cut and hashed for the whole list at once: a word's hash is a
     difference of prefix sums of byte * BASE^place, moved back to place 0.
@@ -79,8 +79,14 @@ def shingle_sets(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
         upto = sums[last - 1] - np.where(first > 0, sums[np.maximum(first, 1) - 1], np.uint64(0))
         words = mix(upto * down[first] + (last - first).astype(np.uint64))
         bounds = np.searchsorted(first, ends_of)
-        starts = np.r_[0, bounds[:-1]]
-        count = bounds - starts
+    starts = np.r_[0, bounds[:-1]].astype(np.int64)
+    return words, starts, bounds - starts
+
+
+def shingle_sets(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, offsets): the sorted distinct shingle hashes of each text."""
+    words, starts, count = word_hashes(texts)
+    with np.errstate(over="ignore"):
         owner = np.repeat(np.arange(len(texts)), count)
         k = max(len(words) - n + 1, 0)
         shingles = np.zeros(k, np.uint64)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import byte_bpe, decontaminate, exact_dedup, html_template, language_id, minhash, sharding, suffix_dedup, token_store
+from flowlens.llm import byte_bpe, decontaminate, exact_dedup, html_template, kneser_ney, language_id, minhash, sharding, suffix_dedup, token_store
 from flowlens.llm.common import id_crc, reach_workers, table
 
 #: Where the public vocabularies are; a parameter of the queries that read one.
@@ -34,6 +34,12 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(id_crc() % 7 == 2, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", held_out.alias("held_out"), "text")
+    return kneser_ney.train_and_score(docs, ~F.col("held_out"))
+
+
 def op5_simple8b_tokens(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
     folder = token_store.token_folder(spark)
     manifest = token_store.write_tokens(table(spark, sf_dir, "documents"), folder,
@@ -113,6 +119,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_minhash": op2_minhash,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_kneser_ney": op4_kneser_ney,
     "op5_simple8b_tokens": op5_simple8b_tokens,
     "op6_decontaminate": op6_decontaminate,
     "op7_html_template": op7_html_template,
