@@ -12,7 +12,11 @@ from flowlens.llm import stages
 from flowlens.llm.common import reach_workers, table, written
 
 STAGES = [
+    ("language_id", stages.language_stage),
     ("exact_dedup", stages.exact_dedup_stage),
+    ("near_dedup", stages.near_dedup_stage),
+    ("decontaminate", stages.decontaminate_stage),
+    ("byte_bpe", stages.byte_bpe_stage),
 ]
 
 #: SQL cannot express the stages; the tests hold them against brute force.

@@ -44,3 +44,19 @@ def written(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
 def id_crc(col: str = "doc_id") -> Column:
     """crc32 of the id as text (unsigned)."""
     return F.crc32(F.col(col).cast("string").cast("binary"))
+
+
+#: Ids that a broadcast may hold; beyond that the join is a shuffle.
+BROADCAST_IDS = 500_000
+
+
+def by_id(docs: DataFrame, ids: DataFrame, how: str, key: str = "doc_id") -> DataFrame:
+    """``docs`` semi- or anti-joined with written, distinct ids (null is an id).
+
+    Few ids are broadcast and the documents stay where they are; the size is
+    counted first, and beyond the bound both sides are shuffled.
+    """
+    right = ids.select(F.col(key).alias("__id"))
+    if right.count() <= BROADCAST_IDS:
+        right = F.broadcast(right)
+    return docs.join(right, docs[key].eqNullSafe(F.col("__id")), how)

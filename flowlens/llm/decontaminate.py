@@ -28,6 +28,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -187,47 +188,30 @@ def overlap(side: list[int], passage: np.ndarray) -> float:
 _OUT = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, place long"
 
 
-def _search(rows: DataFrame, index: Index) -> DataFrame:
-    held = rows.sparkSession.sparkContext.broadcast(index)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ix = held.value
-        h = ix.passage // 2
-        for whole in batches:
-            for batch in _slices(whole, "text", 2 << 20):
-                coded = []
-                for text in batch.column("text").to_pylist():
-                    ws = words_of(text)
-                    coded.append(np.fromiter((ix.vocab.get(w, -1) for w in ws), np.int64, len(ws)))
-                sizes = np.array([len(c) for c in coded])
-                flat = np.concatenate(coded) if coded else np.zeros(0, np.int64)
-                doc = np.repeat(np.arange(len(coded)), sizes)
-                place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                known = flat >= 0
-                best: dict = {}
-                for d, w, item, score in zip(*(x.tolist() for x in retrieve(ix, doc[known], place[known], flat[known]))):
-                    passage = coded[d][w * h:w * h + 2 * h]
-                    q, a = overlap(ix.questions[item], passage), overlap(ix.answers[item], passage)
-                    if q >= OVERLAP and a >= OVERLAP:
-                        got = (score, q, a, -w * h)
-                        best[d, item] = max(best.get((d, item), got), got)
-                if best:
-                    ids = batch.column("doc_id").to_pylist()
-                    out = [(ids[d], ix.item_ids[i], s, q, a, -p) for (d, i), (s, q, a, p) in sorted(best.items())]
-                    yield pa.RecordBatch.from_pydict(
-                        {n: pa.array(c, kind) for n, c, kind in zip(
-                            ("doc_id", "item_id", "score", "question_overlap", "answer_overlap", "place"), zip(*out),
-                            (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64()))})
-
-    return rows.mapInArrow(run, _OUT)
-
-
-def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
-                 question: str = "text", answer: str | None = None) -> DataFrame:
-    """One row per document and test item that it holds: the best passage's
-    score, the verified overlaps and the passage's first word."""
-    spark = docs.sparkSession
-    reach_workers(spark)
+def find(texts: list[str | None], ix: Index) -> dict[tuple[int, int], tuple]:
+    """(text, item) -> (score, question overlap, answer overlap, first word) of the best passage."""
+    coded = []
+    for text in texts:
+        ws = words_of(text)
+        coded.append(np.fromiter((ix.vocab.get(w, -1) for w in ws), np.int64, len(ws)))
+    sizes = np.array([len(c) for c in coded], np.int64)
+    flat = np.concatenate(coded) if coded else np.zeros(0, np.int64)
+    doc = np.repeat(np.arange(len(coded)), sizes)
+    place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    known, h = flat >= 0, ix.passage // 2
+    best: dict[tuple[int, int], tuple] = {}
+    for d, w, item, score in zip(*(x.tolist() for x in retrieve(ix, doc[known], place[known], flat[known]))):
+        passage = coded[d][w * h:w * h + 2 * h]
+        q, a = overlap(ix.questions[item], passage), overlap(ix.answers[item], passage)
+        if q >= OVERLAP and a >= OVERLAP:
+            got = (score, q, a, -w * h)
+            best[d, item] = max(best.get((d, item), got), got)
+    return {k: (s, q, a, -p) for k, (s, q, a, p) in sorted(best.items())}
+
+
+def index_parts(benchmark: DataFrame, item: str = "item_id", question: str = "text", answer: str | None = None) -> Iterator[Index]:
+    """The index in parts, one for the usual benchmark; each is bounded by PART_WORDS."""
+    reach_workers(benchmark.sparkSession)
     source = benchmark.select(F.col(item).cast("long").alias("item_id"), F.col(question).alias("question"),
                               (F.col(answer) if answer else F.lit(None).cast("string")).alias("answer"))
     whole = answer is None
@@ -238,25 +222,63 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
             n = [len(words_of(q)) + len(words_of(a)) for q, a in pairs]
             yield pd.DataFrame({"item_id": pdf["item_id"], "question": [p[0] for p in pairs], "answer": [p[1] for p in pairs], "n": n})
 
-    items = written(source.mapInPandas(split, "item_id long, question string, answer string, n long").where("n > 0"), "items")
-    n_items, n_words = items.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    if not n_items:
-        return spark.createDataFrame([], _OUT)
-    parts = math.ceil(n_words / PART_WORDS)
-    part: Column = F.pmod(F.xxhash64("item_id", "question", "answer"), F.lit(parts))
-
     def terms(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             for q, a, p in zip(pdf["question"], pdf["answer"], pdf["part"]):
                 yield pd.DataFrame({"term": sorted(set(words_of(q) + words_of(a))), "part": p})
 
+    items = written(source.mapInPandas(split, "item_id long, question string, answer string, n long").where("n > 0"), "items")
+    n_items, n_words = items.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    parts = math.ceil(n_words / PART_WORDS)
+    if not parts:
+        return
+    part: Column = F.pmod(F.xxhash64("item_id", "question", "answer"), F.lit(parts))
     per = items.withColumn("part", part).mapInPandas(terms, "term binary, part long").groupBy("term", "part").agg(F.count(F.lit(1)).alias("n"))
     df = written(per.groupBy("term").agg(F.sum("n").alias("df"), F.collect_set("part").alias("parts")), "terms")
-    found = None
-    for p in range(parts):  # one pass for the usual benchmark; each part is bounded by PART_WORDS
+    for p in range(parts):
         mine = [tuple(r) for r in items.where(part == p).select("item_id", "question", "answer").collect()]
         of = {bytes(r["term"]): r["df"] for r in df.where(F.array_contains("parts", F.lit(p).cast("long"))).select("term", "df").collect()}
-        hits = _search(rows, build_index(mine, of, n_items, n_words / n_items))
-        found = hits if found is None else found.unionByName(hits)
-    return found
+        if mine:
+            yield build_index(mine, of, n_items, n_words / n_items)
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **columns: str) -> DataFrame:
+    """One row per document and test item that it holds: the best passage's
+    score, the verified overlaps and the passage's first word."""
+    spark = docs.sparkSession
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+
+    def search(index: Index) -> DataFrame:
+        held = spark.sparkContext.broadcast(index)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            names = ("doc_id", "item_id", "score", "question_overlap", "answer_overlap", "place")
+            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64())
+            for whole in batches:
+                for batch in _slices(whole, "text", 2 << 20):
+                    hits = find(batch.column("text").to_pylist(), held.value)
+                    if hits:
+                        ids = batch.column("doc_id").to_pylist()
+                        out = zip(*((ids[d], held.value.item_ids[i], *rest) for (d, i), rest in hits.items()))
+                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=list(names))
+
+        return rows.mapInArrow(run, _OUT)
+
+    found = [search(index) for index in index_parts(benchmark, **columns)]
+    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], _OUT)
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", **columns: str) -> DataFrame:
+    """The rows of ``docs`` that hold no test item, as they are; nothing is shuffled."""
+    for index in index_parts(benchmark, **columns):
+        held = docs.sparkSession.sparkContext.broadcast(index)
+
+        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for batch in _slices(whole, text, 2 << 20):
+                    stay = np.ones(batch.num_rows, bool)
+                    stay[[d for d, _ in find(batch.column(text).to_pylist(), held.value)]] = False
+                    yield batch.filter(pa.array(stay))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

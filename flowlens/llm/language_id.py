@@ -231,18 +231,20 @@ def train(docs: DataFrame, chosen: Column, key: str = "doc_id", text: str = "tex
     return Model(languages, logp, allowed)
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text", spans: bool = False) -> DataFrame:
-    """``docs`` without its text, with lang_pred and score (the share of letters
-    in that language), and with ``spans`` the list of (start word, words,
-    language) spans."""
+def predict(docs: DataFrame, model: Model, text: str = "text", spans: bool = False, keep_text: bool = False,
+            out: tuple[str, str, str] = ("lang_pred", "score", "spans")) -> DataFrame:
+    """``docs`` with the language and its share of the letters, and with
+    ``spans`` the list of (start word, words, language) spans; without the text
+    unless ``keep_text``.  ``out`` names the new columns, which replace any of
+    those names."""
     reach_workers(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)  # languages x TABLE floats
-    others = [f for f in docs.schema.fields if f.name not in (text, "lang_pred", "score", "spans")]
+    others = [f for f in docs.schema.fields if f.name not in out and (keep_text or f.name != text)]
     names = [f.name for f in others]
     span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("words", T.IntegerType()),
                                      T.StructField("lang", T.StringType())]))
-    schema = T.StructType([*others, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
-                           *([T.StructField("spans", span)] if spans else [])])
+    schema = T.StructType([*others, T.StructField(out[0], T.StringType()), T.StructField(out[1], T.DoubleType()),
+                           *([T.StructField(out[2], span)] if spans else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
@@ -266,10 +268,10 @@ def predict(docs: DataFrame, model: Model, text: str = "text", spans: bool = Fal
                         cut = np.flatnonzero(np.r_[True, lab[1:] != lab[:-1]])
                         size = np.diff(np.r_[cut, len(lab)])
                         runs.append([{"start": int(a), "words": int(n), "lang": m.languages[lab[a]]} for a, n in zip(cut, size)])
-                out = [*(batch.column(n) for n in names), pa.array(pred, pa.string()), pa.array(score, pa.float64())]
+                cols = [*(batch.column(n) for n in names), pa.array(pred, pa.string()), pa.array(score, pa.float64())]
                 if spans:
                     kind = pa.list_(pa.struct([("start", pa.int32()), ("words", pa.int32()), ("lang", pa.string())]))
-                    out.append(pa.array(runs, kind))
-                yield pa.RecordBatch.from_arrays(out, names=schema.names)
+                    cols.append(pa.array(runs, kind))
+                yield pa.RecordBatch.from_arrays(cols, names=schema.names)
 
-    return docs.select(*names, text).mapInArrow(run, schema)
+    return docs.select(*dict.fromkeys([*names, text])).mapInArrow(run, schema)

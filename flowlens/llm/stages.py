@@ -1,37 +1,63 @@
 """Stages of the corpus pipeline: each keeps or drops whole documents by one
 operator and returns the columns it was given (the last one adds its own).
 
-Rows are told apart by doc_id.  Rows that repeat an id with the same text are
-one document; a null id is an id of its own.
+A document is a row; its doc_id names it.  Rows that repeat an id and its
+text are one document, of which exact dedup keeps one row.  Rows that share
+an id but not the text stay or go together in near-dedup.  Rows without an id
+are documents of their own: near-dedup links them with nothing.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import exact_dedup
-from flowlens.llm.common import id_crc, written
+from flowlens.llm import byte_bpe, decontaminate, exact_dedup, language_id, minhash
+from flowlens.llm.common import by_id, id_crc, table, written
 
+#: A document goes if no language covers this share of its letters.
+LEAST_SHARE = 0.5
+RANKS = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 
-def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is in ``ids`` (null matches null)."""
-    right = ids.select(F.col("doc_id").alias("__kept_id"))
-    return docs.join(right, docs["doc_id"].eqNullSafe(right["__kept_id"]), "left_semi")
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or in which no language has half the letters, go."""
+    model = language_id.train(docs, F.lit(True))
+    out = language_id.predict(docs, model, keep_text=True, out=("__lang", "__share", "__spans"))
+    return out.where((F.col("__lang") != language_id.UND) & (F.col("__share") >= LEAST_SHARE)).select(*docs.columns)
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts stays (most code points, then the
-    smallest id).  Of rows that repeat the winning id one stays."""
-    rows = exact_dedup.exact_dedup(exact_dedup.digested(docs), id_crc() % 2 == 0)
-    kept = written(rows.where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")), "kept")
-    once = _keep(docs, kept.where("n = 1"))
-    # a repeated id: its winning texts, one row each (few rows: only ids that repeat)
-    again = _keep(docs, kept.where("n > 1"))
-    winners = rows.where("kept").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"),
-                                        F.col("cp").alias("__cp")).distinct()
-    again = (again.withColumn("__d", exact_dedup.digest(F.col("text")))
-             .withColumn("__n", F.char_length(F.coalesce(F.col("text"), F.lit(""))).cast("long")))
-    same = (F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__d") == F.col("__digest")) & (F.col("__n") == F.col("__cp")))
-    again = again.join(winners, same, "left_semi")
-    again = again.dropDuplicates(["doc_id", "__d"]).select(*docs.columns)
+    """One row of each group of equal texts stays (most code points, then the smallest id)."""
+    rows = written(exact_dedup.exact_dedup(exact_dedup.digested(docs), id_crc() % 2 == 0), "winners")
+    ids = written(rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("kept")), "ids")
+    # ids of one row: the decision is the id's
+    once = by_id(docs, written(ids.where("n > 1 OR NOT kept"), "not-plain"), "left_anti")
+    # ids of several rows: the decision is the text's, and one row of it stays
+    some = by_id(docs, written(ids.where("n > 1 AND kept"), "repeated"), "left_semi")
+    some = some.withColumn("__d", exact_dedup.digest(F.col("text"))).withColumn(
+        "__n", F.char_length(F.coalesce("text", F.lit(""))).cast("long"))
+    won = rows.where("kept").select(F.col("doc_id").alias("__i"), F.col("digest").alias("__w"), F.col("cp").alias("__c")).distinct()
+    longest = won.groupBy("__i", "__w").agg(F.max("__c").alias("__c"))
+    same = F.col("doc_id").eqNullSafe(F.col("__i")) & (F.col("__d") == F.col("__w")) & (F.col("__n") == F.col("__c"))
+    again = some.join(longest, same, "left_semi").dropDuplicates(["doc_id", "__d"]).select(*docs.columns)
     return once.unionByName(again)
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays: the smallest id."""
+    out = minhash.near_duplicates(docs, shingle=5, percent=80)
+    gone = out.groupBy("doc_id").agg(F.max("kept").alias("kept")).where("NOT kept").select("doc_id")
+    return by_id(docs, written(gone, "near"), "left_anti")
+
+
+def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a test item go."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def byte_bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, ranks: str = RANKS) -> DataFrame:
+    """Every document with token_ids, n_tokens and decoded_ok (the ids decode to its bytes)."""
+    out = byte_bpe.encode_documents(docs, ranks, byte_bpe.PATTERN, out="token_ids")
+    out = byte_bpe.decode_documents(out, ranks, byte_bpe.PATTERN, ids="token_ids", out="__raw")
+    same = F.col("__raw") == F.coalesce("text", F.lit("")).cast("binary")
+    return out.withColumn("n_tokens", F.size("token_ids").cast("long")).withColumn("decoded_ok", same).drop("__raw")

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.llm.byte_bpe import _slices
-from flowlens.llm.common import reach_workers, written
+from flowlens.llm.common import by_id, reach_workers, written
 from flowlens.llm.minhash import _powers, _utf8, mix
 
 GRAM = 128
@@ -44,8 +44,6 @@ SHARD_BYTES = 4_000_000
 HOT_BYTES = 2_000_000
 #: Strings whose digests meet in one merging task, about.
 MERGE_STRINGS = 1_000_000
-#: Ids that a broadcast may hold; beyond that the join is a shuffle.
-BROADCAST_IDS = 500_000
 
 _RUNS = "doc_id long, sha binary, n_bytes long, runs array<struct<fp:long,h:long,s:int,n:int,loops:boolean>>"
 _MARKS = "fp long, h long, n int, lo array<int>, hi array<int>"
@@ -207,12 +205,6 @@ def _intervals(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 # --- the operator ---------------------------------------------------------------
 
-def _only(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """The rows of ``df`` whose key is in ``ids`` (written, distinct)."""
-    few = ids.count() <= BROADCAST_IDS
-    return df.join(F.broadcast(ids.select(key)) if few else ids.select(key), key, "left_semi")
-
-
 def _tid(sha):
     """96 bits of a text's SHA-256: the text's name in narrow tables."""
     return F.substring(sha, 1, 12)
@@ -327,7 +319,7 @@ def _removed(rows: DataFrame, length: int) -> DataFrame:
 def _one_text(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """tid, text of one document of each text named in ``ids``."""
     named = docs.withColumn("tid", _tid(F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))))
-    return _only(named.select("tid", "text"), ids, "tid").groupBy("tid").agg(F.first("text").alias("text"))
+    return by_id(named.select("tid", "text"), ids, "left_semi", "tid").groupBy("tid").agg(F.first("text").alias("text"))
 
 
 def remove_repeats(docs: DataFrame, length: int = 400, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
