@@ -7,11 +7,13 @@ signature.  Bands of coordinates are the buckets in which candidates meet.
 
 Documents with one set are one class and only its smallest id goes on.  In a
 bucket every member is verified against the bucket's hub, the member that
-meets most others over all bands.  Verified pairs are links; what they
-connect is settled.  Members that are still outside their hub's component are
-then queries against all members of their buckets that they are not yet
-connected to.  So no bucket is expanded into all its pairs, and no candidate
-pair of different components stays unverified.
+meets most others over all bands; those that are linked with it are settled.
+The others are queries against all members of their buckets.  Sets that are
+linked share one of their rarest shingles, and from its places in the two
+sets it follows how many they can share at most; queries meet only members
+that pass this prefix filter, and those pairs are verified too.  So no bucket
+is expanded into its pairs, and no linked pair of candidates is left out
+unless both are linked with the same hub.
 
 Cases: null or empty text, or text without words: an empty set, linked with
 nothing.  Fewer words than a shingle: the whole sequence is the one shingle.
@@ -23,11 +25,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.llm.byte_bpe import _slices
@@ -192,6 +194,108 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return out.withColumn("linked", F.col("shared") * 100 >= F.col("total") * percent)
 
 
+#: Slots of the table of shingle counts that orders the prefix filter.
+COUNT_SLOTS = 1 << 20
+
+
+def _size_classes() -> np.ndarray:
+    """The smallest size of each class; sizes in a class differ by 2 % at most."""
+    out = [1]
+    while out[-1] < 1 << 31:
+        out.append(max(out[-1] + 1, int(out[-1] * 1.02)))
+    return np.array(out, np.int64)
+
+
+_CLASSES = _size_classes()
+
+
+def prefix_rows(sets: list[np.ndarray], ask: list[bool], counts: np.ndarray, percent: int) -> list[tuple[np.ndarray, ...]]:
+    """(set, side, shingle, class of the partner's or own size, place, size).
+
+    Shingles are in one order, the rare first; places count from 1.  Linked
+    sets of sizes x <= y share p(x+y)/(100+p) shingles, so the first shared one
+    stands at most at x - that + 1 and y - that + 1.  Sides: 0 the smaller and
+    1 the larger set under its own size class; 2 a query as the larger and 3 as
+    the smaller one, under every class that a partner's size can have.
+    """
+    def need(x, y):
+        return -(-percent * (x + y) // (100 + percent))
+
+    out = []
+    for k, (items, asks) in enumerate(zip(sets, ask)):
+        n = len(items)
+        items = items[np.lexsort((items, counts[(items % np.uint64(COUNT_SLOTS)).astype(np.int64)]))]
+        least, most = -(-percent * n // 100), 100 * n // percent
+        own = int(np.searchsorted(_CLASSES, n, side="right")) - 1
+        spans = [(0, own, n - need(n, n) + 1), (1, own, n - need(least, n) + 1)]
+        if asks:
+            low = int(np.searchsorted(_CLASSES, least, side="right")) - 1
+            high = int(np.searchsorted(_CLASSES, most, side="right")) - 1
+            spans += [(2, c, n - need(max(int(_CLASSES[c]), least), n) + 1) for c in range(low, own + 1)]
+            spans += [(3, c, n - need(n, max(int(_CLASSES[c]), n)) + 1) for c in range(own, high + 1)]
+        for side, c, m in spans:
+            m = max(0, min(n, m))
+            out.append((np.full(m, k), np.full(m, side), items[:m].view(np.int64), np.full(m, c), np.arange(1, m + 1), np.full(m, n)))
+    return out
+
+
+_PARITY = [f"p{k}" for k in range(4)]
+
+
+def parities(items: np.ndarray) -> np.ndarray:
+    """For 256 classes of shingles, whether the set has an odd number: 4 words."""
+    odd = np.bincount((items >> np.uint64(56)).astype(np.int64), minlength=256) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (u, v) of a query and another set that pass the prefix filter."""
+    spark = sets.sparkSession
+    sets = written(sets, "asked-sets")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(COUNT_SLOTS, np.int64)
+        for batch in batches:
+            for x in batch.column("items").to_pylist():
+                n += np.bincount((np.frombuffer(x, np.uint64) % np.uint64(COUNT_SLOTS)).astype(np.int64), minlength=COUNT_SLOTS)
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], names=["slot", "n"])
+
+    # COUNT_SLOTS rows at most come to the driver; the order is right with any counts, and selective with these
+    seen = sets.select("items").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(COUNT_SLOTS, np.int64)
+    counts[seen["slot"]] = seen["n"]
+    held = spark.sparkContext.broadcast(counts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["side", "token", "class", "place", "size", "rep", *_PARITY]
+        for whole in batches:
+            for batch in _slices(whole, "items", 1 << 20):
+                items = [np.frombuffer(x, np.uint64) for x in batch.column("items").to_pylist()]
+                parts = prefix_rows(items, batch.column("ask").to_pylist(), held.value, percent)
+                if parts:
+                    k, *cols = (np.concatenate(c) for c in zip(*parts))
+                    cols += [batch.column("rep").to_numpy()[k], *np.stack([parities(x) for x in items])[k].T]
+                    yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], names=names)
+
+    rows = written(sets.mapInArrow(run, ", ".join(f"{c} long" for c in ("side", "token", "class", "place", "size", "rep", *_PARITY))),
+                   "prefixes", by=["side"])
+
+    def side(k: int, name: str) -> DataFrame:
+        return rows.where(F.col("side") == k).select("token", "class", *(F.col(c).alias(f"{name}_{c}") for c in ("place", "size", "rep", *_PARITY)))
+
+    # sets that differ in d shingles differ in d parity bits at most
+    differ = reduce(Column.__add__, (F.bit_count(F.col(f"x_{c}").bitwiseXOR(F.col(f"y_{c}"))) for c in _PARITY))
+    total = F.col("x_size") + F.col("y_size")
+
+    left = 1 + F.least(F.col("x_size") - F.col("x_place"), F.col("y_size") - F.col("y_place"))
+    fits = (F.col("x_size") <= F.col("y_size")) & (F.col("x_rep") != F.col("y_rep")) & (
+        left * (100 + percent) >= total * percent) & (differ * (100 + percent) <= total * (100 - percent))
+    found = [a.join(b, ["token", "class"]).where(fits).select(F.least("x_rep", "y_rep").alias("u"), F.greatest("x_rep", "y_rep").alias("v"))
+             for a, b in ((side(0, "x"), side(2, "y")), (side(3, "x"), side(1, "y")))]
+    return found[0].unionByName(found[1]).distinct()
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text",
                     bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, set_id, component_id, kept for every row."""
@@ -212,21 +316,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, key: s
     star = met.where("rep <> hub").select(F.least("rep", "hub").alias("u"), F.greatest("rep", "hub").alias("v")).distinct()
     tested = written(_verified(star, sets, percent), "star")
     links = tested.where("linked").select("u", "v")
-    found = components(links)
-
-    # what the hubs left apart: members outside their hub's component ask their buckets
-    label = found.select(F.col("node").alias("rep"), "component")
-    placed = met.join(label, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    label = found.select(F.col("node").alias("hub"), F.col("component").alias("main"))
-    placed = placed.join(label, "hub", "left").withColumn("main", F.coalesce("main", "hub"))
-    placed = written(placed, "placed")
-    ask = placed.where("component <> main").select("bucket", F.col("rep").alias("q"), F.col("size").alias("q_size"), F.col("component").alias("q_component"))
-    near = placed.join(ask, "bucket").where(
-        (F.col("component") != F.col("q_component"))
-        & (F.least("size", "q_size") * 100 >= F.greatest("size", "q_size") * percent))  # no link otherwise
-    rest = near.select(F.least("rep", "q").alias("u"), F.greatest("rep", "q").alias("v")).distinct().join(tested, ["u", "v"], "left_anti")
-    more = _verified(rest, sets, percent).where("linked").select("u", "v")
-    found = components(written(links.unionByName(more), "links"))
+
+    # members that are not linked with their bucket's hub ask all members of the bucket
+    linked = links.select(F.col("u").alias("lu"), F.col("v").alias("lv"))
+    settled = (F.col("rep") == F.col("hub")) | F.col("lu").isNotNull()
+    placed = met.join(linked, (F.least("rep", "hub") == F.col("lu")) & (F.greatest("rep", "hub") == F.col("lv")), "left")
+    placed = written(placed.select("bucket", "rep", settled.alias("settled")), "placed")
+    unsettled = placed.groupBy("bucket").agg(F.min("settled").alias("s")).where("NOT s").select("bucket")
+    asked = written(placed.join(unsettled, "bucket").groupBy("rep").agg((~F.min("settled")).alias("ask")), "asked")
+    rest = _prefix_pairs(asked.join(sets, asked["rep"] == sets["doc_id"]).select("rep", "ask", "items"), percent)
+    more = _verified(written(rest, "rest"), sets, percent).where("linked").select("u", "v")
+    found = components(links.unionByName(more))
 
     of_class = classes.select("set_id", "rep").join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
     of_class = of_class.select("set_id", F.coalesce("component", "rep").alias("component"))
