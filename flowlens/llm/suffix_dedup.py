@@ -248,8 +248,8 @@ def _search_shards(segments: DataFrame, length: int) -> DataFrame:
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         hits = repeated_starts([bytes(b) for b in pdf["bytes"]], length)
         spans = [_intervals(x) for x in hits]
-        out = pdf[["fp", "h", "n"]].assign(lo=[a for a, _ in spans], hi=[b for _, b in spans])
-        return out[[len(a) > 0 for a, _ in spans]]
+        out = pd.DataFrame({"fp": pdf["fp"], "h": pdf["h"], "n": pdf["n"], "lo": [a for a, _ in spans], "hi": [b for _, b in spans]})
+        return out[[len(a) > 0 for a, _ in spans]].astype({"lo": object, "hi": object})
 
     return segments.groupBy("shard").applyInPandas(one, _MARKS)
 
@@ -288,8 +288,9 @@ def _merge_shards(segments: DataFrame, length: int, buckets: int) -> DataFrame:
             out.append(pd.DataFrame({"fp": pdf["fp"].iloc[0], "h": np.frombuffer(h, np.int64)[hit], "n": np.frombuffer(n, np.int32)[hit],
                                      "at": np.frombuffer(at, np.int32)[hit]}))
         rows = pd.concat(out)
-        rows = rows.groupby(["fp", "h", "n"])["at"].agg(lambda x: np.sort(x.to_numpy())).reset_index() if len(rows) else rows
-        return pd.DataFrame({"fp": rows["fp"], "h": rows["h"], "n": rows["n"], "lo": rows["at"], "hi": rows["at"]})
+        spans = [(*k, x.tolist()) for k, x in rows.groupby(["fp", "h", "n"])["at"]]
+        out = pd.DataFrame([(fp, h, n, sorted(at), sorted(at)) for fp, h, n, at in spans], columns=["fp", "h", "n", "lo", "hi"])
+        return out.astype({"lo": object, "hi": object})
 
     lists = segments.groupBy("shard").applyInPandas(listed, _SORTED)
     return lists.groupBy("fp", "bucket").applyInPandas(met, _MARKS)
