@@ -158,3 +158,12 @@ SUPERVISED_FEATURES = [
 ENSEMBLE_FINANCIAL = ["receita_media", "despesa_media", "fluxo_medio", "margem_media",
                       "receita_total", "crescimento_medio", "volatilidade_receita",
                       "consistencia_fluxo"]
+
+# FIXED VALUES: per loss scenario, the code of its description (what the loss
+# cuts) and the codes of its mitigation strategies, in order.
+SCENARIO_TEXTS = {
+    "top_payer_loss": ("loss_cuts_receipts", ["diversify_payers", "alternative_contracts", "strategic_safety_stock"]),
+    "top_payee_loss": ("loss_cuts_payments", ["diversify_payees", "new_sales_channels", "retain_existing_clients"]),
+    "top_partners_joint_loss": ("joint_loss_cuts_both", ["geographic_and_sector_spread", "long_term_contracts",
+                                                         "emergency_reserves", "contingency_plan"]),
+}

@@ -117,17 +117,19 @@ def relationships_table(ego_edges: DataFrame, rows: int = 15) -> DataFrame:
                     "weight", (F.col("weight") > F.col("_p80")).alias("high_risk"))
 
 
-def network_resilience(nodes: DataFrame, companies: DataFrame) -> DataFrame:
-    """Resilience of each company's ego network (closed forms on a star):
+def network_resilience(ego_edges: DataFrame, companies: DataFrame) -> DataFrame:
+    """Resilience of each company's ego network (closed forms on a star; P and
+    R count payers and receivers by edges, whatever their weight):
     connectivity 1 (n>=2), redundancy min(1, R/(n-1)), degree centrality
     (P+R)/(n-1) (1 when n<=1), clustering 0;
     score = .3*connectivity + .3*redundancy + .2*(1-centrality) + .2*clustering.
     Companies without a network get zeros."""
-    is_ego = F.col("node_id") == F.col("ego")
+    nodes = _node_legs(ego_edges).groupBy("ego", "node_id").agg(
+        F.max("pays_ego").alias("payer"), F.max("paid_by_ego").alias("receiver"))
+    other = F.col("node_id") != F.col("ego")
     g = nodes.groupBy("ego").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.when(~is_ego & (F.col("in_w") > 0), 1).otherwise(0)).alias("R"),
-        F.sum(F.when(~is_ego & (F.col("out_w") > 0), 1).otherwise(0)).alias("P"))
+        F.count(F.lit(1)).alias("n"), F.count_if(other & F.col("receiver")).alias("R"),
+        F.count_if(other & F.col("payer")).alias("P"))
     n = F.col("n")
     conn = F.when(n >= 2, F.lit(1.0)).otherwise(F.lit(0.0))
     red = F.when(n > 1, F.least(F.lit(1.0), F.col("R").cast("double") / (n - 1).cast("double"))).otherwise(F.lit(0.0))

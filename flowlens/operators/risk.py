@@ -21,14 +21,15 @@ def pair_volumes(edges: DataFrame) -> DataFrame:
 
 
 def partner_flows(pairs: DataFrame) -> DataFrame:
-    """(company, partner) -> value received from / paid to the partner."""
+    """(company, partner) -> value and payments received from / paid to the partner."""
+    zero, none = F.lit(0.0), F.lit(0).cast("long")
     legs = pairs.select(F.explode(F.array(
-        F.struct(F.col("dst").alias("company_id"), F.col("src").alias("partner_id"),
-                 F.col("v").alias("vin"), F.lit(0.0).alias("vout")),
-        F.struct(F.col("src").alias("company_id"), F.col("dst").alias("partner_id"),
-                 F.lit(0.0).alias("vin"), F.col("v").alias("vout")),
+        F.struct(F.col("dst").alias("company_id"), F.col("src").alias("partner_id"), F.col("v").alias("vin"),
+                 zero.alias("vout"), F.col("n").cast("long").alias("nin"), none.alias("nout")),
+        F.struct(F.col("src").alias("company_id"), F.col("dst").alias("partner_id"), zero.alias("vin"),
+                 F.col("v").alias("vout"), none.alias("nin"), F.col("n").cast("long").alias("nout")),
     )).alias("l")).select("l.*")
-    return legs.groupBy("company_id", "partner_id").agg(F.sum("vin").alias("vin"), F.sum("vout").alias("vout"))
+    return legs.groupBy("company_id", "partner_id").agg(*(F.sum(c).alias(c) for c in ("vin", "vout", "nin", "nout")))
 
 
 def _level(x) -> F.Column:
@@ -39,11 +40,11 @@ def concentration_metrics(pairs: DataFrame, companies: DataFrame) -> DataFrame:
     """Per company and direction (in / out / both): HHI, top partner share,
     top-3 share, number of partners, total and level (top > .5 CRÍTICO, else
     top-3 > .8 ALTO, > .6 MÉDIO, else BAIXO).  No payments or a zero total ->
-    zeros and BAIXO.  HHI is Σv²/total² (one aggregation pass)."""
+    zeros and BAIXO.  A partner is one with a payment, whatever its amount.
+    HHI is Σv²/total² (one aggregation pass)."""
     pf = partner_flows(pairs)
     legs = pf.select("company_id", "partner_id", F.explode(F.array(
-        *[F.when(F.col(c) > 0, F.struct(F.lit(d).alias("direction"), F.col(c).alias("v")))
-          for d, c in (("in", "vin"), ("out", "vout"))],
+        *[F.when(F.col(f"n{d}") > 0, F.struct(F.lit(d).alias("direction"), F.col(f"v{d}").alias("v"))) for d in ("in", "out")],
         F.struct(F.lit("both").alias("direction"), (F.col("vin") + F.col("vout")).alias("v")),
     )).alias("d")).filter(F.col("d").isNotNull()).select("company_id", "partner_id", "d.direction", "d.v")
     tot = legs.groupBy("company_id", "direction").agg(
@@ -102,7 +103,8 @@ def risk_scenarios(impact: DataFrame) -> DataFrame:
     up to three partners taken from the top-3 payers ∪ top-3 payees (only if
     that set has ≥2 members; the three with the largest impact, ties by id),
     impact = Σ max-impact, percentage capped at 100, level from the
-    uncapped value."""
+    uncapped value.  ``description`` and ``mitigation_strategies`` are stable
+    codes (constants.SCENARIO_TEXTS)."""
     cols = ["company_id", "partner_id", "impact_receita_pct", "impact_pagamentos_pct", "impact_total_pct"]
     imp = impact.select(*cols, "volume_at_risk_in", "volume_at_risk_out")
     payers = _top_k(imp, "volume_at_risk_in", 3)
@@ -127,7 +129,13 @@ def risk_scenarios(impact: DataFrame) -> DataFrame:
     s3 = joint.select("company_id", F.lit("top_partners_joint_loss").alias("scenario"), "affected_companies",
                       F.least(F.lit(100.0), F.col("_imp") * 100).alias("impact_percentage"),
                       _level(F.col("_imp")).alias("risk_level"))
-    return s1.unionByName(s2).unionByName(s3)
+    out = s1.unionByName(s2).unionByName(s3)
+    description, mitigation = F.lit(None).cast("string"), F.lit(None).cast("array<string>")
+    for name, (text, strategies) in C.SCENARIO_TEXTS.items():
+        here = F.col("scenario") == name
+        description = F.when(here, F.lit(text)).otherwise(description)
+        mitigation = F.when(here, F.array(*[F.lit(x) for x in strategies])).otherwise(mitigation)
+    return out.withColumns({"description": description, "mitigation_strategies": mitigation})
 
 
 def node_profile(edges: DataFrame) -> DataFrame:

@@ -215,7 +215,7 @@ def q_relationships_table(ctx: Context):
 @query("network_resilience", ratio("resilience_score", "redundancy", "connectivity", "clustering",
                                    "degree_centrality"))
 def q_network_resilience(ctx: Context):
-    return EG.network_resilience(_ego_nodes(ctx), ctx.base1)
+    return EG.network_resilience(_ego(ctx), ctx.base1)
 
 
 # ---------------------------------------------------------------- risk
@@ -552,11 +552,7 @@ def _supervised_model(ctx: Context):
 
 
 def _ensemble_model(ctx: Context):
-    # 50 boosting rounds instead of the default 200 keep this rows-only check
-    # to minutes (MLlib boosting is sequential; 200 rounds x 5 one-vs-rest
-    # models x 6 fits is ~10 min even on tiny data).  The operator default
-    # and the batch pipeline use 200.
-    return ctx._get("ens_model", lambda: ST.stage_ensemble(_profile(ctx), gb_rounds=50))
+    return ctx._get("ens_model", lambda: ST.stage_ensemble(_profile(ctx)))
 
 
 @query("stage_unsupervised", ratio("confianca"))

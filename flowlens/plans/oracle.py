@@ -25,7 +25,8 @@ CTES: list[tuple[str, str]] = [
                l.l_orderkey AS okey
         FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"""),
     ("base2", """
-        SELECT ID_PGTO, ID_RCBE, CAST(date_trunc('month', ts) AS DATE) AS DT_REFE, VL,
+        SELECT ID_PGTO, ID_RCBE, CAST(date_trunc('month', ts) AS DATE) AS DT_REFE,
+               CASE WHEN okey % 997 = 0 THEN 0.0 ELSE VL END AS VL,
                CASE prio WHEN '1-URGENT' THEN 'PIX' WHEN '2-HIGH' THEN 'TED'
                          WHEN '3-MEDIUM' THEN 'BOLETO' ELSE 'OUTROS' END AS DS_TRAN
         FROM pay WHERE ID_PGTO <> ID_RCBE"""),
@@ -288,21 +289,21 @@ _reg("network_resilience", """
              CASE WHEN n >= 2 THEN 1.0 ELSE 0.0 END AS conn,
              CASE WHEN n > 1 THEN least(1.0, CAST(r AS DOUBLE) / CAST(n - 1 AS DOUBLE)) ELSE 0.0 END AS red,
              CASE WHEN n > 1 THEN CAST(p + r AS DOUBLE) / CAST(n - 1 AS DOUBLE) ELSE 1.0 END AS cent
-      FROM (SELECT ego, count(*) AS n,
-                   sum(CASE WHEN node_id <> ego AND in_w > 0 THEN 1 ELSE 0 END) AS r,
-                   sum(CASE WHEN node_id <> ego AND out_w > 0 THEN 1 ELSE 0 END) AS p
-            FROM enodes GROUP BY ego) g) x ON x.ego = c.ID""")
+      FROM (SELECT ego, (SELECT count(DISTINCT z) FROM (SELECT unnest([i.src, i.dst]) AS z FROM egoe i WHERE i.ego = o.ego)) AS n,
+                   count(DISTINCT CASE WHEN src = ego AND dst <> ego THEN dst END) AS r,
+                   count(DISTINCT CASE WHEN dst = ego AND src <> ego THEN src END) AS p
+            FROM egoe o GROUP BY ego) g) x ON x.ego = c.ID""")
 
 # ------------------------------------------------------------ risk
 CTES += [
     ("pairs", "SELECT ID_PGTO AS src, ID_RCBE AS dst, sum(VL) AS v, count(*) AS n FROM base2 GROUP BY 1, 2"),
     ("pf", """
-        SELECT company_id, partner_id, sum(vin) AS vin, sum(vout) AS vout FROM (
-          SELECT dst AS company_id, src AS partner_id, v AS vin, 0.0 AS vout FROM pairs
-          UNION ALL SELECT src, dst, 0.0, v FROM pairs) x GROUP BY 1, 2"""),
+        SELECT company_id, partner_id, sum(vin) AS vin, sum(vout) AS vout, sum(nin) AS nin, sum(nout) AS nout FROM (
+          SELECT dst AS company_id, src AS partner_id, v AS vin, 0.0 AS vout, n AS nin, 0 AS nout FROM pairs
+          UNION ALL SELECT src, dst, 0.0, v, 0, n FROM pairs) x GROUP BY 1, 2"""),
     ("cleg", """
-        SELECT company_id, partner_id, 'in' AS direction, vin AS v FROM pf WHERE vin > 0
-        UNION ALL SELECT company_id, partner_id, 'out', vout FROM pf WHERE vout > 0
+        SELECT ID_RCBE AS company_id, ID_PGTO AS partner_id, 'in' AS direction, sum(VL) AS v FROM base2 GROUP BY 1, 2
+        UNION ALL SELECT ID_PGTO, ID_RCBE, 'out', sum(VL) FROM base2 GROUP BY 1, 2
         UNION ALL SELECT company_id, partner_id, 'both', vin + vout FROM pf"""),
     ("cmet", """
         SELECT g.company_id, g.direction,
@@ -396,7 +397,15 @@ _reg("counterparty_loss_impact", """
                 WHEN impact_total_pct > 0.15 THEN '3-6 meses' ELSE '1-3 meses' END AS recovery_time_estimate,
            volume_at_risk_in, volume_at_risk_out
     FROM imp""")
-_reg("risk_scenarios", "SELECT * FROM scen")
+_reg("risk_scenarios", """
+    SELECT scen.*,
+           CASE scenario WHEN 'top_payer_loss' THEN 'loss_cuts_receipts' WHEN 'top_payee_loss' THEN 'loss_cuts_payments'
+                ELSE 'joint_loss_cuts_both' END AS description,
+           CASE scenario WHEN 'top_payer_loss' THEN 'diversify_payers,alternative_contracts,strategic_safety_stock'
+                WHEN 'top_payee_loss' THEN 'diversify_payees,new_sales_channels,retain_existing_clients'
+                ELSE 'geographic_and_sector_spread,long_term_contracts,emergency_reserves,contingency_plan' END
+             AS mitigation_strategies
+    FROM scen""")
 _reg("partner_risk_score", "SELECT * FROM nprof")
 _reg("diversification_targets", """
     SELECT company_id, CAST(rank AS BIGINT) AS rank, partner_id, avg_transaction_volume, diversification_level,

@@ -10,7 +10,9 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import features as FT
 from ..operators import flows as FL
@@ -28,6 +30,10 @@ class ValidationError(RuntimeError):
     pass
 
 
+#: What a fit raises when its labels or rows are unfit, as against a failed job.
+LABELS_UNFIT = (ValueError, ZeroDivisionError, IllegalArgumentException)
+
+
 @dataclass
 class BuildConfig:
     out_dir: str
@@ -41,6 +47,9 @@ class BuildConfig:
 
 
 def _sink(spark: SparkSession, df: DataFrame, path: str, partition_by=None) -> DataFrame:
+    if partition_by:
+        # rows of a partition meet first (large ones in several tasks): few files each
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     write_parquet(df, path, partition_by)
     return spark.read.parquet(path)
 
@@ -65,26 +74,27 @@ def build_all(spark: SparkSession, base1: DataFrame, base2: DataFrame, cfg: Buil
     f = sink("f_empresa_mes", FL.f_empresa_mes(b1, flows))
     feats = sink("stage_features", FT.stage_features(f, cfg.months_window))
     unsup = sink("estagio_unsupervised", ST.stage_unsupervised(feats))
+    sup = sink("supervised_features", FT.supervised_features(b1, flows, b2, cfg.as_of))
     try:
-        sup = sink("supervised_features", FT.supervised_features(b1, flows, b2, cfg.as_of))
         pred, ev = ST.stage_supervised(sup)
+    except LABELS_UNFIT:
+        # the labels cannot be fitted (none, or none of a class); a failed job is not caught and ends the build
+        log.exception("supervised staging failed; the unsupervised stages are used instead")
+        sink("estagio", unsup)
+        stages = unsup.select("ID", "estagio", "confianca")
+    else:
         est = sink("estagio", pred)
         sink("estagio_eval", ev)
-        stages = est.groupBy("ID").agg({"estagio": "first", "confianca": "first"}) \
-            .withColumnRenamed("first(estagio)", "estagio").withColumnRenamed("first(confianca)", "confianca")
-        rep = FL.flows_for_reporting(f)
-        summary = sink("company_summary", SM.company_summary(rep, b1, stages))
-        profile = sink("company_profile", FT.company_profile(summary, sup, stages))
-        if cfg.run_ensemble:
-            ens, info, _ = ST.stage_ensemble(profile)
-            sink("estagio_ensemble", ens)
-            sink("ensemble_weights", info)
-        sink("sector_analysis", SC.competitive_analysis(profile))
-    except ValidationError:
-        raise
-    except Exception:  # noqa: BLE001 - supervised path failed: unsupervised stages become the stages
-        log.exception("supervised staging failed; writing the unsupervised stages instead")
-        sink("estagio", unsup)
+        latest = F.struct("DT_REFE", "estagio", "confianca")  # the stage of the latest month
+        stages = est.groupBy("ID").agg(F.max(latest).alias("s")).select("ID", "s.estagio", "s.confianca")
+    rep = FL.flows_for_reporting(f)
+    summary = sink("company_summary", SM.company_summary(rep, b1, stages))
+    profile = sink("company_profile", FT.company_profile(summary, sup, stages))
+    if cfg.run_ensemble:
+        ens, info, _ = ST.stage_ensemble(profile)
+        sink("estagio_ensemble", ens)
+        sink("ensemble_weights", info)
+    sink("sector_analysis", SC.competitive_analysis(profile))
 
     edges = sink("edges_month", FL.edges_month(b2), ["year_month"])
     imp = RL.relation_importance(edges, cfg.relations_window)

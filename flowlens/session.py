@@ -3,7 +3,7 @@
 The library never creates its own cluster settings; these helpers are for
 tests, the bench and local runs.  ``checkpoint_dir`` reads the directory the
 cluster names in ``spark.checkpoint.dir`` and only invents a local one when
-the setting is absent (local mode / tests).
+the setting is absent on a local master (tests, bench); elsewhere it raises.
 """
 from __future__ import annotations
 
@@ -48,6 +48,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     if _LOCAL_CKPT is None:
         _LOCAL_CKPT = tempfile.mkdtemp(prefix="flowlens-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", _LOCAL_CKPT)

@@ -57,7 +57,7 @@ AS_OF = "2001-09-01"
 
 class Bases(NamedTuple):
     base1: DataFrame       # clean profile
-    base2: DataFrame       # clean ledger, self-payments removed
+    base2: DataFrame       # clean ledger (unreadable amounts are 0), self-payments removed
     base2_raw: DataFrame   # raw ledger (text amount/channel, self-payments kept)
     base1_raw: DataFrame   # raw profile (text values, mid-month timestamps)
 
@@ -136,7 +136,8 @@ def load_bases(spark: SparkSession, sf_dir: str, start_month: str | None = None)
     base2 = (pay.filter(F.col("ID_PGTO") != F.col("ID_RCBE"))
              .select("ID_PGTO", "ID_RCBE",
                      month_start("o_orderdate").alias("DT_REFE"),
-                     "VL",
+                     # as ingest leaves them: unreadable amounts are 0
+                     F.when(F.col("l_orderkey") % 997 == 0, F.lit(0.0)).otherwise(F.col("VL")).alias("VL"),
                      _mapped(prio, CLEAN_CHANNEL).alias("DS_TRAN")))
     prof = _profile(spark, sf_dir, start_month)
     base1 = prof.drop("_key")

@@ -9,7 +9,7 @@ from ..functions.columns import month_start
 
 
 def _strip(c) -> F.Column:
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.btrim(c, F.lit(" \t\n\x0b\f\r"))
 
 
 def _to_double_or_null(c) -> F.Column:

@@ -11,7 +11,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def sql_over_parquet(spark: SparkSession, sql: str, paths: list[str]) -> DataFrame:
     """Register each parquet path as temp view ``t0, t1, ...`` and run ``sql``.
     The query is planned by Catalyst, so filters and projections reach the
-    parquet scans."""
+    parquet scans.  The views live in a session of their own, so callers do
+    not overwrite each other's."""
+    own = spark.newSession()
     for i, p in enumerate(paths):
-        spark.read.parquet(p).createOrReplaceTempView(f"t{i}")
-    return spark.sql(sql)
+        own.read.parquet(p).createOrReplaceTempView(f"t{i}")
+    return own.sql(sql)

@@ -31,26 +31,47 @@ def monthly_totals_stream(spark: SparkSession, ledger_dir: str, max_files_per_tr
             .agg(F.sum("leg.rec").alias("receita_mensal"), F.sum("leg.des").alias("despesa_mensal")))
 
 
+def snapshot_versions(spark: SparkSession, snapshot_dir: str) -> list[int]:
+    """Versions that were written to the end, oldest first (any file system Spark reads)."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(snapshot_dir)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    names = [s.getPath() for s in fs.listStatus(folder)]
+    done = [p.getName() for p in names
+            if p.getName().startswith("v=") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return sorted(int(n[2:]) for n in done)
+
+
+def latest_snapshot(spark: SparkSession, snapshot_dir: str) -> DataFrame | None:
+    versions = snapshot_versions(spark, snapshot_dir)
+    return spark.read.parquet(f"{snapshot_dir.rstrip('/')}/v={versions[-1]:08d}") if versions else None
+
+
 def run_monthly_flows(spark: SparkSession, ledger_dir: str, snapshot_dir: str, checkpoint_location: str,
                       available_now: bool = True):
     """Start the stream; every micro-batch replaces the updated (company,
     month) groups in the snapshot (anti-join on the keys + union), written
-    to a new version folder so readers never see a half-written table."""
-    state = {"version": None}
+    to a new version folder so readers never see a half-written table.
+
+    The version before a batch is looked up in the snapshot folder, so a
+    stream that is stopped and restarted on its checkpoint goes on from there,
+    and a batch that is run again overwrites its own version.
+    """
+    root = snapshot_dir.rstrip("/")
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        path = f"{snapshot_dir.rstrip('/')}/v={epoch_id:08d}"
-        prev = (spark.read.parquet(f"{snapshot_dir.rstrip('/')}/v={state['version']:08d}")
-                if state["version"] is not None else None)
-        merged = batch if prev is None else prev.join(batch.select("ID", "year_month"),
-                                                       ["ID", "year_month"], "left_anti").unionByName(batch)
-        merged.write.mode("overwrite").parquet(path)
-        state["version"] = epoch_id
+        earlier = [v for v in snapshot_versions(spark, root) if v < epoch_id]
+        merged = batch
+        if earlier:
+            prev = spark.read.parquet(f"{root}/v={earlier[-1]:08d}")
+            merged = prev.join(batch.select("ID", "year_month"), ["ID", "year_month"], "left_anti").unionByName(batch)
+        merged.write.mode("overwrite").parquet(f"{root}/v={epoch_id:08d}")
 
     writer = (monthly_totals_stream(spark, ledger_dir).writeStream.outputMode("update")
               .option("checkpointLocation", checkpoint_location).foreachBatch(upsert))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start(), state
+    return writer.start()
 
 
 def flows_from_snapshot(snapshot: DataFrame) -> DataFrame:

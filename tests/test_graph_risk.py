@@ -133,3 +133,23 @@ def test_diversification_matches_brute_force(spark, top_m, fanout):
     got = {c: [p for _, p in sorted(v)] for c, v in got.items()}
     want = {c: v for c, v in _brute_div(rows).items() if v}
     assert got == want
+
+
+def test_partners_with_zero_amounts_count(spark):
+    rows = [("P1", "C", m(2020, 1), 10.0), ("P2", "C", m(2020, 1), 0.0), ("C", "S", m(2020, 1), 0.0)]
+    e = edges(spark, rows)
+    comp = profile(spark, [("C", m(2020, 1), 1.0, 1.0, None, "x")])
+    got = {r.direction: r for r in RK.concentration_metrics(RK.pair_volumes(e), comp).collect()}
+    assert (got["in"].num_partners, got["both"].num_partners) == (2, 3)
+    assert (got["out"].num_partners, got["out"].concentration_risk) == (0, "BAIXO")  # the total is zero
+    net = EG.network_resilience(RL.ego_edges(e, None, 3, "both", 25), comp).first()
+    # nodes C, P1, P2, S: one receiver of three others, all three linked with the ego
+    assert abs(net.redundancy - 1 / 3) < 1e-12 and abs(net.degree_centrality - 1.0) < 1e-12
+
+
+def test_scenarios_carry_codes(spark):
+    e = edges(spark, [("P1", "C", m(2020, 1), 10.0), ("C", "S", m(2020, 1), 4.0)])
+    got = {r.scenario: r for r in RK.risk_scenarios(RK.counterparty_loss_impact(RK.pair_volumes(e))).filter("company_id = 'C'").collect()}
+    assert set(got) == {"top_payer_loss", "top_payee_loss", "top_partners_joint_loss"}
+    assert got["top_payer_loss"].description == "loss_cuts_receipts"
+    assert got["top_partners_joint_loss"].mitigation_strategies[-1] == "contingency_plan"
