@@ -9,8 +9,7 @@ labels spans of one language; the document's language is the one that covers
 the most letters.
 
 The model is fitted on at most ``per_language`` labelled texts of each
-language, those with the smallest hash of the id: a bounded, documented
-sample.  Prediction reads every whole text and nothing else.
+language, small hashes of the id first: a bounded, documented sample.  Prediction reads every whole text and nothing else.
 
 Cases: null text, empty text or text without a letter: ``und``, score 0, no
 span.  A script that no language is written in: all languages stay
@@ -19,6 +18,7 @@ that sorts first.  Repeated rows are predicted alike.
 """
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -194,7 +194,10 @@ def train(docs: DataFrame, chosen: Column, key: str = "doc_id", text: str = "tex
     w = Window.partitionBy("lang").orderBy("at", "doc_id")
     rows = docs.where(chosen & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).alias("lang"), F.col(key).cast("string").alias("doc_id"), F.xxhash64(F.col(key).cast("string")).alias("at"))
-    ids = rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= per_language)
+    # first within pieces of the hash range, so that no task ranks a whole language
+    pieces = Window.partitionBy("lang", F.pmod("at", F.lit(256))).orderBy("at", "doc_id")
+    few = rows.withColumn("rank", F.row_number().over(pieces)).where(F.col("rank") <= math.ceil(per_language / 32))
+    ids = few.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= per_language)
     ids = ids.select(F.col("doc_id").alias("__id")).distinct()
     labelled = docs.where(chosen & F.col(lang).isNotNull() & F.col(text).isNotNull())
     sample = labelled.join(F.broadcast(ids), labelled[key].cast("string") == ids["__id"], "left_semi").select(
