@@ -55,12 +55,15 @@ PARAGRAPH_ENDS = {"address", "article", "aside", "blockquote", "details", "div",
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu", "menubar"}
 #: Words of a class or id that name boilerplate.
 WORDS = {"ad", "ads", "adbox", "adslot", "adunit", "adsense", "advert", "adverts", "advertisement", "advertising", "alert",
-         "banner", "breadcrumb", "breadcrumbs", "byline", "comment", "comments", "consent", "cookie", "cookies", "disqus",
+         "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "cookie", "cookies", "disqus",
          "footer", "gdpr", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice",
          "notices", "notification", "overlay", "pager", "pagination", "popup", "promo", "promotion", "recommended", "related",
          "replies", "search", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe",
          "toolbar", "topbar", "widget"}
 COMMENT_WORDS = {"comment", "comments", "replies", "disqus"}
+#: Of these, what may hold an article element that is not the page's own.
+HOLDERS = {"aside", "footer", "dialog"}
+HOLDER_WORDS = COMMENT_WORDS | {"recommended", "related", "sidebar", "widget", "promo", "promotion", "sponsored"}
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
                   r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*|[^>]*)>""", re.S)
@@ -74,9 +77,10 @@ def host_of(url: str | None) -> str:
 
 
 def _role(name: str, attrs: str, inside_article: bool) -> str:
-    """'drop', 'article', 'main' or '' for an element."""
+    """'drop', 'thin', 'article', 'main' or '' for an element.  'thin' is dropped
+    too, but cannot hold an article: one that begins inside ends it."""
     if name in BOILER or name in RAW or (name == "header" and not inside_article):
-        return "drop"
+        return "drop" if name in HOLDERS else "thin"
     words: set[str] = set()
     for m in _ATTR.finditer(attrs) if attrs else ():
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "")
@@ -98,7 +102,9 @@ def _role(name: str, attrs: str, inside_article: bool) -> str:
     bad = words & WORDS
     if name in ("article", "main"):
         return "drop" if bad & COMMENT_WORDS else name
-    return "drop" if bad and name not in ("html", "body") else ""
+    if not bad or name in ("html", "body"):
+        return ""
+    return "drop" if bad & HOLDER_WORDS else "thin"
 
 
 def tokens(page: str) -> Iterator[tuple]:
@@ -112,7 +118,7 @@ def tokens(page: str) -> Iterator[tuple]:
 
     def zone() -> str:
         roles = [r for _, _, r in stack if r]
-        return "drop" if "drop" in roles else "article" if "article" in roles else "main" if "main" in roles else ""
+        return "drop" if "drop" in roles or "thin" in roles else "article" if "article" in roles else "main" if "main" in roles else ""
 
     def block() -> Iterator[tuple]:
         whole = " ".join(html.unescape("".join(text)).split())
@@ -152,7 +158,7 @@ def tokens(page: str) -> Iterator[tuple]:
             continue
         if name in INLINE:
             role = _role(name, m[3], False) if m[3] else ""
-            if role == "drop" and name not in VOID and not m[3].endswith("/"):
+            if role in ("drop", "thin") and name not in VOID and not m[3].endswith("/"):
                 yield from block()
                 stack.append((name, (stack[-1][1] if stack else "") + "/" + name, role))
             continue
@@ -165,9 +171,9 @@ def tokens(page: str) -> Iterator[tuple]:
             yield from pop(len(stack) - 1)
         role = _role(name, m[3], zone() in ("article", "main"))
         if role in ("article", "main") and zone() == "drop":
-            # inside a menu that is never closed: it ended before the article
-            lost = next((k for k, (n, _, r) in enumerate(stack) if r == "drop" and closed[n] >= total[n]), None)
-            if lost is not None:
+            # inside a menu that was left open: it ended before the article
+            lost = next((k for k, (n, _, r) in enumerate(stack) if r == "thin" or r == "drop" and closed[n] >= total[n]), None)
+            if lost is not None and "drop" not in [r for _, _, r in stack[:lost]]:
                 yield from pop(lost)
         path = (stack[-1][1] if stack else "") + "/" + name
         words = [v for a in _ATTR.finditer(m[3]) if a[1].lower() in ("class", "id") and (v := a[2] or a[3] or a[4])] if m[3] else []

@@ -199,6 +199,9 @@ def test_main_text_of_a_page():
     assert html_template.extract("", set()) == ("", 0)
     assert html_template.extract("just text &amp; more", set())[0] == "just text & more"
     assert html_template.extract("<nav>menu<article><p>kept</p></article>", set())[0] == "kept"
+    assert html_template.extract("<div class=ad>buy<article><div>kept</div></article>", set())[0] == "kept"
+    assert html_template.extract("<article><p>own</p></article><aside><article>other</article></aside>", set())[0] == "own"
+    assert html_template.extract("<div id=comments><article>no</article></div><p>yes</p>", set())[0] == "yes"
     assert html_template.extract("<body><main><p>m</p></main><p>out</p>", set())[0] == "m"
     assert html_template.extract("<p>a<script>x", set())[0] == "a"
 
