@@ -40,8 +40,8 @@ from flowlens.llm.minhash import _powers, _utf8, mix
 
 GRAM = 128
 #: Bytes of a shard, about, and of a minimizer's segments beyond which it is split.
-SHARD_BYTES = 4_000_000
-HOT_BYTES = 2_000_000
+SHARD_BYTES = 2_000_000
+HOT_BYTES = 1_000_000
 #: Strings whose digests meet in one merging task, about.
 MERGE_STRINGS = 1_000_000
 
