@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from ..functions.percentiles import column_percentiles
 from ..functions.columns import (age_years, finite_or_null, sector_capital_intensive, sector_cycle,
                                  sector_of, size_of, size_ordinal)
 
@@ -71,25 +72,21 @@ def global_stats(df: DataFrame, exprs: dict) -> dict:
     return {k: row[k] for k in exprs}
 
 
-def _lit(v):
-    return F.lit(v) if not isinstance(v, list) else [F.lit(x) for x in v]
-
-
 def stage_features_clean(feats: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """inf -> NULL, NULL -> column median, clip to [q01, q99], then robust
     scaling (x - median) / IQR with IQR 0 -> 1.  Exact linear percentiles."""
     cols = cols or [c for c in C.CLUSTER_FEATURES if c in feats.columns]
     x = feats.select("ID", *[finite_or_null(c).alias(c) for c in cols])
-    med = global_stats(x, {c: F.percentile(F.col(c), F.lit(0.5)) for c in cols})
-    filled = x.select("ID", *[F.coalesce(F.col(c), F.lit(med[c]).cast("double")).alias(c) for c in cols])
-    q = global_stats(filled, {c: F.percentile(F.col(c), F.array(F.lit(0.01), F.lit(0.99))) for c in cols})
+    med = column_percentiles(x, cols, [0.5])
+    filled = x.select("ID", *[F.coalesce(F.col(c), F.lit(med[c][0] if med[c] else None).cast("double")).alias(c)
+                              for c in cols])
+    q = column_percentiles(filled, cols, [0.01, 0.99])
 
     def bound(c, i):
         return F.lit(q[c][i] if q[c] is not None else None).cast("double")
     clipped = filled.select("ID", *[F.least(F.greatest(F.col(c), bound(c, 0)), bound(c, 1)).alias(c)
                                     for c in cols])
-    r = global_stats(clipped, {c: F.percentile(F.col(c), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-                               for c in cols})
+    r = column_percentiles(clipped, cols, [0.25, 0.5, 0.75])
     out = []
     for c in cols:
         q25, q50, q75 = r[c] if r[c] is not None else (None, None, None)
@@ -201,10 +198,9 @@ def supervised_features(base1: DataFrame, flows: DataFrame, base2: DataFrame, as
     # global percentile / mode only for the columns that need it
     stats = global_stats(j, {**{f"_n_{c}": F.count(F.when(F.col(c).isNull(), 1)) for c in SUP_NUMERIC},
                              "_dt_mode": F.mode("DT_ABRT", True)})
-    need = {c: F.percentile(F.col(c), F.lit(0.5)) for c in SUP_NUMERIC if stats[f"_n_{c}"]}
+    need = [c for c in SUP_NUMERIC if stats[f"_n_{c}"]]
     stats.update({c: None for c in SUP_NUMERIC})
-    if need:
-        stats.update(global_stats(j, need))
+    stats.update({c: got[0] for c, got in column_percentiles(j, need, [0.5]).items() if got})
     out = []
     for c in j.columns:
         if c in dbl:

@@ -1,8 +1,8 @@
 """Sector / peer benchmarking for all companies at once.
 
 Input: one row per company with ``setor``, ``porte``, the metrics and
-optionally ``estagio``.  Group statistics use exact linear percentiles with
-ROLLUP grouping sets (sector x size, sector, all) in one aggregation.
+optionally ``estagio``.  Group statistics are exact linear percentiles by rank
+selection over the grouping sets (sector x size, sector, all).
 
 Peer ranks are exact but skew-proof: values are first reduced to distinct
 values per group (partial aggregation), split into approximate-quantile
@@ -12,20 +12,26 @@ over many tasks instead of one window partition.
 """
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from ..functions.percentiles import BUCKET_VALUES, exact_percentiles
 from ..functions.columns import banded_ge, compact_array, finite_or_null
 
 
-def rank_counts(df: DataFrame, keys: list[str], value: str, buckets: int = 32) -> DataFrame:
+def rank_counts(df: DataFrame, keys: list[str], value: str, buckets: int | None = None) -> DataFrame:
     """For every row of ``df``: among the non-null ``value``s of its group,
     how many are strictly greater (``n_gt``), how many are <= (``n_le``) and
     how many exist (``n_total``).  Returns keys + value + the three counts,
     one row per distinct (keys, value)."""
     dv = (df.filter(F.col(value).isNotNull()).groupBy(*keys, value)
           .agg(F.count(F.lit(1)).alias("_c")))
+    if buckets is None:  # as many as the largest group needs
+        largest = dv.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        buckets = max(2, math.ceil(largest / BUCKET_VALUES))
     qs = [i / buckets for i in range(1, buckets)]
     bounds = dv.groupBy(*keys).agg(F.percentile_approx(value, qs, 10000).alias("_b"))
     v = F.col(value)
@@ -57,20 +63,29 @@ def sector_metrics(companies: DataFrame) -> DataFrame:
     con = F.col("consistencia_fluxo") if "consistencia_fluxo" in has else F.lit(None).cast("double")
     healthy = (F.avg(F.col("estagio").isin(C.HEALTHY_STAGES).cast("double")) if "estagio" in has
                else F.lit(0.5))
-    q3 = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    aggs = [F.percentile(finite_or_null("receita_media"), q3).alias("_rev"),
-            F.percentile(finite_or_null(mar), q3).alias("_mar"),
-            F.percentile(finite_or_null(gro), F.lit(0.5)).alias("crescimento_p50"),
-            F.percentile(finite_or_null(con), F.lit(0.5)).alias("fluxo_consistencia_p50"),
-            F.count(F.lit(1)).alias("empresas_total"),
-            healthy.alias("empresas_saudaveis_pct")]
-    g = companies.rollup("setor", "porte").agg(*aggs, F.grouping_id().alias("_gid"))
+    metrics = {"rev": F.col("receita_media"), "mar": mar, "gro": gro, "con": con}
+    # the three grouping sets: sector and size, sector, all
+    nothing = F.lit(None).cast("string")
+    sets = F.array(*[F.struct(F.lit(k).alias("_gid"), sector.alias("setor"), size.alias("porte")) for k, sector, size in (
+        (0, F.col("setor"), F.col("porte")), (1, F.col("setor"), F.lit(C.ALL_SIZES)), (2, nothing, nothing))])
+    values = F.array(*[F.struct(F.lit(m).alias("metric"), finite_or_null(c).cast("double").alias("value")) for m, c in metrics.items()])
+    long = companies.select(F.explode(sets).alias("g"), values.alias("v")).select("g.*", F.explode("v").alias("m")).select(
+        "_gid", "setor", "porte", "m.metric", "m.value")
+    exact = exact_percentiles(long, ["_gid", "setor", "porte", "metric"], "value", [0.25, 0.5, 0.75])
+    three = F.array("q0", "q1", "q2")
+    exact = exact.groupBy("_gid", "setor", "porte").agg(
+        F.max(F.when(F.col("metric") == "rev", three)).alias("_rev"), F.max(F.when(F.col("metric") == "mar", three)).alias("_mar"),
+        F.max(F.when(F.col("metric") == "gro", F.col("q1"))).alias("crescimento_p50"),
+        F.max(F.when(F.col("metric") == "con", F.col("q1"))).alias("fluxo_consistencia_p50"))
+    totals = companies.withColumn("_g", F.explode(sets)).groupBy("_g").agg(
+        F.count(F.lit(1)).alias("empresas_total"), healthy.alias("empresas_saudaveis_pct")).select("_g.*", "empresas_total", "empresas_saudaveis_pct")
+    right = exact.withColumnsRenamed({"_gid": "_x", "setor": "_y", "porte": "_z"})
+    g = totals.join(right, (F.col("_gid") == F.col("_x")) & F.col("setor").eqNullSafe(F.col("_y")) & F.col("porte").eqNullSafe(F.col("_z")),
+                    "left").drop("_x", "_y", "_z")
     stat_cols = [c for c in g.columns if c not in ("setor", "porte", "_gid")]
-    grow = companies.agg(*aggs).first()  # whole-dataset fallback (one row)
+    grow = g.filter("_gid = 2").first() or {c: None for c in stat_cols}  # whole-dataset fallback (one row)
     gstruct = {c: F.lit(grow[c]) for c in stat_cols}
-    part = g.filter(F.col("_gid") < 3).select(
-        "setor", F.when(F.col("_gid") == 1, F.lit(C.ALL_SIZES)).otherwise(F.col("porte")).alias("porte"),
-        *[c for c in g.columns if c not in ("setor", "porte", "_gid")])
+    part = g.filter("_gid < 2")
     small = F.col("empresas_total") < 3
 
     def pick(c):
@@ -87,7 +102,7 @@ def sector_metrics(companies: DataFrame) -> DataFrame:
         pick("empresas_saudaveis_pct").alias("empresas_saudaveis_pct"))
 
 
-def peer_ranking(companies: DataFrame, metrics: list[str] | None = None, buckets: int = 32) -> DataFrame:
+def peer_ranking(companies: DataFrame, metrics: list[str] | None = None, buckets: int | None = None) -> DataFrame:
     """Long table (ID, metric): rank among peers (1 + #strictly greater),
     percentile trunc(100 * share of peer values <= own), quartile label,
     total non-null peer values and the peer-group size.  Peers are the same
