@@ -36,7 +36,7 @@ from flowlens.llm.common import reach_workers
 # Fixed value: the pattern that cuts a text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Pieces whose ids a worker remembers; it starts anew beyond that.
-MEMO_PIECES = 400_000
+MEMO_PIECES = 200_000
 #: Below this many bytes a piece is merged directly, without halves.
 LEAF_BYTES = 16
 
@@ -209,7 +209,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, text: str =
         memo = _memo(ranks_path, pattern)
         pieces = memo.bpe.pieces
         for whole in batches:
-            for batch in _slices(whole, text):
+            for batch in _slices(whole, text, 2 << 20):
                 found = [b"".join(map(memo.__getitem__, pieces(t))) if t else b"" for t in batch.column(text).to_pylist()]
                 offsets = np.zeros(len(found) + 1, np.int64)
                 np.cumsum([len(x) // 4 for x in found], out=offsets[1:])

@@ -12,8 +12,16 @@ from flowlens.session import checkpoint_dir
 REPO = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+#: Rows of an Arrow batch, at most: texts are long, and two workers share an executor.
+BATCH_ROWS = 1_000
+
+
 def reach_workers(spark: SparkSession) -> None:
-    """Let Python workers import this package wherever the driver was started."""
+    """Let Python workers import this package wherever the driver was started,
+    and get their rows in batches of a size that suits whole texts."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if REPO not in paths:

@@ -42,7 +42,7 @@ TABLE = 1 << 18
 #: Log-odds that a switch of language must earn.
 SWITCH = 12.0
 #: Words whose scores a worker remembers; it starts anew beyond that.
-MEMO_WORDS = 300_000
+MEMO_WORDS = 200_000
 #: Share of a language's letters that makes a script one of its own.
 SCRIPT_SHARE = 0.02
 
@@ -121,6 +121,11 @@ class Model:
         self.letters[base:base + n] = letters
         self.memo.update(zip(words, range(base, base + n)))
 
+    def forget(self) -> None:
+        """Drop the remembered words: a worker keeps its broadcasts after a task."""
+        self.memo.clear()
+        self.scores = self.letters = None
+
     def word_rows(self, texts: list[list[str]]) -> list[np.ndarray]:
         if len(self.memo) > MEMO_WORDS:
             self.memo.clear()
@@ -253,7 +258,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", spans: bool = Fal
         m = held.value
         k = len(m.languages)
         for whole in batches:
-            for batch in _slices(whole, text, 8 << 20):
+            for batch in _slices(whole, text, 4 << 20):
                 words = [_WORD.findall(t) if t else [] for t in batch.column(text).to_pylist()]
                 labels = m.label_words(words) if k else [(np.zeros(0, np.int16), np.zeros(0))] * len(words)
                 pred, score, runs = [], [], []
@@ -276,5 +281,6 @@ def predict(docs: DataFrame, model: Model, text: str = "text", spans: bool = Fal
                     kind = pa.list_(pa.struct([("start", pa.int32()), ("words", pa.int32()), ("lang", pa.string())]))
                     cols.append(pa.array(runs, kind))
                 yield pa.RecordBatch.from_arrays(cols, names=schema.names)
+        m.forget()
 
     return docs.select(*dict.fromkeys([*names, text])).mapInArrow(run, schema)
