@@ -42,7 +42,7 @@ BLOCK = 512
 #: Ids of a file, about: what a task holds in memory.
 FILE_IDS = 2_000_000
 #: Pieces whose ids a worker remembers; it starts anew beyond that.
-MEMO_PIECES = 400_000
+MEMO_PIECES = 800_000
 # Fixed values of the Simple-8b word: ids a word, bits an id, by selector.
 COUNTS = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTHS = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
@@ -51,25 +51,25 @@ ESCAPE = 15
 
 # --- the code ----------------------------------------------------------------
 
+_BITS = np.maximum(np.frexp(np.arange(1 << 16, dtype=np.float64))[1], 1).astype(np.uint8)
+
+
 def _bit_lengths(values: np.ndarray) -> np.ndarray:
-    out = np.ones(len(values), np.uint8)
-    rest = values.copy()
-    for step in (32, 16, 8, 4, 2, 1):
-        big = rest >> np.uint64(step) > 0
-        out[big] += step
-        rest[big] >>= np.uint64(step)
-    return out
+    """Bits of each value; from 2^53 on one more where the value rounds up."""
+    if len(values) and int(values.max()) < len(_BITS):
+        return _BITS[values]
+    return np.maximum(np.frexp(values.astype(np.float64))[1], 1).astype(np.uint8)
 
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(words, first word of each block) of uint64 ids."""
-    ids = np.ascontiguousarray(ids, np.uint64)
+    """(words, first word of each block) of unsigned ids."""
     n = len(ids)
     blocks = -(-n // BLOCK)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    grid = np.zeros((blocks, BLOCK + 60), np.uint64)
-    flat = np.zeros(blocks * BLOCK, np.uint64)
+    kind = np.uint64 if int(ids.max()) >> 32 else np.uint32
+    grid = np.zeros((blocks, BLOCK + 60), kind)
+    flat = np.zeros(blocks * BLOCK, kind)
     flat[:n] = ids
     grid[:, :BLOCK] = flat.reshape(blocks, BLOCK)
     size = np.full(blocks, BLOCK)
@@ -99,8 +99,9 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at[open_] += step[sel]
         open_ = open_[at[open_] < size[open_]]
     start, owner, sel = (np.concatenate(x) for x in (starts, owners, selectors))
-    order = np.lexsort((start, owner))
+    order = np.argsort(owner * BLOCK + start, kind="stable")
     start, owner, sel = start[order], owner[order], sel[order]
+    cells = grid.ravel()
     place = np.cumsum(1 + (sel == ESCAPE)) - (1 + (sel == ESCAPE))
     words = np.zeros(int(place[-1]) + 1 + int(sel[-1] == ESCAPE), np.uint64)
     for s in np.unique(sel):
@@ -110,8 +111,9 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             words[place[mine] + 1] = grid[owner[mine], start[mine]]
             continue
         word = np.full(len(mine), np.uint64(s) << np.uint64(60))
+        at = owner[mine] * (BLOCK + 60) + start[mine]
         for k in range(int(COUNTS[s])):
-            word |= grid[owner[mine], start[mine] + k] << np.uint64(k * WIDTHS[s])
+            word |= cells[at + k].astype(np.uint64) << np.uint64(k * WIDTHS[s])
         words[place[mine]] = word
     first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
     return words, place[first].astype(np.uint64)
@@ -249,7 +251,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, pattern: str, end
             no_id = doc_ids.is_null().to_numpy(zero_copy_only=False)
             blobs = [b for k in kept for b in k[1]]
             lengths = np.array([len(b) // 4 for b in blobs], np.int64)
-            ids = np.frombuffer(b"".join(blobs), np.uint32).astype(np.uint64)
+            ids = np.frombuffer(b"".join(blobs), np.uint32)
             name = f"{base}/{part:06d}-{state['file']:06d}-{uuid.uuid4().hex}.s8b"
             with where.open_output_stream(name) as out:
                 out.write(dump(doc_ids.fill_null(0).to_numpy(), no_id, lengths, ids))
