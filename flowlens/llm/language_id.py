@@ -42,7 +42,9 @@ TABLE = 1 << 18
 #: Log-odds that a switch of language must earn.
 SWITCH = 12.0
 #: Words whose scores a worker remembers; it starts anew beyond that.
-MEMO_WORDS = 200_000
+MEMO_WORDS = 150_000
+#: Words whose n-grams are in memory together.
+WORDS_AT_ONCE = 8_192
 #: Share of a language's letters that makes a script one of its own.
 SCRIPT_SHARE = 0.02
 
@@ -130,8 +132,9 @@ class Model:
         if len(self.memo) > MEMO_WORDS:
             self.memo.clear()
         new = list(set().union(*texts).difference(self.memo)) if texts else []
-        if new:
-            self._learn_words(sorted(new))
+        new.sort()
+        for a in range(0, len(new), WORDS_AT_ONCE):  # n-grams take a hundred times a word's memory
+            self._learn_words(new[a:a + WORDS_AT_ONCE])
         get = self.memo.__getitem__
         return [np.fromiter(map(get, t), np.int64, len(t)) for t in texts]
 
@@ -215,8 +218,10 @@ def train(docs: DataFrame, chosen: Column, key: str = "doc_id", text: str = "tex
                 if not words:
                     continue
                 uniq, n = np.unique(np.array(words, dtype=object), return_counts=True)
-                table, owner = _grams(list(uniq))
-                c = np.bincount(table, n[owner], TABLE)
+                c = np.zeros(TABLE)
+                for a in range(0, len(uniq), WORDS_AT_ONCE):
+                    table, owner = _grams(list(uniq[a:a + WORDS_AT_ONCE]))
+                    c += np.bincount(table, n[a:a + WORDS_AT_ONCE][owner], TABLE)
                 at = np.flatnonzero(c)
                 yield pd.DataFrame({"lang": lang_, "kind": 0, "row": at, "n": c[at].astype(np.int64)})
                 s = np.bincount([script_of(w) for w in uniq], n * np.array([len(w) for w in uniq]), len(_NAMES))
@@ -258,7 +263,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", spans: bool = Fal
         m = held.value
         k = len(m.languages)
         for whole in batches:
-            for batch in _slices(whole, text, 4 << 20):
+            for batch in _slices(whole, text, 2 << 20):
                 words = [_WORD.findall(t) if t else [] for t in batch.column(text).to_pylist()]
                 labels = m.label_words(words) if k else [(np.zeros(0, np.int16), np.zeros(0))] * len(words)
                 pred, score, runs = [], [], []
