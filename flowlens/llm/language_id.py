@@ -228,7 +228,7 @@ def train(docs: DataFrame, chosen: Column, key: str = "doc_id", text: str = "tex
                 yield pd.DataFrame({"lang": lang_, "kind": 1, "row": np.arange(len(_NAMES)), "n": s.astype(np.int64)})
 
     counts = (sample.mapInPandas(count, "lang string, kind int, row long, n long")
-              .groupBy("lang", "kind", "row").agg(F.sum("n").alias("n")).toPandas())
+              .groupBy("lang", "kind", "row").agg(F.sum("n").alias("n")).toArrow().to_pandas())
     languages = sorted(counts["lang"].unique())
     logp = np.zeros((TABLE, len(languages)), np.float32)
     allowed = np.zeros((len(_NAMES), len(languages)), bool)

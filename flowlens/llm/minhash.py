@@ -195,7 +195,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 #: Slots of the table of shingle counts that orders the prefix filter.
-COUNT_SLOTS = 1 << 20
+COUNT_SLOTS = 1 << 18
 
 
 def _size_classes() -> np.ndarray:
@@ -262,9 +262,9 @@ def _prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], names=["slot", "n"])
 
     # COUNT_SLOTS rows at most come to the driver; the order is right with any counts, and selective with these
-    seen = sets.select("items").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    seen = sets.select("items").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(COUNT_SLOTS, np.int64)
-    counts[seen["slot"]] = seen["n"]
+    counts[seen["slot"].to_numpy()] = seen["n"].to_numpy()
     held = spark.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
