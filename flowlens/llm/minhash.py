@@ -239,12 +239,12 @@ def prefix_rows(sets: list[np.ndarray], ask: list[bool], counts: np.ndarray, per
     return out
 
 
-_PARITY = [f"p{k}" for k in range(4)]
+_PARITY = [f"p{k}" for k in range(8)]
 
 
 def parities(items: np.ndarray) -> np.ndarray:
-    """For 256 classes of shingles, whether the set has an odd number: 4 words."""
-    odd = np.bincount((items >> np.uint64(56)).astype(np.int64), minlength=256) & 1
+    """For 512 classes of shingles, whether the set has an odd number: 8 words."""
+    odd = np.bincount((items >> np.uint64(55)).astype(np.int64), minlength=512) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
