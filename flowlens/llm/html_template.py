@@ -11,17 +11,21 @@ Vectors are never gathered: a token's vector is fingerprinted by a sum of
 hashes of (page, count), which is combined before the shuffle, so a host with
 a third of all pages is as cheap as any other.
 
-Extraction walks a page with its host's template.  A slot belongs to the
-innermost template or page element that has a role.  Slots of menus, headers,
-footers, sidebars, notices, adverts, forms, scripts, styles and reader
-comments go.  If an article (or else a main) element is left, the main text
-is the text of its slots; if not, it is every other slot's text, less the
-text blocks that are template tokens themselves (repeated on the host's pages).
+A class is frequent on half of its host's pages, or of the pages of its layout
+there (alike in their elements down to the third level).
+
+Extraction walks a page with the template of its host and layout.  Text blocks
+that are template tokens go, inside an article element as elsewhere; slots
+stay, in page order.  Slots of menus, headers, footers, sidebars, notices,
+adverts, forms, scripts, styles and reader comments go.  Where no template is
+known the roles alone decide: the text of the article (or else the main)
+element, or if there is none all text that is left.
 
 Cases: null or empty html: empty text.  A host with one page, or a page
-without a url: no template, the roles alone decide.  Unclosed elements end
-with their parents; an unclosed menu does not swallow an article.  Repeated
-pages count twice.  Very long pages are read whole.
+without a url: no template.  Unclosed elements end with their parents; an
+unclosed menu does not swallow an article.  Pages of a host with the same
+article count once, and an article without a slot stays whole: it is a
+repeated page.  Very long pages are read whole.
 """
 from __future__ import annotations
 
@@ -68,6 +72,7 @@ HOLDER_WORDS = COMMENT_WORDS | {"recommended", "related", "sidebar", "widget", "
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
                   r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*|[^>]*)>""", re.S)
 _ATTR = re.compile(r"""(class|id|role|itemprop|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_DIGITS = re.compile(r"\d+")
 _SPLIT = re.compile(r"[^a-zA-Z]+|(?<=[a-z])(?=[A-Z])")
 
 
@@ -190,37 +195,49 @@ def _hash(*parts: str) -> int:
     return int.from_bytes(hashlib.blake2b("\0".join(parts).encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
-def page_counts(page: str) -> dict[int, tuple[int, int, bool]]:
-    """token -> (occurrences, first place, is a tag)."""
+def layout_of(page: list[tuple]) -> int:
+    """The elements down to the third level, numbers in class names aside."""
+    return _hash(*sorted({_DIGITS.sub("0", t[1]) for t in page if t[0] == "open" and t[1].count("/") <= 3}))
+
+
+def page_counts(page: list[tuple]) -> dict[int, tuple[int, int, bool]]:
+    """token -> (occurrences, first place in millionths of the page, is a tag)."""
     out: dict[int, tuple[int, int, bool]] = {}
-    for place, t in enumerate(tokens(page)):
+    for place, t in enumerate(page):
         h = _hash(t[0], t[1], t[2] if t[0] == "text" else "")
-        n, first, _ = out.get(h, (0, place, True))
+        n, first, _ = out.get(h, (0, place * 1_000_000 // max(1, len(page) - 1), True))
         out[h] = n + 1, first, t[0] != "text"
     return out
 
 
-def extract(page: str, template: set[int]) -> tuple[str, int]:
-    """(main text, template tokens met)."""
-    zones: dict[str, list[str]] = {"article": [], "main": [], "": []}
+def extract(page: str, template: set[int], layouts: dict[int, set[int]] | None = None) -> tuple[str, int]:
+    """(main text, template tokens met).  ``layouts``: what each layout adds to the template."""
+    walk = list(tokens(page))
+    if layouts:
+        template = template | layouts.get(layout_of(walk), set())
+    blocks: list[tuple[str, bool, str]] = []  # (zone, is a template token, text)
     met = 0
-    for t in tokens(page):
+    for t in walk:
         known = _hash(t[0], t[1], t[2] if t[0] == "text" else "") in template if template else False
         met += known
-        if t[0] != "text" or t[3] == "drop":
-            continue
-        if t[3] == "" and known:
-            continue  # the template's own text
-        zones[t[3]].append(t[2])
-    chosen = zones["article"] or zones["main"] or zones[""]
+        if t[0] == "text" and t[3] != "drop":
+            blocks.append((t[3], known, t[2]))
+    slots = {zone for zone, known, _ in blocks if not known}
+    if met:
+        # an element without a slot is a repeated article
+        chosen = [x for zone, known, x in blocks if not known or zone and zone not in slots]
+    else:
+        best = next((z for z in ("article", "main") if z in slots), "")
+        chosen = [x for zone, _, x in blocks if zone == best]
     return " ".join(chosen), met
 
 
-_COUNTS = "host string, token long, lo long, hi long, pages long, place long, tag boolean"
+#: Layout 0 is the host as a whole; token 0 counts the pages.
+_COUNTS = "host string, layout long, token long, lo long, hi long, pages long, place long, tag boolean"
 
 
 def occurrence_classes(pages: DataFrame) -> DataFrame:
-    """host, class, token, pages, place, tag: the valid equivalence classes.
+    """host, layout, class, token, pages, place, tag: the valid equivalence classes.
 
     A class's id is its vector's fingerprint; ``place`` is the mean first
     place of the token, by which classes nest and tokens follow each other.
@@ -233,27 +250,40 @@ def occurrence_classes(pages: DataFrame) -> DataFrame:
                     host = host_of(url)
                     if not host or not page:
                         continue
-                    for token, (n, place, tag) in page_counts(page).items():
+                    walk = list(tokens(page))
+                    groups = [sums.setdefault((host, k), {0: [0, 0, 0, 0, True]}) for k in (0, layout_of(walk))]
+                    for group in groups:
+                        group[0][2] += 1
+                    for token, (n, place, tag) in page_counts(walk).items():
                         v = _hash(str(page_id), url, str(n)) & (1 << 64) - 1
-                        s = sums.setdefault((host, token), [0, 0, 0, 0, tag])
-                        s[0] += v & 0xFFFFFFFF
-                        s[1] += v >> 32
-                        s[2] += 1
-                        s[3] += place
+                        for group in groups:
+                            s = group.setdefault(token, [0, 0, 0, 0, tag])
+                            s[0] += v & 0xFFFFFFFF
+                            s[1] += v >> 32
+                            s[2] += 1
+                            s[3] += place
                 if sums:
-                    cols = list(zip(*((h, t, *s) for (h, t), s in sums.items())))
-                    kinds = (pa.string(), *[pa.int64()] * 5, pa.bool_())
+                    cols = list(zip(*((h, k, t, *s) for (h, k), group in sums.items() for t, s in group.items())))
+                    kinds = (pa.string(), *[pa.int64()] * 6, pa.bool_())
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                                     names=["host", "token", "lo", "hi", "pages", "place", "tag"])
+                                                     names=["host", "layout", "token", "lo", "hi", "pages", "place", "tag"])
 
-    counts = pages.select("page_id", "url", "html").mapInArrow(run, _COUNTS)
-    vectors = counts.groupBy("host", "token").agg(*(F.sum(c).alias(c) for c in ("lo", "hi", "pages", "place")), F.first("tag").alias("tag"))
+    counts = _once(pages).mapInArrow(run, _COUNTS)
+    vectors = counts.groupBy("host", "layout", "token").agg(*(F.sum(c).alias(c) for c in ("lo", "hi", "pages", "place")), F.first("tag").alias("tag"))
     vectors = written(vectors.where(F.col("pages") >= CLASS_PAGES), "vectors")
-    sizes = pages.where("html IS NOT NULL AND html <> ''").groupBy(_host_column("url").alias("host")).agg(F.count(F.lit(1)).alias("host_pages"))
-    frequent = vectors.join(sizes, "host").where(F.col("pages") >= F.col("host_pages") * CLASS_SHARE)
-    large = frequent.groupBy("host", "lo", "hi").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= CLASS_TOKENS)
-    return frequent.join(large, ["host", "lo", "hi"]).select(
-        "host", F.xxhash64("lo", "hi").alias("class"), "token", "pages", (F.col("place") / F.col("pages")).alias("place"), "tag")
+    sizes = vectors.where("token = 0").select("host", "layout", F.col("pages").alias("group_pages"))
+    frequent = vectors.where("token <> 0").join(sizes, ["host", "layout"]).where(F.col("pages") >= F.col("group_pages") * CLASS_SHARE)
+    large = frequent.groupBy("host", "layout", "lo", "hi").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= CLASS_TOKENS)
+    return frequent.join(large, ["host", "layout", "lo", "hi"]).select(
+        "host", "layout", F.xxhash64("lo", "hi").alias("class"), "token", "pages", (F.col("place") / F.col("pages")).alias("place"), "tag")
+
+
+def _once(pages: DataFrame) -> DataFrame:
+    """One page of a host for each article (or main) element, or else each whole page."""
+    inner = F.regexp_extract("html", r"(?is)<(?:article|main)\b.*</(?:article|main)\s*>", 0)
+    body = F.xxhash64(F.when(inner != "", inner).otherwise(F.col("html")))
+    rows = pages.where("html IS NOT NULL AND html <> ''").withColumn("__host", _host_column("url")).withColumn("__body", body)
+    return rows.dropDuplicates(["__host", "__body"]).select("page_id", "url", "html")
 
 
 def _host_column(url: str):
@@ -262,17 +292,25 @@ def _host_column(url: str):
 
 
 def templates(classes: DataFrame) -> DataFrame:
-    """host, template: the tokens of the nested classes in page order.
+    """host, template, layouts: the tokens of the nested classes in page order,
+    and those that each layout adds to them.
 
-    A class whose span (first to last token) crosses the span of the host's
+    A class whose span (first to last token) crosses the span of the group's
     skeleton, its most frequent class, is not nested in it and is left out.
     """
-    spans = classes.groupBy("host", "class").agg(F.min("place").alias("a"), F.max("place").alias("b"), F.max("pages").alias("p"),
+    group = ["host", "layout"]
+    spans = classes.groupBy(*group, "class").agg(F.min("place").alias("a"), F.max("place").alias("b"), F.max("pages").alias("p"),
                                                  F.count(F.lit(1)).alias("n"))
-    root = spans.groupBy("host").agg(F.max_by(F.struct("a", "b"), F.struct("p", "n", "class")).alias("r"))
-    nested = spans.join(root, "host").where((F.col("a") >= F.col("r.a")) & (F.col("b") <= F.col("r.b"))).select("host", "class")
-    return (classes.join(nested, ["host", "class"]).groupBy("host")
-            .agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "token"))), lambda x: x["token"]).alias("template")))
+    root = spans.groupBy(*group).agg(F.max_by(F.struct("a", "b"), F.struct("p", "n", "class")).alias("r"))
+    nested = spans.join(root, group).where((F.col("a") >= F.col("r.a")) & (F.col("b") <= F.col("r.b"))).select(*group, "class")
+    kept = classes.join(nested, [*group, "class"]).groupBy("host", "token").agg(
+        F.max_by("place", F.col("layout") == 0).alias("place"), F.collect_set("layout").alias("in"))
+    # what the host's template holds, its layouts need not repeat
+    own = kept.select("host", "place", "token", F.explode(F.when(F.array_contains("in", F.lit(0).cast("long")), F.array(F.lit(0).cast("long")))
+                                                          .otherwise(F.col("in"))).alias("layout"))
+    lists = own.groupBy(*group).agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "token"))), lambda x: x["token"]).alias("t"))
+    return lists.groupBy("host").agg(F.first(F.when(F.col("layout") == 0, F.col("t")), ignorenulls=True).alias("template"),
+                                     F.collect_list(F.when(F.col("layout") != 0, F.struct("layout", "t"))).alias("layouts"))
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
@@ -280,14 +318,14 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     reach_workers(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     found = written(templates(occurrence_classes(rows)), "templates")
-    joined = rows.withColumn("host", _host_column("url")).join(found, "host", "left").select("page_id", "url", "html", "template")
+    joined = rows.withColumn("host", _host_column("url")).join(found, "host", "left").select("page_id", "url", "html", "template", "layouts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in _slices(whole, "html", 4 << 20):
                 text, met = [], []
-                for page, template in zip(batch.column("html").to_pylist(), batch.column("template").to_pylist()):
-                    t, n = extract(page, set(template or ())) if page else ("", 0)
+                for page, template, layouts in zip(*(batch.column(c).to_pylist() for c in ("html", "template", "layouts"))):
+                    t, n = extract(page, set(template or ()), {x["layout"]: set(x["t"]) for x in layouts or ()}) if page else ("", 0)
                     text.append(t)
                     met.append(n)
                 yield pa.RecordBatch.from_arrays(

@@ -220,3 +220,22 @@ def test_template_text_goes_where_no_element_marks_the_article(spark):
     assert (by[52]["text"], by[52]["n_chars"], by[53]["text"]) == ("", 0, "")
     assert all(r["n_chars"] == len(r["text"]) for r in got)
     assert html_template.extract_main_text(df.limit(0)).count() == 0
+
+
+def test_template_decides_inside_the_article_and_by_layout(spark):
+    def story(i):
+        return f"<p>Story {i} {'x' * i}</p><p>Line {i}</p>"
+    pages = [(i, f"http://n.example/{i}", f"<html><body><div class=zq>Today {i}</div><article><p>By the desk</p>{story(i)}"
+                                          f"<div class=q7>Get our app</div></article><p>More of {i}</p></body></html>") for i in range(8)]
+    # a layout on less than half of a host's pages has its own boilerplate
+    pages += [(100 + i, f"http://m.example/{i}", f"<html><body class=a><article>{story(i)}</article></body></html>") for i in range(8)]
+    pages += [(200 + i, f"http://m.example/b{i}", f"<html><body class=b><article>{story(i)}<div class=q7>Get our app</div></article></body></html>")
+              for i in range(4)]
+    # copies of one page are not a template
+    pages += [(300 + i, "http://c.example/", f"<html><body><article>{story(1)}<p>End</p></article></body></html>") for i in range(5)]
+    pages += [(310, "http://c.example/2", f"<html><body><article>{story(2)}</article></body></html>")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    by = {r["page_id"]: r["text"] for r in html_template.extract_main_text(df).collect()}
+    assert by[3] == "Today 3 Story 3 xxx Line 3 More of 3"
+    assert by[102] == by[202] == "Story 2 xx Line 2"
+    assert by[300] == by[304] == "Story 1 x Line 1 End" and by[310] == "Story 2 xx Line 2"
