@@ -14,7 +14,9 @@ A retrieved item is verified on its question and its answer: each must occur
 in the passage with at most a fifth of its words inserted, deleted or
 replaced (a side of fewer than ``EXACT_WORDS`` words: exactly).
 
-Where items have no answer column the last sentence is the answer.
+Where items have no answer column the last sentence is taken as the answer;
+as that is a guess, an item that occurs as a whole in the passage, by the same
+rule, is verified too.  Its sides' overlaps are then given without the exact rule.
 
 Cases: null or empty texts and items match nothing; an item without a word is
 not indexed; repeated items and documents give one row per pair of ids and
@@ -78,9 +80,10 @@ class Index:
     item_ptr: np.ndarray
     items: np.ndarray
     impact: np.ndarray
+    whole: bool = False  # the answer is a guess: the item as a whole counts too
 
 
-def build_index(items: list[tuple], df: dict, n_items: int, mean_words: float) -> Index:
+def build_index(items: list[tuple], df: dict, n_items: int, mean_words: float, whole: bool = False) -> Index:
     """``items``: (id, question, answer); ``df``: items that hold each term."""
     vocab: dict[bytes, int] = {}
     ids, questions, answers, rows = [], [], [], []
@@ -108,7 +111,7 @@ def build_index(items: list[tuple], df: dict, n_items: int, mean_words: float) -
     n = np.arange(len(vocab) + 1)
     top = np.maximum.reduceat(impact, np.searchsorted(term, n[:-1])) if len(term) else np.zeros(0)
     return Index(vocab, ids, questions, answers, 2 * longest, top, np.searchsorted(term[new], n), block[new],
-                 np.maximum.reduceat(impact, new) if len(new) else np.zeros(0), np.searchsorted(term, n), item, impact)
+                 np.maximum.reduceat(impact, new) if len(new) else np.zeros(0), np.searchsorted(term, n), item, impact, whole)
 
 
 def _expand(ptr: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -166,7 +169,7 @@ def retrieve(index: Index, docs: np.ndarray, places: np.ndarray, terms: np.ndarr
     return w // width, w % width, found % len(index.item_ids), score
 
 
-def overlap(side: list[int], passage: np.ndarray) -> float:
+def overlap(side: list[int], passage: np.ndarray, exact: int = EXACT_WORDS) -> float:
     """1 - (fewest edits that turn the side into some run of the passage) / words."""
     m = len(side)
     if not m or not len(passage):
@@ -174,7 +177,7 @@ def overlap(side: list[int], passage: np.ndarray) -> float:
     run = np.lib.stride_tricks.sliding_window_view(passage, m) if len(passage) >= m else np.zeros((0, m))
     if (run == np.array(side)).all(axis=1).any():
         return 1.0
-    if m < EXACT_WORDS:
+    if m < exact:
         return 0.0
     col = np.arange(len(passage) + 1)
     row = np.zeros(len(passage) + 1, np.int64)  # an occurrence may begin anywhere
@@ -203,7 +206,10 @@ def find(texts: list[str | None], ix: Index) -> dict[tuple[int, int], tuple]:
     for d, w, item, score in zip(*(x.tolist() for x in retrieve(ix, doc[known], place[known], flat[known]))):
         passage = coded[d][w * h:w * h + 2 * h]
         q, a = overlap(ix.questions[item], passage), overlap(ix.answers[item], passage)
-        if q >= OVERLAP and a >= OVERLAP:
+        sides = q >= OVERLAP and a >= OVERLAP
+        if not sides and ix.whole and overlap(ix.questions[item] + ix.answers[item], passage) >= OVERLAP:
+            sides, q, a = True, overlap(ix.questions[item], passage, 0), overlap(ix.answers[item], passage, 0)
+        if sides:
             got = (score, q, a, -w * h)
             best[d, item] = max(best.get((d, item), got), got)
     return {k: (s, q, a, -p) for k, (s, q, a, p) in sorted(best.items())}
@@ -239,7 +245,7 @@ def index_parts(benchmark: DataFrame, item: str = "item_id", question: str = "te
         mine = [tuple(r) for r in items.where(part == p).select("item_id", "question", "answer").collect()]
         of = {bytes(r["term"]): r["df"] for r in df.where(F.array_contains("parts", F.lit(p).cast("long"))).select("term", "df").collect()}
         if mine:
-            yield build_index(mine, of, n_items, n_words / n_items)
+            yield build_index(mine, of, n_items, n_words / n_items, whole)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **columns: str) -> DataFrame:

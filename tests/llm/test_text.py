@@ -175,6 +175,19 @@ def test_planted_items_are_found_and_clean_rows_stay(spark, hard_docs, hard_rows
     assert decontaminate.contaminated(no_docs, bench).count() == 0
 
 
+def test_an_edited_or_lost_short_side_is_found(spark):
+    body = " ".join(f"w{i}" for i in range(52))
+    bench = spark.createDataFrame([(1, f"{body}. It is so."), (2, "Who says it? " + body.replace("w", "v") + ".")], "item_id long, text string")
+    texts = [f"{body}. It was so.", f"x {body} y", f"Who said it? {body.replace('w', 'v')}", body.replace("w", "v"), body[:120], "It is so."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r for r in decontaminate.contaminated(docs, bench).collect()}
+    assert set(got) == {(0, 1), (1, 1), (2, 2), (3, 2)}
+    assert got[0, 1]["question_overlap"] == 1 and 0 < got[0, 1]["answer_overlap"] < 1
+    # an answer that is given as one is still matched exactly
+    given_answer = spark.createDataFrame([(1, body, "It is so.")], "item_id long, text string, answer string")
+    assert decontaminate.contaminated(docs, given_answer, answer="answer").count() == 0
+
+
 def test_an_index_in_parts_finds_the_same(spark, hard_docs, monkeypatch):
     bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
