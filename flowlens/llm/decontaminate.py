@@ -1,8 +1,9 @@
 """Benchmark decontamination with a BM25 index and block-max WAND.
 
 The test items are the indexed side.  Every passage of every document is a
-query: windows of twice the longest item's words, half overlapping, so an
-item's copy lies whole in one of them.  An item's score is its BM25 score
+query: half overlapping windows.  The half is the longest run of words that
+verification can accept for the longest item, with a fifth of its words
+inserted, so an item's copy lies whole in one of them, edited or not.  An item's score is its BM25 score
 divided by that of its own text, so 1 means that all its words occur, and one
 threshold serves items of any length.
 
@@ -110,7 +111,7 @@ def build_index(items: list[tuple], df: dict, n_items: int, mean_words: float, w
     new = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])]) if len(term) else np.zeros(0, np.int64)
     n = np.arange(len(vocab) + 1)
     top = np.maximum.reduceat(impact, np.searchsorted(term, n[:-1])) if len(term) else np.zeros(0)
-    return Index(vocab, ids, questions, answers, 2 * longest, top, np.searchsorted(term[new], n), block[new],
+    return Index(vocab, ids, questions, answers, 2 * math.ceil(longest / OVERLAP), top, np.searchsorted(term[new], n), block[new],
                  np.maximum.reduceat(impact, new) if len(new) else np.zeros(0), np.searchsorted(term, n), item, impact, whole)
 
 

@@ -188,6 +188,15 @@ def test_an_edited_or_lost_short_side_is_found(spark):
     assert decontaminate.contaminated(docs, given_answer, answer="answer").count() == 0
 
 
+def test_a_copy_with_inserted_words_is_found_at_any_place(spark):
+    own = [f"w{i}" for i in range(59)]
+    bench = spark.createDataFrame([(1, " ".join(own), "")], "item_id long, text string, answer string")
+    copy = " ".join(w + (" new" if i % 5 == 4 else "") for i, w in enumerate(own))
+    docs = spark.createDataFrame([(n, "x " * n + copy + " y" * 200) for n in range(160)], "doc_id long, text string")
+    got = decontaminate.contaminated(docs, bench, answer="answer").collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(160))
+
+
 def test_an_index_in_parts_finds_the_same(spark, hard_docs, monkeypatch):
     bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
