@@ -37,7 +37,7 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(id_crc() % 7 == 2, F.lit(False))
     docs = table(spark, sf_dir, "documents").select("doc_id", held_out.alias("held_out"), "text")
-    return kneser_ney.train_and_score(docs, ~F.col("held_out"))
+    return kneser_ney.train_and_score(docs, ~F.col("held_out"), order=3)
 
 
 def op5_simple8b_tokens(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:

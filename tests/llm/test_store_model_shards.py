@@ -100,6 +100,60 @@ def test_scores_against_brute_force(hard_docs, hard_rows, rule, monkeypatch):
         assert math.isclose(sum(p("<s>", w) for w in c) + p("<s>", "unseen"), 1.0, rel_tol=1e-9)
 
 
+def brute_higher(texts, order):
+    """p(w | all words before) of a model of the order, by definition."""
+    grams = [Counter() for _ in range(order + 1)]
+    for t in texts:
+        w = [*["<s>"] * (order - 1), *(t or "").encode().lower().split(), None]
+        grams[order].update(tuple(w[i:i + order]) for i in range(len(w) - order + 1))
+    raw = grams[order]
+    for k in range(order - 1, 0, -1):
+        less = Counter()
+        for g, x in raw.items():
+            less[g[1:]] += x
+        distinct = Counter(g[1:] for g in raw)
+        grams[k] = Counter({g: less[g] if g[0] == "<s>" else distinct[g] for g in less})
+        raw = less
+    ds = [[0.0, *kneser_ney.discounts(*(sum(x == k for x in g.values()) for k in (1, 2, 3, 4)))] for g in grams]
+    types = len(grams[1])
+    total, held = Counter(), Counter()
+    for g in grams[1:]:
+        for words, x in g.items():
+            total[len(words), words[:-1]] += x
+            held[len(words), words[:-1]] += ds[len(words)][min(x, 3)]
+
+    def p(words):
+        low = p(words[1:]) if len(words) > 1 else 1 / (types + 1)
+        all_, x = total[len(words), words[:-1]], grams[len(words)][words]
+        return (x - ds[len(words)][min(x, 3)]) / all_ + held[len(words), words[:-1]] / all_ * low if all_ else low
+
+    return p, [g[0] for g in grams[1]]
+
+
+@pytest.mark.parametrize("order", [3, 4])
+def test_higher_orders_against_brute_force(hard_docs, hard_rows, order, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "SHARD_BYTES", 20_000)
+    got = kneser_ney.train_and_score(hard_docs, F.coalesce(F.expr("doc_id % 3 = 0"), F.lit(False)), order=order).collect()
+    p, types = brute_higher([t for i, t, *_ in hard_rows if i is not None and i % 3 == 0], order)
+    expect = {}
+    for i, t, *_ in hard_rows:
+        w = [*["<s>"] * (order - 1), *(t or "").encode().lower().split(), None]
+        expect.setdefault(i, []).append(sum(math.log10(p(tuple(w[k:k + order]))) for k in range(len(w) - order + 1)))
+    assert len(got) == len(hard_rows)
+    assert all(any(math.isclose(r["score"], x, rel_tol=1e-6) for x in expect[r["doc_id"]]) for r in got)
+    start = ("<s>",) * (order - 1)
+    assert math.isclose(sum(p((*start, w)) for w in types) + p((*start, "unseen")), 1.0, rel_tol=1e-9)
+
+
+def test_the_query_knows_two_words_of_context(spark, tmp_path):
+    texts = ["a x b", "c x d"] * 30 + ["a x d"]  # only the word before x tells what follows
+    rows = [(i, t) for i, t in enumerate(texts * 3)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.QUERIES["op4_kneser_ney"](spark, str(tmp_path)).collect()
+    score = {texts[r["doc_id"] % len(texts)]: r["score"] for r in got}
+    assert score["a x b"] > score["a x d"] + 0.8
+
+
 def test_no_rows_to_score(no_docs):
     assert kneser_ney.train_and_score(no_docs, F.lit(True)).count() == 0
 
