@@ -43,7 +43,7 @@ def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_simple8b_tokens(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
     folder = token_store.token_folder(spark)
     manifest = token_store.write_tokens(table(spark, sf_dir, "documents"), folder,
-                                        f"{tokenizers}/byte_bpe_50k.json", byte_bpe.PATTERN, end_id=0)
+                                        f"{tokenizers}/byte_bpe_50k.json", byte_bpe.PATTERN, end_id=0, special=True)
     return token_store.read_tokens(manifest, folder)
 
 

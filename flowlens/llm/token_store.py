@@ -191,15 +191,18 @@ def load_block(raw: bytes, block: int) -> np.ndarray:
 
 class _Encoder:
     """Ids of whole texts.  The library cuts a byte-level text by its pattern
-    and encodes each piece alone, so each distinct piece goes through it once."""
+    and encodes each piece alone, so each distinct piece goes through it once.
+    With ``special``, as the library does unless told otherwise, the strings of
+    its added tokens are one id each; texts that hold one go through it whole."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, special: bool):
         import re
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        self.tokenizer.encode_special_tokens = not special  # else their strings are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if special else []
         self.cut = re.compile(_latin_pattern(pattern)).findall
         self.memo: dict[str, bytes] = {}
 
@@ -208,7 +211,7 @@ class _Encoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         # other scripts go whole: the library's own Unicode tables cut them
-        own = [is_latin(t) for t in texts]
+        own = [is_latin(t) and not any(a in t for a in self.added) for t in texts]
         cut = [self.cut(t) if o else None for t, o in zip(texts, own)]
         if len(self.memo) > MEMO_PIECES:
             self.memo.clear()
@@ -219,16 +222,19 @@ class _Encoder:
 
 
 @lru_cache(maxsize=2)
-def _encoder(path: str, pattern: str) -> _Encoder:
-    return _Encoder(path, pattern)
+def _encoder(path: str, pattern: str, special: bool) -> _Encoder:
+    return _Encoder(path, pattern, special)
 
 
 # --- the operator ---------------------------------------------------------------
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str, pattern: str, end_id: int = 0,
-                 key: str = "doc_id", text: str = "text") -> DataFrame:
+                 key: str = "doc_id", text: str = "text", special: bool = False) -> DataFrame:
     """Encode and write; the manifest: part, file, ids, with one row per file.
 
+    ``special``: the strings of the tokenizer's added tokens are these tokens,
+    as in the library as loaded; else they are ordinary text.
+
     Documents are range-partitioned by id, so files follow each other in id
     order by (part, file number).  A retried task writes files under other
     names; the manifest names those of the task that ended.
@@ -242,7 +248,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, pattern: str, end
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         where, base = pafs.FileSystem.from_uri(folder)
         where.create_dir(base, recursive=True)
-        encode, end = _encoder(tokenizer, pattern), np.uint32(end_id).tobytes()
+        encode, end = _encoder(tokenizer, pattern, special), np.uint32(end_id).tobytes()
         kept: list = []
         state = {"ids": 0, "file": 0}
 

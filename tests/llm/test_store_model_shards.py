@@ -51,6 +51,20 @@ def test_files_hold_the_library_ids(spark, hard_docs, hard_rows, no_docs, monkey
     assert token_store.read_tokens(token_store.write_tokens(no_docs, empty, TOKENIZER, byte_bpe.PATTERN), empty).count() == 0
 
 
+def test_the_query_gives_the_ids_of_the_library_as_loaded(spark, tmp_path):
+    from tokenizers import Tokenizer
+    lib = Tokenizer.from_file(TOKENIZER)
+    texts = ["plain text", "one<|endoftext|>two", "<|endoftext|>", " <|endoftext|> <|endoftext|>x", "漢字<|endoftext|>", "<|endoftext", None, "the end"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in queries.QUERIES["op5_simple8b_tokens"](spark, str(tmp_path)).collect()}
+    at = 0
+    for i, t in enumerate(texts):
+        ids = lib.encode(t or "", add_special_tokens=False).ids + [0]
+        assert (50256 in ids) == ("<|endoftext|>" in (t or ""))
+        assert (got[i]["start"], got[i]["n_tokens"], got[i]["ids_crc32"]) == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        at += len(ids)
+
+
 # --- language model --------------------------------------------------------------------
 
 def brute_model(texts):
