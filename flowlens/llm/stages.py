@@ -14,16 +14,17 @@ from pyspark.sql import functions as F
 from flowlens.llm import byte_bpe, decontaminate, exact_dedup, language_id, minhash
 from flowlens.llm.common import by_id, id_crc, table, written
 
-#: A document goes if no language covers this share of its letters.
-LEAST_SHARE = 0.5
 RANKS = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or in which no language has half the letters, go."""
+    """Documents without a letter go; those of several languages stay, however
+    even their parts, and so do all where no row is labelled to learn from."""
     model = language_id.train(docs, F.lit(True))
+    if not model.languages:
+        return docs
     out = language_id.predict(docs, model, keep_text=True, out=("__lang", "__share", "__spans"))
-    return out.where((F.col("__lang") != language_id.UND) & (F.col("__share") >= LEAST_SHARE)).select(*docs.columns)
+    return out.where(F.col("__lang") != language_id.UND).select(*docs.columns)
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,9 +1,10 @@
+import random
 import re
 from collections import Counter
 
 import __spark_entry__ as E
 import corpus_pipeline
-from flowlens.llm import byte_bpe, queries, stages
+from flowlens.llm import byte_bpe, language_id, queries, stages
 from test_dedup import WHITE, brute_components
 
 
@@ -33,6 +34,20 @@ def test_stages_on_hard_rows(spark, hard_docs, hard_rows, no_docs):
     assert last.where("decoded_ok").count() == len(hard_rows)
 
 
+def test_mixed_documents_stay_and_so_do_all_without_a_model(spark):
+    words = {"en": "the and with thing house water morning people".split(), "de": "und nicht mit einer straße größe schön wasser".split(),
+             "fr": "les des une avec maison être où château".split()}
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choices(words[lang], k=60)), lang) for i, lang in enumerate([*words] * 20)]
+    mixed = " ".join(" ".join(w * 5) for w in words.values())
+    docs = spark.createDataFrame([*rows, (900, mixed, None), (901, "12 34", None)], "doc_id long, text string, lang string")
+    model = language_id.train(docs, queries.F.lit(True))
+    assert language_id.predict(docs, model).where("doc_id = 900").first()["score"] < 0.5
+    assert {r["doc_id"] for r in stages.language_stage(spark, docs, "").collect()} == {r[0] for r in rows} | {900}
+    bare = docs.withColumn("lang", queries.F.lit(None).cast("string"))
+    assert stages.language_stage(spark, bare, "").count() == docs.count()
+
+
 def test_run_against_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
