@@ -14,11 +14,10 @@ than 1/``FREQUENT`` of all irregular links (so at most ``FREQUENT`` of them)
 travel with the tasks; the others are rare by that definition and meet their
 counts in a shuffle join without a hot key.
 
-Both tokenizers are applied to distinct chunks: a chunk begins at a space after
-an ASCII character that is no white space, or at the space that is put before the
-text.  A's pattern always parts there, and so does B as long as no piece of it
-holds the space mark after another character (checked when it is loaded; else
-texts are not cut).
+Both tokenizers are applied to distinct chunks.  Texts are cut between two ASCII
+characters that A's pattern always parts (a visible one and a space, a letter
+or digit and a mark, a letter and a digit), except for pairs that some piece of
+B joins.  So tokens and groups of both end there.
 
 Cases: a null or empty text, and one whose tokens do not give back its bytes
 (it holds U+2581, say), has no tokens: zeros and an empty groups column.
@@ -32,6 +31,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +47,8 @@ from flowlens.llm.common import reach_workers, written
 FREQUENT = 100_000
 #: Bits of a B id in a pair.
 B_BITS = 24
+#: Chunks that a worker remembers, with their groups.
+MEMO_CHUNKS = 500_000
 #: Distinct pairs that a counting task holds.
 PAIRS_HELD = 1_000_000
 
@@ -92,29 +94,33 @@ def identity_map(a: list[bytes], b: list[bytes], plain: list[bool]) -> np.ndarra
     return np.array([of.get(raw, -1) if raw else -1 for raw in a], np.int32)
 
 
+def _plain_model(path: str):
+    """The sentencepiece model without the space that it puts before a text:
+    chunks bring theirs, and only the first of a text has the added one."""
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2
+    proto = sentencepiece_model_pb2.ModelProto()
+    with open(path, "rb") as f:
+        proto.ParseFromString(f.read())
+    proto.normalizer_spec.add_dummy_prefix = False
+    return sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
+
+
 class Vocabularies:
     def __init__(self, a_path: str, b_path: str):
-        import sentencepiece
-        self.a = chunks.open_tokenizer(a_path, special=False)
-        self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
+        self.a, self.b = chunks.open_tokenizer(a_path, special=False), _plain_model(b_path)
         self.a_bytes, self.b_bytes = a_bytes(a_path), b_bytes(self.b)
         plain = [not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i)) for i in range(len(self.b_bytes))]
         self.same = identity_map(self.a_bytes, self.b_bytes, plain)
-        # a piece with the mark after another character could join two chunks
-        self.parts = not any(p and b" " in raw.lstrip(b" ") for raw, p in zip(self.b_bytes, plain))
-        self.mark = self.b.piece_to_id(SPACE_MARK)
+        self.breaks = chunks.byte_level_breaks()
+        for raw in (r for r, p in zip(self.b_bytes, plain) if p):
+            self.breaks[[x << 8 | y for x, y in pairwise(raw)]] = False
         self.a_size = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
 
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """A ids and B ids of texts that begin with the added space."""
-        a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
-        b = self.b.encode([t[1:] for t in texts], num_threads=1)
-        return a, [ids if t != " " else [self.mark] for t, ids in zip(texts, b)]
-
-
-def _nowhere(text: str, at: int, end: int) -> int:
-    return -1
+        """A ids and B ids of chunks."""
+        return [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)], self.b.encode(texts, num_threads=1)
 
 
 # --- groups and links of chunks -----------------------------------------------------
@@ -124,10 +130,14 @@ class Aligner:
 
     def __init__(self, a_path: str, b_path: str):
         self.v = Vocabularies(a_path, b_path)
+        n = max(len(self.v.a_bytes), len(self.v.b_bytes))
+        # decimal ids by what follows: 0 more of the group's A ids, 1 its B ids, 2 more of them, 3 the next group
+        self.shown = [f"{i}{after}" for after in ",|,;" for i in range(n)]
+        self.ids = n
         self._start()
 
     def _start(self) -> None:
-        self.memo = chunks.Memo(self._learn)
+        self.memo = chunks.Memo(self._learn, MEMO_CHUNKS)
         self.exact, self.pairs = chunks.Rows(np.int32), chunks.Rows(np.int64)
         self.sizes = chunks.Rows(np.int64)  # n_a, n_b, n_groups, whether the bytes come back
         self.groups: list[str] = []
@@ -135,14 +145,13 @@ class Aligner:
     def _learn(self, texts: list[str]) -> None:
         v = self.v
         a, b = v.encode(texts)
-        good = np.empty(len(texts), bool)
-        for k, text in enumerate(texts):
-            raw = text.encode()
-            good[k] = raw == b"".join([v.a_bytes[i] for i in a[k]]) == b"".join([v.b_bytes[i] for i in b[k]])
-        a = [x if g else [] for x, g in zip(a, good)]
-        b = [x if g else [] for x, g in zip(b, good)]
-        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
-        flat_a, flat_b = (np.fromiter((i for x in y for i in x), np.int64, int(n.sum())) for y, n in ((a, n_a), (b, n_b)))
+        raws = [t.encode() for t in texts]
+        good = np.fromiter((raw == b"".join([v.a_bytes[i] for i in x]) == b"".join([v.b_bytes[i] for i in y])
+                            for raw, x, y in zip(raws, a, b)), bool, len(texts))
+        if not good.all():
+            a, b = ([x if g else [] for x, g in zip(y, good)] for y in (a, b))
+        flat_a, n_a = chunks.flat_ids(a, np.int64)
+        flat_b, n_b = chunks.flat_ids(b, np.int64)
         # chunks one after the other: ends rise, and the end of a chunk is common
         meet, at_a, at_b = np.intersect1d(np.cumsum(v.a_size[flat_a]), np.cumsum(v.b_size[flat_b]), assume_unique=True, return_indices=True)
         chunk = np.searchsorted(np.cumsum(n_a), at_a, side="right")
@@ -154,54 +163,45 @@ class Aligner:
         self.pairs.add((last_a << B_BITS | last_b)[~exact], per(~exact))
         n = per(np.ones(len(chunk), bool))
         self.sizes.add(np.stack([n_a, n_b, n, good], 1).ravel(), np.full(len(texts), 4))
-        shown = [f"{','.join(map(str, flat_a[i - k + 1:i + 1].tolist()))}|{','.join(map(str, flat_b[j - m + 1:j + 1].tolist()))}"
-                 for i, k, j, m in zip(at_a.tolist(), in_a.tolist(), at_b.tolist(), in_b.tolist())]
-        ends = np.cumsum(n).tolist()
-        self.groups += [";".join(shown[x:y]) for x, y in zip([0, *ends], ends)]
+        # a group's A ids, then its B ids: the other side's tokens of the groups before come first
+        codes = np.empty(len(flat_a) + len(flat_b), np.int64)
+        at_a, at_b = at_a + 1, at_b + 1
+        before_b, before_a = np.repeat(at_b - in_b, in_a), np.repeat(at_a, in_b)
+        flat_a[at_a - 1] += self.ids
+        flat_b[at_b - 1] += self.ids
+        codes[np.arange(len(flat_a)) + before_b] = flat_a
+        codes[np.arange(len(flat_b)) + before_a] = flat_b + 2 * self.ids
+        words = list(map(self.shown.__getitem__, codes.tolist()))
+        ends = np.cumsum(n_a + n_b).tolist()
+        self.groups += ["".join(words[x:y]) for x, y in zip([0, *ends], ends)]
 
     def __call__(self, texts: list[str]) -> Iterator[dict]:
-        """Per run of whole texts: the results of each."""
+        """The results of each text."""
         held: list[list] = [[] for _ in texts]
-        for some, owner in chunks.parts([" " + t if t else "" for t in texts], chunks.before_word if self.v.parts else _nowhere):
-            if len(self.memo.at) > chunks.MEMO_CHUNKS:
+        for some, owner in chunks.parts([b" " + t.encode() if t else b"" for t in texts], self.v.breaks):
+            if self.memo.full:
                 self._start()
-            cut, counts = self._cut(some)
-            new, at = chunks.distinct(cut)
+            new, at, counts = chunks.cut(some, self.v.breaks)
             rows = self.memo.rows(new)[at]
             first = np.concatenate([[0], np.cumsum(counts)])
             sizes = self.sizes.flat[:self.sizes.used].reshape(-1, 4)[rows]
             sums = np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(sizes, axis=0)])[first]
             exact, n_exact = self.exact.take(rows)
             pairs, n_pairs = self.pairs.take(rows)
-            cut_exact, cut_pairs = (np.concatenate([[0], np.cumsum(n)])[first] for n in (n_exact, n_pairs))
-            shown = [self.groups[r] for r in rows.tolist()]
+            cut_exact, cut_pairs = (np.concatenate([[0], np.cumsum(n)])[first].tolist() for n in (n_exact, n_pairs))
+            shown, first = list(map(self.groups.__getitem__, rows.tolist())), first.tolist()
             for k, o in enumerate(owner.tolist()):
                 held[o].append((sums[k + 1] - sums[k], counts[k], exact[cut_exact[k]:cut_exact[k + 1]],
-                                pairs[cut_pairs[k]:cut_pairs[k + 1]], shown[first[k]:first[k + 1]]))
+                                pairs[cut_pairs[k]:cut_pairs[k + 1]], "".join(shown[first[k]:first[k + 1]])))
         for parts_ in held:
-            sizes = np.sum([p[0] for p in parts_], axis=0)
-            if not sizes[0] or sizes[3] < sum(p[1] for p in parts_):  # no token, or a chunk's bytes do not come back
+            n_a, n_b, n_groups, good = sum(p[0] for p in parts_).tolist()
+            if not n_a or good < sum(p[1] for p in parts_):  # no token, or a chunk's bytes do not come back
                 yield {"n_a": 0, "n_b": 0, "n_groups": 0, "groups": "", "exact": [], "pairs": []}
                 continue
-            digest = hashlib.sha256(";".join([s for p in parts_ for s in p[4]]).encode()).hexdigest()
-            yield {"n_a": int(sizes[0]), "n_b": int(sizes[1]), "n_groups": int(sizes[2]), "groups": digest,
+            digest = hashlib.sha256("".join([p[4] for p in parts_])[:-1].encode()).hexdigest()
+            yield {"n_a": n_a, "n_b": n_b, "n_groups": n_groups, "groups": digest,
                    "exact": [p[2] for p in parts_], "pairs": [p[3] for p in parts_]}
 
-    def _cut(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
-        """(chunks of all texts, number of chunks of each)."""
-        raws = [t.encode() for t in texts]
-        sizes = np.fromiter(map(len, raws), np.int64, len(raws))
-        data = b"".join(raws)
-        x = np.frombuffer(data, np.uint8)
-        ends = np.cumsum(sizes)
-        begins = np.zeros(len(x), bool)
-        if self.v.parts and len(x):
-            begins[1:] = (x[1:] == 0x20) & (x[:-1] > 0x20) & (x[:-1] < 0x7F)
-        begins[(ends - sizes)[sizes > 0]] = True
-        at = np.flatnonzero(begins)
-        cut = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(np.append(at, len(x)).astype(np.int64).tobytes()), pa.py_buffer(data))
-        return cut, np.diff(np.searchsorted(at, np.concatenate([[0], ends])))
-
 
 @lru_cache(maxsize=1)
 def _aligner(a_path: str, b_path: str) -> Aligner:

@@ -1,23 +1,44 @@
 """Ids of texts through their distinct chunks.
 
 A chunk is a stretch of text that a tokenizer encodes by itself wherever it
-stands.  Texts are cut in numpy or Arrow, each distinct chunk goes through the
-library once per worker, and the ids of whole texts are gathered by row number.
+stands.  Texts are cut in numpy between pairs of ASCII characters that no token
+may join, each distinct chunk goes through the library once per worker, and
+the ids of whole texts are gathered by row number.
 """
 from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 
-#: Chunks that a worker remembers; it starts anew beyond that.
-MEMO_CHUNKS = 400_000
-#: Characters that are cut and gathered at once, about; longer texts go in several parts.
-PART_CHARS = 2 << 20
+#: Chunks, and characters of them, that a worker remembers; it starts anew beyond either.
+MEMO_CHUNKS, MEMO_CHARS = 800_000, 16 << 20
+#: Bytes that are cut and gathered at once, about; longer texts go in several parts.
+PART_BYTES = 2 << 20
+
+_LETTERS = np.array([chr(c).isalpha() and c < 128 for c in range(256)])
+_DIGITS = np.array([0x30 <= c <= 0x39 for c in range(256)])
+_VISIBLE = np.array([0x21 <= c <= 0x7E for c in range(256)])
+_SPACE = np.arange(256) == 0x20
+
+
+def _pairs(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return np.outer(first, second).ravel()
+
+
+def byte_level_breaks() -> np.ndarray:
+    """Byte pairs (first << 8 | second) that the byte-level pattern always parts:
+    a visible character and a space, a letter or digit and a mark, a letter and a digit."""
+    marks = _VISIBLE & ~_LETTERS & ~_DIGITS
+    return (_pairs(_VISIBLE, _SPACE) | _pairs(_LETTERS | _DIGITS, marks) | _pairs(_LETTERS, _DIGITS) | _pairs(_DIGITS, _LETTERS))
+
+
+def word_breaks() -> np.ndarray:
+    """The same for a pattern that drops white space and takes digits one by one."""
+    return byte_level_breaks() | _pairs(_DIGITS, _DIGITS)
 
 
 def open_tokenizer(path: str, special: bool):
@@ -59,8 +80,12 @@ class Rows:
 class Memo:
     """Row number of each distinct chunk; ``learn`` appends the rows of new ones."""
 
-    def __init__(self, learn: Callable[[list[str]], None]):
-        self.learn, self.at = learn, {}
+    def __init__(self, learn: Callable[[list[str]], None], limit: int | None = None):
+        self.learn, self.at, self.chars, self.limit = learn, {}, 0, limit or MEMO_CHUNKS
+
+    @property
+    def full(self) -> bool:
+        return len(self.at) > self.limit or self.chars > MEMO_CHARS
 
     def rows(self, chunks: list[str]) -> np.ndarray:
         out = np.fromiter(map(self.at.get, chunks, repeat(-1)), np.int64, len(chunks))
@@ -70,53 +95,99 @@ class Memo:
             first = len(self.at)
             self.learn(fresh)
             self.at.update(zip(fresh, range(first, first + len(fresh))))
+            self.chars += sum(map(len, fresh))
             out[new] = np.arange(first, first + len(fresh))
         return out
 
 
-def before_white(text: str, at: int, end: int) -> int:
-    """The last ASCII white space in ``text[at + 1:end]``, -1 if there is none."""
-    return max(text.rfind(w, at + 1, end) for w in " \t\n\x0b\x0c\r")
+def flat_ids(found: list[list[int]], kind) -> tuple[np.ndarray, np.ndarray]:
+    lengths = np.fromiter(map(len, found), np.int64, len(found))
+    return np.fromiter(chain.from_iterable(found), kind, int(lengths.sum())), lengths
 
 
-def before_word(text: str, at: int, end: int) -> int:
-    """The last space after a visible ASCII character in ``text[at + 1:end]``, -1 if there is none."""
-    while (end := text.rfind(" ", at + 1, end)) > 0 and not "!" <= text[end - 1] <= "~":
-        pass
-    return end
+def _last_break(raw: bytes, breaks: np.ndarray, at: int, end: int) -> int:
+    """The last place in ``raw[at + 1:end]`` that a break lies before, -1 if there is none."""
+    x = np.frombuffer(raw, np.uint8, end - at, at)
+    found = np.flatnonzero(breaks[x[:-1].astype(np.uint16) << 8 | x[1:]])
+    return at + int(found[-1]) + 1 if len(found) else -1
 
 
-def parts(texts: list[str], cut: Callable[[str, int, int], int], limit: int = PART_CHARS) -> Iterator[tuple[list[str], np.ndarray]]:
+def parts(raws: list[bytes], breaks: np.ndarray, limit: int | None = None) -> Iterator[tuple[list[bytes], np.ndarray]]:
     """Runs of (texts or parts of long texts, the text that each is part of).
 
-    ``cut`` finds the last place in a stretch of ``limit`` characters where a
-    long text may be parted; a stretch without one is not parted from the rest.
+    A long text is parted at the last break of a stretch of ``limit`` bytes; a
+    stretch without one is not parted from the rest.
     """
+    limit = limit or PART_BYTES
     held, owner, size = [], [], 0
-    for i, text in enumerate(texts):
+    for i, raw in enumerate(raws):
         at, open_ = 0, True
         while open_:
-            end = len(text)
-            if end - at > limit and (place := cut(text, at, at + limit)) > at:
+            end = len(raw)
+            if end - at > limit and (place := _last_break(raw, breaks, at, at + limit)) > at:
                 end = place
-            held.append(text[at:end])
+            held.append(raw[at:end])
             owner.append(i)
             size += end - at
             if size >= limit:
                 yield held, np.array(owner, np.int64)
                 held, owner, size = [], [], 0
-            at, open_ = end, end < len(text)
+            at, open_ = end, end < len(raw)
     if held:
         yield held, np.array(owner, np.int64)
 
 
-def split_white(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
-    """(words between ASCII white space, number of words of each text)."""
-    lists = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
-    return lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-
+def cut(raws: list[bytes], breaks: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(distinct chunks, the place of each chunk among them, chunks of each text)."""
+    data = b"".join(raws)
+    x = np.frombuffer(data, np.uint8)
+    sizes = np.fromiter(map(len, raws), np.int64, len(raws))
+    ends = np.cumsum(sizes)
+    begins = np.zeros(len(x), bool)
+    if len(x):
+        begins[1:] = breaks[x[:-1].astype(np.uint16) << 8 | x[1:]]
+    begins[(ends - sizes)[sizes > 0]] = True
+    at = np.flatnonzero(begins)
+    offsets = np.append(at, len(x)).astype(np.int64)
+    coded = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(data)).dictionary_encode()
+    counts = np.diff(np.searchsorted(at, np.concatenate([[0], ends])))
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False), counts
+
+
+class ChunkEncoder:
+    """Ids of whole texts by the tokenizers library, as it is loaded or with the
+    strings of added tokens as ordinary text (not ``special``).
+
+    ``same`` maps bytes to bytes that the tokenizer cannot tell apart (case,
+    kinds of white space), so fewer chunks are distinct.  Texts that hold the
+    string of an added token go through the library whole.
+    """
 
-def distinct(chunks: pa.Array) -> tuple[list[str], np.ndarray]:
-    """(distinct chunks, the place of each chunk among them)."""
-    coded = chunks.dictionary_encode()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+    def __init__(self, path: str, breaks: np.ndarray, special: bool, same: bytes | None = None):
+        self.tokenizer, self.breaks, self.same = open_tokenizer(path, special), breaks, same
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if special else []
+        self._start()
+
+    def _start(self) -> None:
+        self.ids, self.memo = Rows(np.uint32), Memo(lambda chunks: self.ids.add(*self.library(chunks)))
+
+    def library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return flat_ids([e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)], np.uint32)
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        held: list[list[np.ndarray]] = [[] for _ in texts]
+        raws = []
+        for i, text in enumerate(texts):
+            if any(a in text for a in self.added):
+                held[i].append(self.library([text])[0])
+                text = ""
+            raws.append(text.encode().translate(self.same) if self.same else text.encode())
+        for some, owner in parts(raws, self.breaks):
+            if self.memo.full:
+                self._start()
+            new, place, counts = cut(some, self.breaks)
+            ids, lengths = self.ids.take(self.memo.rows(new)[place])
+            ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum(counts)].tolist()
+            for o, a, b in zip(owner.tolist(), [0, *ends], ends):
+                held[o].append(ids[a:b])
+        return [h[0] if len(h) == 1 else np.concatenate(h) for h in held]

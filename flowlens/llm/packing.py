@@ -129,39 +129,14 @@ def place(steps: np.ndarray, lengths: np.ndarray, numbers: np.ndarray) -> tuple[
 
 # --- pieces of documents -----------------------------------------------------------
 
-class WordEncoder:
-    """Ids of whole texts by a tokenizer that never joins across ASCII white space."""
-
-    def __init__(self, path: str):
-        self.tokenizer = chunks.open_tokenizer(path, special=True)
-        self._start()
-
-    def _start(self) -> None:
-        self.ids, self.memo = chunks.Rows(np.uint32), chunks.Memo(self._learn)
-
-    def _learn(self, words: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        self.ids.add(np.fromiter((i for f in found for i in f), np.uint32, int(lengths.sum())), lengths)
-
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        held: list[list[np.ndarray]] = [[] for _ in texts]
-        for some, owner in chunks.parts(texts, chunks.before_white):
-            if len(self.memo.at) > chunks.MEMO_CHUNKS:
-                self._start()
-            words, counts = chunks.split_white(some)
-            new, place_ = chunks.distinct(words)
-            ids, lengths = self.ids.take(self.memo.rows(new)[place_])
-            words_end = np.cumsum(counts)
-            ends = np.concatenate([[0], np.cumsum(lengths)])[words_end]
-            for o, a, b in zip(owner.tolist(), [0, *ends.tolist()], ends.tolist()):
-                held[o].append(ids[a:b])
-        return [h[0] if len(h) == 1 else np.concatenate(h) for h in held]
+def _same_for_words() -> bytes:
+    """Bytes that a tokenizer that lower-cases and drops white space cannot tell apart."""
+    return bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz     ")
 
 
 @lru_cache(maxsize=1)
-def _encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+def _encoder(path: str) -> chunks.ChunkEncoder:
+    return chunks.ChunkEncoder(path, chunks.word_breaks(), special=True, same=_same_for_words())
 
 
 def cut_documents(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, key: str = "doc_id", text: str = "text",
@@ -217,7 +192,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id
     # at most ``capacity`` rows, however many documents
     total = offsets.groupBy("length").agg(F.sum("n").alias("n")).collect()
     steps = docs.sparkSession.sparkContext.broadcast(plan({r["length"]: r["n"] for r in total}, capacity))
-    numbered = pieces.join(offsets.drop("n"), ["part", "length"]).withColumn("number", F.col("at") + F.col("before"))
+    numbered = pieces.join(offsets.drop("n").hint("merge"), ["part", "length"]).withColumn("number", F.col("at") + F.col("before"))
     kept = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if keep_ids else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

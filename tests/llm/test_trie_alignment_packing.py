@@ -146,11 +146,15 @@ def brute_alignment(texts):
 ALIGNED = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 
 
-@pytest.mark.parametrize("frequent, memo, part", [(100_000, 400_000, 2 << 20), (40, 50, 300), (1, 400_000, 2 << 20)])
-def test_alignment_equals_the_libraries_on_whole_texts(spark, hard_rows, monkeypatch, frequent, memo, part):
+def strange_texts(n=300):
+    rng = random.Random(5)
+    odd = "  \n\tab▁é漢\U0001f642'1.<|s>"
+    return ODD_TEXTS + ["".join(rng.choice(odd) for _ in range(rng.randrange(60))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("frequent", [100_000, 40, 1])
+def test_alignment_equals_the_libraries_on_whole_texts(spark, hard_rows, monkeypatch, frequent):
     monkeypatch.setattr(alignment, "FREQUENT", frequent)
-    monkeypatch.setattr(chunks, "MEMO_CHUNKS", memo)
-    monkeypatch.setattr(chunks.parts, "__defaults__", (part,))
     rows = [(r[0], r[1], "x") for r in hard_rows] + [(1000 + i, t, None) for i, t in enumerate(ODD_TEXTS)]
     rng = random.Random(5)
     odd = "  \n\tab▁é漢\U0001f642'1.<|s>"
@@ -163,6 +167,20 @@ def test_alignment_equals_the_libraries_on_whole_texts(spark, hard_rows, monkeyp
     assert {(r["pair"] >> alignment.B_BITS, r["pair"] & low): r["n"] for r in pairs.collect()} == counts
 
 
+def test_alignment_in_parts_with_a_small_memo(monkeypatch, hard_rows):
+    """Workers import the module anew, so this runs here."""
+    texts = [r[1] or "" for r in hard_rows] + strange_texts()
+    monkeypatch.setattr(chunks, "PART_BYTES", 300)
+    monkeypatch.setattr(alignment, "MEMO_CHUNKS", 50)
+    got = list(alignment.Aligner(BYTE_BPE, PIECE_BPE)(texts))
+    expect, counts = brute_alignment(texts)
+    assert [(g["n_a"], g["n_b"], g["n_groups"], g["groups"]) for g in got] == [(*e[:3], e[6]) for e in expect]
+    same = alignment.Vocabularies(BYTE_BPE, PIECE_BPE).same
+    found = Counter((i, int(same[i])) for g in got for x in g["exact"] for i in x.tolist())
+    found.update((p >> alignment.B_BITS, p & (1 << alignment.B_BITS) - 1) for g in got for x in g["pairs"] for p in x.tolist())
+    assert found == counts
+
+
 def test_alignment_of_an_empty_table(spark, no_docs):
     out, pairs = alignment.align_tokenizers(no_docs, BYTE_BPE, PIECE_BPE)
     assert out.count() == 0 and pairs.count() == 0
@@ -170,7 +188,7 @@ def test_alignment_of_an_empty_table(spark, no_docs):
 
 def test_the_identity_map(spark):
     v = alignment.Vocabularies(BYTE_BPE, PIECE_BPE)
-    assert v.parts and (v.same >= 0).sum() > 5_000
+    assert v.breaks.sum() > 1_000 and (v.same >= 0).sum() > 5_000
     assert all(v.a_bytes[a] == v.b_bytes[b] for a, b in enumerate(v.same.tolist()) if b >= 0)
     assert v.same[50256] == -1
 
@@ -214,11 +232,24 @@ def test_the_plan_is_that_of_placing_one_by_one(seed):
     assert Counter(sum(n for _, n in p) for p in found.values()) == plain_best_fit(lengths, capacity)
 
 
-def test_packed_documents_hold_the_library_ids(spark, hard_rows, monkeypatch):
+@pytest.mark.parametrize("part, memo", [(2 << 20, 800_000), (200, 50)])
+@pytest.mark.parametrize("special", [True, False])
+def test_chunks_give_the_ids_of_whole_texts(monkeypatch, hard_rows, part, memo, special):
+    from tokenizers import Tokenizer
+    monkeypatch.setattr(chunks, "PART_BYTES", part)
+    monkeypatch.setattr(chunks, "MEMO_CHUNKS", memo)
+    texts = [r[1] or "" for r in hard_rows] + strange_texts(3_000)
+    for path, breaks, same in ((WORD_BPE, chunks.word_breaks(), packing._same_for_words()), (BYTE_BPE, chunks.byte_level_breaks(), None)):
+        lib = Tokenizer.from_file(path)
+        lib.encode_special_tokens = not special
+        encode = chunks.ChunkEncoder(path, breaks, special, same)
+        assert [x.tolist() for x in encode(texts)] == [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_packed_documents_hold_the_library_ids(spark, hard_rows):
     from tokenizers import Tokenizer
     lib = Tokenizer.from_file(WORD_BPE)
-    monkeypatch.setattr(chunks.parts, "__defaults__", (500,))
-    rows = [(r[0], r[1], 1) for r in hard_rows] + [(1000 + i, t, 2) for i, t in enumerate(ODD_TEXTS)]
+    rows = [(r[0], r[1], 1) for r in hard_rows] + [(1000 + i, t, 2) for i, t in enumerate(strange_texts())]
     docs = spark.createDataFrame(rows, "doc_id long, text string, length int").repartition(6)
     packed = packing.pack_documents(docs, WORD_BPE, capacity=256, keep_ids=True)
     packed.persist()
