@@ -37,6 +37,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def import_in_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever the driver was started."""
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if home not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([home, *paths])
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder: the session's setting, else a local one."""
     global _LOCAL_CKPT
