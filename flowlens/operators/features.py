@@ -140,7 +140,7 @@ def profile_features(base1: DataFrame, as_of: str) -> DataFrame:
     )
 
 
-def behaviour_features(flows: DataFrame, base2: DataFrame) -> DataFrame:
+def behaviour_features(flows: DataFrame, edges: DataFrame) -> DataFrame:
     """Per company over all its flow months (companies with >= 2): trends,
     coefficients of variation, positive shares, means, counterparty
     diversification (distinct payers + distinct payees) and channels."""
@@ -156,14 +156,14 @@ def behaviour_features(flows: DataFrame, base2: DataFrame) -> DataFrame:
         F.avg((F.col("fl") > 0).cast("double")).alias("consistencia_fluxo"),
         F.avg("r").alias("receita_media"), F.avg("fl").alias("fluxo_medio"),
     ).filter(F.col("num_meses_ativo") >= 2)
-    legs = base2.select(F.explode(F.array(
-        F.struct(F.col("ID_RCBE").alias("ID"), F.col("ID_PGTO").alias("payer"),
-                 F.lit(None).cast("string").alias("payee"), F.col("DS_TRAN").alias("ch")),
-        F.struct(F.col("ID_PGTO").alias("ID"), F.lit(None).cast("string").alias("payer"),
-                 F.col("ID_RCBE").alias("payee"), F.col("DS_TRAN").alias("ch")))).alias("l")).select("l.*")
-    rel = legs.filter(F.col("ID").isNotNull()).groupBy("ID").agg(
-        (F.countDistinct("payer") + F.countDistinct("payee")).alias("diversificacao_contrapartes"),
-        F.countDistinct("ch").alias("canais_utilizados"))
+    # partners: rows of the distinct pairs; channels: bits of their places in the fixed list
+    places = F.when(F.col("channel").isNotNull(), F.lit(1 << len(C.CHANNELS)))
+    for i, c in enumerate(C.CHANNELS):
+        places = F.when(F.col("channel") == c, F.lit(1 << i)).otherwise(places)
+    pairs = edges.groupBy("src", "dst").agg(F.bit_or(places).alias("bits"))
+    legs = pairs.select(F.explode(F.array(F.struct(F.col("dst").alias("ID"), "bits"), F.struct(F.col("src").alias("ID"), "bits"))).alias("l")).select("l.*")
+    rel = legs.groupBy("ID").agg(F.count(F.lit(1)).alias("diversificacao_contrapartes"),
+                                 F.bit_count(F.coalesce(F.bit_or("bits"), F.lit(0))).alias("canais_utilizados"))
     return beh.join(rel, "ID", "left").select(
         "ID", "receita_trend", "fluxo_trend", "receita_cv", "fluxo_cv", "consistencia_receita",
         "consistencia_fluxo",
@@ -179,12 +179,12 @@ SUP_NUMERIC = ["VL_FATU", "VL_SLDO", "idade_anos", "saude_saldo", "faturamento_n
                "maturidade_relativa", "performance_vs_porte", "eficiencia_capital"]
 
 
-def supervised_features(base1: DataFrame, flows: DataFrame, base2: DataFrame, as_of: str) -> DataFrame:
+def supervised_features(base1: DataFrame, flows: DataFrame, edges: DataFrame, as_of: str) -> DataFrame:
     """Profile features inner-joined with behaviour features on ID: one row
     per (ID, profile month), behaviour repeated.  Hybrid ratios, then
     +/-inf -> NULL, numeric NULL -> column median, opening date NULL -> mode."""
     prof = profile_features(base1, as_of)
-    j = prof.join(behaviour_features(flows, base2), "ID", "inner")
+    j = prof.join(behaviour_features(flows, edges), "ID", "inner")
     j = j.select("*",
                  (F.col("idade_anos") / F.when(F.col("ciclo_setor_anos") == 0, F.lit(1))
                   .otherwise(F.col("ciclo_setor_anos"))).alias("maturidade_relativa"),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions.columns import banded
+from ..session import checkpoint_dir
 
 
 def pair_volumes(edges: DataFrame) -> DataFrame:
@@ -36,24 +37,30 @@ def _level(x) -> F.Column:
     return banded(x, C.RISK_LEVELS, C.RISK_LEVEL_LAST)
 
 
-def concentration_metrics(pairs: DataFrame, companies: DataFrame) -> DataFrame:
+def concentration_metrics(pairs: DataFrame, companies: DataFrame, flows: DataFrame | None = None) -> DataFrame:
     """Per company and direction (in / out / both): HHI, top partner share,
     top-3 share, number of partners, total and level (top > .5 CRÍTICO, else
     top-3 > .8 ALTO, > .6 MÉDIO, else BAIXO).  No payments or a zero total ->
     zeros and BAIXO.  A partner is one with a payment, whatever its amount.
-    HHI is Σv²/total² (one aggregation pass)."""
-    pf = partner_flows(pairs)
-    legs = pf.select("company_id", "partner_id", F.explode(F.array(
-        *[F.when(F.col(f"n{d}") > 0, F.struct(F.lit(d).alias("direction"), F.col(f"v{d}").alias("v"))) for d in ("in", "out")],
-        F.struct(F.lit("both").alias("direction"), (F.col("vin") + F.col("vout")).alias("v")),
-    )).alias("d")).filter(F.col("d").isNotNull()).select("company_id", "partner_id", "d.direction", "d.v")
-    tot = legs.groupBy("company_id", "direction").agg(
-        F.sum("v").alias("total_volume"), F.sum(F.col("v") * F.col("v")).alias("_sq"),
-        F.max("v").alias("_top"), F.count(F.lit(1)).alias("_np"))
+    HHI is Σv²/total²; one aggregate yields the three directions, and the three
+    largest amounts come out of it as the running top of each."""
+    pf = partner_flows(pairs) if flows is None else flows
+    value = {"in": F.when(F.col("nin") > 0, F.col("vin")), "out": F.when(F.col("nout") > 0, F.col("vout")),
+             "both": F.col("vin") + F.col("vout")}
+    legs = pf.select("company_id", "partner_id", *(v.alias(f"v_{d}") for d, v in value.items()))
+    sums = [f(F.col(f"v_{d}")).alias(f"{name}_{d}") for d in value for name, f in (
+        ("total", F.sum), ("sq", lambda v: F.sum(v * v)), ("n", F.count))]
+    tot = legs.groupBy("company_id").agg(*sums)
+    long = legs.select("company_id", "partner_id", F.explode(F.array(
+        *[F.when(F.col(f"v_{d}").isNotNull(), F.struct(F.lit(d).alias("direction"), F.col(f"v_{d}").alias("v"))) for d in value])).alias("d")
+    ).filter(F.col("d").isNotNull()).select("company_id", "partner_id", "d.direction", "d.v")
     w = Window.partitionBy("company_id", "direction").orderBy(F.col("v").desc(), "partner_id")
-    top3 = (legs.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= 3)
-            .groupBy("company_id", "direction").agg(F.sum("v").alias("_top3")))
-    m = tot.join(top3, ["company_id", "direction"])
+    top3 = (long.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= 3)  # 3 rows a company and direction
+            .groupBy("company_id").agg(*(F.sum(F.when(F.col("direction") == d, F.col("v"))).alias(f"top3_{d}") for d in value),
+                                       *(F.max(F.when(F.col("direction") == d, F.col("v"))).alias(f"top_{d}") for d in value)))
+    m = tot.join(top3, "company_id").select("company_id", F.explode(F.array(*[F.struct(
+        F.lit(d).alias("direction"), F.col(f"total_{d}").alias("total_volume"), F.col(f"sq_{d}").alias("_sq"), F.col(f"top_{d}").alias("_top"),
+        F.col(f"top3_{d}").alias("_top3"), F.col(f"n_{d}").alias("_np")) for d in value])).alias("d")).select("company_id", "d.*").filter("_np > 0")
     ok = F.col("total_volume") != 0
     hhi = F.when(ok, F.col("_sq") / (F.col("total_volume") * F.col("total_volume"))).otherwise(0.0)
     top = F.when(ok, F.col("_top") / F.col("total_volume")).otherwise(0.0)
@@ -74,11 +81,11 @@ def concentration_metrics(pairs: DataFrame, companies: DataFrame) -> DataFrame:
         F.coalesce(F.col("concentration_risk"), F.lit("BAIXO")).alias("concentration_risk"))
 
 
-def counterparty_loss_impact(pairs: DataFrame) -> DataFrame:
+def counterparty_loss_impact(pairs: DataFrame, flows: DataFrame | None = None) -> DataFrame:
     """For every (company, partner) with a flow: share of the company's
     receipts and payments lost if the partner fails, the larger of the two,
     severity (.5/.3/.15) with recovery estimate, and the amounts at risk."""
-    pf = partner_flows(pairs)
+    pf = partner_flows(pairs) if flows is None else flows
     tot = pf.groupBy("company_id").agg(F.sum("vin").alias("_tin"), F.sum("vout").alias("_tout"))
     j = pf.join(tot, "company_id")
     ir = F.when(F.col("_tin") > 0, F.col("vin") / F.col("_tin")).otherwise(F.lit(0.0))
@@ -138,7 +145,7 @@ def risk_scenarios(impact: DataFrame) -> DataFrame:
     return out.withColumns({"description": description, "mitigation_strategies": mitigation})
 
 
-def node_profile(edges: DataFrame) -> DataFrame:
+def node_profile(edges: DataFrame, flows: DataFrame | None = None) -> DataFrame:
     """Per company over the whole ledger: payments touching it, mean payment,
     distinct partners and the partner risk score.
 
@@ -151,7 +158,7 @@ def node_profile(edges: DataFrame) -> DataFrame:
     ms = monthly.groupBy("node").agg(
         F.sum("mn").alias("n_payments"), F.sum("mv").alias("_sum"),
         F.stddev_samp("mv").alias("_sd"), F.avg("mv").alias("_mean"))
-    pf = partner_flows(pair_volumes(edges))
+    pf = partner_flows(pair_volumes(edges)) if flows is None else flows
     conc = pf.groupBy("company_id").agg(
         F.countDistinct("partner_id").alias("n_partners"),
         F.max(F.col("vin") + F.col("vout")).alias("_top"), F.sum(F.col("vin") + F.col("vout")).alias("_tot"))
@@ -181,80 +188,79 @@ def adjacency(edges: DataFrame) -> DataFrame:
             .filter(F.col("a") != F.col("b")).distinct())
 
 
-def diversification_targets(edges: DataFrame, k: int = 5, top_m: int = 64, fanout: int = 50,
-                            profile: DataFrame | None = None, adj: DataFrame | None = None) -> DataFrame:
+def ranked_candidates(profile: DataFrame) -> DataFrame:
+    """The profile with ``place``: 1.. in the order of (risk asc, mean payment
+    desc, id asc).  Numbered by ranges of the order and their offsets, so no
+    task sorts all companies; materialised, as range bounds are sampled."""
+    order = [F.col("risk_score").asc(), F.col("avg_transaction_volume").desc(), F.col("partner_id").asc()]
+    checkpoint_dir(profile.sparkSession)
+    parts = profile.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()).checkpoint()
+    sizes = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row a range
+    offsets = sizes.select("_part", before.alias("_before"))
+    own = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return (parts.withColumn("_own", own).join(offsets, "_part")
+            .withColumn("place", (F.col("_own") + F.col("_before")).cast("long")).drop("_part", "_own", "_before").checkpoint())
+
+
+def diversification_targets(edges: DataFrame, k: int = 5, top_m: int = 64, fanout: int = 8,
+                            profile: DataFrame | None = None, adj: DataFrame | None = None,
+                            with_block: bool = False) -> DataFrame:
     """Best ``k`` new partners per company: partners of its partners, minus
     itself and its current partners, ranked by (risk asc, mean payment
-    desc, id asc).  Exact, in three tiers, never expanding a hub's whole
-    neighbourhood for everybody:
+    desc, id asc).
 
-    1. the ``top_m`` best-ranked companies overall (a bounded take-ordered
-       limit) are tested for every company (shared neighbour, not already a
-       partner).  A company that finds ``k`` of them is done: every other
-       candidate ranks after all of them.
-    2. the rest look at each partner's ``fanout`` best-ranked neighbours;
-       complete when the k-th found ranks before every truncated list's
-       cut-off.
-    3. the few remaining companies use the full 2-hop expansion.
+    A rank join by the threshold rule.  Candidates are read in blocks of that
+    order, the first of ``top_m``, each next one ``fanout`` times as long.  A
+    block meets the partners of the companies that are still open; a company
+    leaves as soon as it has ``k`` candidates, because all of the later blocks
+    rank after them, or as many as it has non-partners at all.  So a company
+    reads its partners' lists only as far as its answer lies, and hubs are
+    never expanded for everybody.  What is open shrinks from block to block
+    and is checkpointed.  ``with_block`` adds the block that closed a company.
     """
+    spark = edges.sparkSession
+    checkpoint_dir(spark)
     adj = adjacency(edges) if adj is None else adj
     prof = node_profile(edges) if profile is None else profile
-    key = F.struct(F.col("risk_score"), (-F.col("avg_transaction_volume")).alias("nv"), F.col("partner_id"))
-    cand = prof.select("partner_id", key.alias("key"), "avg_transaction_volume", "diversification_level",
-                       "risk_score", "recommendation_reason")
-    attrs = ["key", "avg_transaction_volume", "diversification_level", "risk_score", "recommendation_reason"]
+    cand = ranked_candidates(prof)
+    degree = adj.groupBy("a").agg(F.count(F.lit(1)).alias("_deg"))
+    n = cand.count()
+    # a company can find no more than the companies that are no partners of it
+    open_ = degree.select(F.col("a").alias("c"), F.least(F.lit(k), n - 1 - F.col("_deg")).alias("most")).filter("most > 0").checkpoint()
     mine = adj.select(F.col("a").alias("c"), F.col("b").alias("p"))
-    wr = Window.partitionBy("c").orderBy("key")
-
-    def best(pairs: DataFrame) -> DataFrame:
-        """(c, q, attrs...) candidate pairs -> the k best valid per company."""
-        valid = (pairs.select("c", "q", *attrs).filter(F.col("c") != F.col("q"))
-                 .join(mine.select("c", F.col("p").alias("q")), ["c", "q"], "left_anti")
-                 .dropDuplicates(["c", "q"]))
-        return valid.withColumn("rank", F.row_number().over(wr)).filter(F.col("rank") <= k)
-
-    def found(res: DataFrame) -> DataFrame:
-        return res.groupBy("c").agg(F.count(F.lit(1)).alias("_found"), F.max("key").alias("_kth"))
-
-    companies = adj.select(F.col("a").alias("c")).distinct()
-    # tier 1: global top-m (size-bounded by construction -> broadcast)
-    top = cand.orderBy("key").limit(top_m)
-    top_adj = mine.join(F.broadcast(top.select(F.col("partner_id").alias("q"))), mine.c == F.col("q")) \
-        .select("q", "p")
-    t1 = best(mine.join(top_adj, "p").select("c", "q").dropDuplicates(["c", "q"])
-              .join(F.broadcast(top.withColumnRenamed("partner_id", "q")), "q"))
-    done1 = found(t1).filter(F.col("_found") >= k).select("c")
-    rest = companies.join(done1, "c", "left_anti")
-    # tier 2: per-partner best ``fanout`` neighbours
-    nb = adj.join(cand, adj.b == cand.partner_id).drop("partner_id")
-    deg = adj.groupBy("a").agg(F.count(F.lit(1)).alias("deg"))
-    wl = Window.partitionBy("a").orderBy("key")
-    ranked = nb.withColumn("_r", F.row_number().over(wl)).filter(F.col("_r") <= fanout)
-    cut = (ranked.filter(F.col("_r") == fanout).join(deg, "a").filter(F.col("deg") > fanout)
-           .select(F.col("a").alias("p"), F.col("key").alias("cut_key")))
-    mine_rest = mine.join(rest, "c", "left_semi")
-    t2 = best(mine_rest.join(ranked.select(F.col("a").alias("p"), F.col("b").alias("q"), *attrs), "p"))
-    needs = (mine_rest.join(cut, "p").join(found(t2), "c", "left")
-             .filter(F.col("_found").isNull() | (F.col("_found") < k) | (F.col("cut_key") <= F.col("_kth")))
-             .select("c").distinct())
-    # tier 3: full expansion for the remaining companies only
-    full_nb = nb.select(F.col("a").alias("p"), F.col("b").alias("q"), *attrs)
-    t3 = best(mine.join(needs, "c", "left_semi").join(full_nb, "p"))
-    result = (t1.join(done1, "c", "left_semi")
-              .unionByName(t2.join(needs, "c", "left_anti"))
-              .unionByName(t3))
-    return result.select(F.col("c").alias("company_id"), F.col("rank").cast("long").alias("rank"),
-                         F.col("q").alias("partner_id"), "avg_transaction_volume", "diversification_level",
-                         "risk_score", "recommendation_reason")
+    best = spark.createDataFrame([], "c string, q string, place long")
+    out, low, size, block = [], 0, top_m, 1
+    per = Window.partitionBy("c").orderBy("place")
+    while low < n and not open_.isEmpty():
+        part = cand.filter((F.col("place") > low) & (F.col("place") <= low + size)).select(F.col("partner_id").alias("q"), "place")
+        lists = adj.join(part, adj.b == F.col("q")).select(F.col("a").alias("p"), "q", "place")
+        met = mine.join(open_.select("c"), "c", "left_semi").join(lists, "p").filter(F.col("c") != F.col("q")).select("c", "q", "place").distinct()
+        new = met.join(mine.select("c", F.col("p").alias("q")), ["c", "q"], "left_anti")
+        held = best.unionByName(new).withColumn("rank", F.row_number().over(per)).filter(F.col("rank") <= k)
+        held = held.join(open_, "c").withColumn("_found", F.count(F.lit(1)).over(Window.partitionBy("c"))).checkpoint()  # k rows a company
+        last = low + size >= n
+        closed = held if last else held.filter(F.col("_found") >= F.col("most"))
+        out.append(closed.select("c", "q", "rank", F.lit(block).alias("block")))
+        open_ = open_.join(closed.select("c").distinct(), "c", "left_anti").checkpoint()
+        best = held.filter(F.col("_found") < F.col("most")).select("c", "q", "place")
+        low, size, block = low + size, size * fanout, block + 1
+    rows = spark.createDataFrame([], "c string, q string, rank int, block int")
+    for r in out:
+        rows = rows.unionByName(r)
+    return rows.join(cand, F.col("q") == F.col("partner_id")).select(
+        F.col("c").alias("company_id"), F.col("rank").cast("long").alias("rank"), "partner_id", "avg_transaction_volume",
+        "diversification_level", "risk_score", "recommendation_reason", *(["block"] if with_block else []))
 
 
 def risk_report(pairs: DataFrame, scenarios: DataFrame, companies: DataFrame,
-                months_window: int = 6) -> DataFrame:
+                months_window: int = 6, flows: DataFrame | None = None) -> DataFrame:
     """Consolidated score per company: 30·HHI_in + 30·HHI_out + 10·#(ALTO or
     CRÍTICO scenarios) + 30/max(1, partners); class from the uncapped
     score (70/50/30), reported score capped at 100.  ``period_months`` is
     echoed, not applied (as in the analysed system)."""
-    conc = concentration_metrics(pairs, companies)
+    pf = partner_flows(pairs) if flows is None else flows
+    conc = concentration_metrics(pairs, companies, pf)
     hh = conc.groupBy("company_id").agg(
         F.max(F.when(F.col("direction") == "in", F.col("hhi"))).alias("hhi_in"),
         F.max(F.when(F.col("direction") == "out", F.col("hhi"))).alias("hhi_out"),
@@ -262,7 +268,7 @@ def risk_report(pairs: DataFrame, scenarios: DataFrame, companies: DataFrame,
         F.max(F.when(F.col("direction") == "out", F.col("concentration_risk"))).alias("risk_out"))
     sc = scenarios.groupBy("company_id").agg(
         F.count(F.when(F.col("risk_level").isin("ALTO", "CRÍTICO"), 1)).alias("n_high_scenarios"))
-    np_ = partner_flows(pairs).groupBy("company_id").agg(F.count(F.lit(1)).alias("partners"))
+    np_ = pf.groupBy("company_id").agg(F.count(F.lit(1)).alias("partners"))
     j = hh.join(sc, "company_id", "left").join(np_, "company_id", "left")
     partners = F.coalesce(F.col("partners"), F.lit(0))
     nh = F.coalesce(F.col("n_high_scenarios"), F.lit(0))

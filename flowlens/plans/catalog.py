@@ -18,6 +18,7 @@ from ..operators import flows as FL
 from ..operators import quality as QA
 from ..operators import relations as RL
 from ..operators import ego as EG
+from ..operators import graph as GR
 from ..operators import risk as RK
 from ..operators import features as FT
 from ..operators import sector as SC
@@ -218,13 +219,40 @@ def q_network_resilience(ctx: Context):
     return EG.network_resilience(_ego(ctx), ctx.base1)
 
 
+@query("network_resilience_graph", ratio("resilience_score", "redundancy", "connectivity", "clustering",
+                                         "degree_centrality"))
+def q_network_resilience_graph(ctx: Context):
+    """The whole payment graph of the last three months instead of ego stars."""
+    return GR.graph_resilience(RL.month_window(ctx.edges, 3).select("src", "dst"))
+
+
+#: A month before the last one, to which the windows of the next two queries reach back.
+EARLIER_MONTH = "2000-06-01"
+
+
+@query("relation_importance_at", REL_DIGITS)
+def q_relation_importance_at(ctx: Context):
+    """Relations of the year that ends in an earlier month."""
+    return RL.relation_importance(ctx.edges, 12, EARLIER_MONTH)
+
+
+@query("ego_network_at", money("weight"))
+def q_ego_network_at(ctx: Context):
+    """Ego networks of the quarter that ends in an earlier month."""
+    return RL.ego_edges(ctx.edges, EARLIER_MONTH, 3, "both", 25)
+
+
 # ---------------------------------------------------------------- risk
 def _pairs(ctx: Context):
     return ctx._kept("pairs", lambda: RK.pair_volumes(ctx.edges))
 
 
+def _partner_flows(ctx: Context):
+    return ctx._kept("partner_flows", lambda: RK.partner_flows(_pairs(ctx)))
+
+
 def _impact(ctx: Context):
-    return ctx._kept("impact", lambda: RK.counterparty_loss_impact(_pairs(ctx)))
+    return ctx._kept("impact", lambda: RK.counterparty_loss_impact(_pairs(ctx), _partner_flows(ctx)))
 
 
 def _scenarios(ctx: Context):
@@ -233,7 +261,7 @@ def _scenarios(ctx: Context):
 
 @query("concentration_metrics", {**ratio("hhi", "top_partner_share", "top_3_share"), **money("total_volume")})
 def q_concentration_metrics(ctx: Context):
-    return RK.concentration_metrics(_pairs(ctx), ctx.base1)
+    return RK.concentration_metrics(_pairs(ctx), ctx.base1, _partner_flows(ctx))
 
 
 @query("counterparty_loss_impact", {**ratio("impact_receita_pct", "impact_pagamentos_pct", "impact_total_pct"),
@@ -248,7 +276,7 @@ def q_risk_scenarios(ctx: Context):
 
 
 def _node_profile(ctx: Context):
-    return ctx._kept("node_profile", lambda: RK.node_profile(ctx.edges))
+    return ctx._kept("node_profile", lambda: RK.node_profile(ctx.edges, _partner_flows(ctx)))
 
 
 def _adjacency(ctx: Context):
@@ -265,9 +293,16 @@ def q_diversification_targets(ctx: Context):
     return RK.diversification_targets(ctx.edges, 5, profile=_node_profile(ctx), adj=_adjacency(ctx))
 
 
+@query("diversification_targets_recent", {**money("avg_transaction_volume"), **ratio("risk_score")})
+def q_diversification_targets_recent(ctx: Context):
+    """The same over the payments of the last two months alone: a sparse graph, where
+    short blocks make companies leave after the first, the second or a later one."""
+    return RK.diversification_targets(RL.month_window(ctx.edges, 2), 5, top_m=6, fanout=1)
+
+
 @query("risk_report", {**ratio("hhi_in", "hhi_out"), "overall_risk_score": 4})
 def q_risk_report(ctx: Context):
-    return RK.risk_report(_pairs(ctx), _scenarios(ctx), ctx.base1, 6)
+    return RK.risk_report(_pairs(ctx), _scenarios(ctx), ctx.base1, 6, _partner_flows(ctx))
 
 
 
@@ -284,7 +319,7 @@ def _stage_feats(ctx: Context):
 
 
 def _sup(ctx: Context):
-    return ctx._kept("sup", lambda: FT.supervised_features(ctx.base1, ctx.flows, ctx.base2, ctx.as_of))
+    return ctx._kept("sup", lambda: FT.supervised_features(ctx.base1, ctx.flows, ctx.edges, ctx.as_of))
 
 
 def _labelled(ctx: Context):
@@ -533,6 +568,12 @@ def q_rename_for_display(ctx: Context):
 from ..operators import pagerank as PR  # noqa: E402
 
 
+@query("pagerank_steps", ratio("pagerank"))
+def q_pagerank_steps(ctx: Context):
+    """Ten power steps from the uniform ranks."""
+    return PR.pagerank(_pairs(ctx).select("src", "dst", F.col("v").alias("weight")), max_iter=10, tol=0.0)
+
+
 @query("pagerank", ratio("pagerank"))
 def q_pagerank(ctx: Context):
     """Weighted PageRank of the whole payment graph (all months)."""

@@ -2,6 +2,7 @@
 pre-aggregates), plus the output rounding used by the query catalogue."""
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -71,7 +72,18 @@ class Context:
 
     @property
     def edges(self) -> DataFrame:
-        return self._kept("edges", lambda: FL.edges_month(self.base2))
+        """The pre-aggregate as a table with a folder a month, so that month
+        windows read their months only."""
+        return self._get("edges", lambda: by_month(FL.edges_month(self.base2)))
+
+
+def by_month(edges: DataFrame) -> DataFrame:
+    """``edges`` written to the shared folder, partitioned by month; a month is
+    as many files as its size asks for."""
+    spark = edges.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/edges-{uuid.uuid4().hex}"
+    edges.hint("rebalance", "year_month").write.partitionBy("year_month").parquet(path)
+    return spark.read.schema(edges.schema).parquet(path).select(*edges.columns)
 
 
 _CONTEXTS: dict = {}

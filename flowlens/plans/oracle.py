@@ -294,6 +294,26 @@ _reg("network_resilience", """
                    count(DISTINCT CASE WHEN dst = ego AND src <> ego THEN src END) AS p
             FROM egoe o GROUP BY ego) g) x ON x.ego = c.ID""")
 
+_EARLIER = [("lastm", "SELECT DATE '2000-06-01' AS m")]
+_reg("relation_importance_at", "SELECT * FROM rimp", _EARLIER)
+_reg("ego_network_at", "SELECT * FROM egoe", _EARLIER)
+_reg("network_resilience_graph", """
+    SELECT v.z AS node, 0.3 * k.conn + 0.3 * red + 0.2 * (1.0 - cent) + 0.2 * clus AS resilience_score, red AS redundancy,
+           k.conn AS connectivity, clus AS clustering, cent AS degree_centrality
+    FROM (SELECT z, least(1.0, CAST(o + coalesce(two, 0) AS DOUBLE) / (n - 1)) AS red, CAST(o + i AS DOUBLE) / (n - 1) AS cent,
+                 CASE WHEN d > 1 THEN coalesce(t, 0) / CAST(d * (d - 1) AS DOUBLE) ELSE 0.0 END AS clus
+          FROM (SELECT u.a AS z, count(*) AS d, (SELECT count(*) FROM one WHERE s = u.a) AS o, (SELECT count(*) FROM one WHERE r = u.a) AS i,
+                       (SELECT count(DISTINCT a) FROM und) AS n
+                FROM und u GROUP BY u.a) g
+          LEFT JOIN (SELECT x.s, count(*) AS two FROM one x JOIN one y ON x.r = y.s WHERE y.r <> x.s GROUP BY 1) w ON w.s = g.z
+          LEFT JOIN (SELECT x.a, count(*) AS t FROM und x JOIN und y ON x.b = y.a JOIN und c ON c.a = x.a AND c.b = y.b GROUP BY 1) tri
+            ON tri.a = g.z) v,
+         (WITH RECURSIVE reach AS (SELECT min(a) AS z FROM und UNION SELECT und.b FROM reach JOIN und ON und.a = reach.z)
+          SELECT CASE WHEN count(*) = (SELECT count(DISTINCT a) FROM und) THEN 1.0 ELSE 0.0 END::DOUBLE AS conn FROM reach) k""",
+     [("one", "SELECT DISTINCT ID_PGTO AS s, ID_RCBE AS r FROM base2 WHERE ID_PGTO <> ID_RCBE "
+              "AND DT_REFE >= (SELECT m FROM lastm) - INTERVAL 2 MONTH AND DT_REFE <= (SELECT m FROM lastm)"),
+      ("und", "SELECT s AS a, r AS b FROM one UNION SELECT r, s FROM one")])
+
 # ------------------------------------------------------------ risk
 CTES += [
     ("pairs", "SELECT ID_PGTO AS src, ID_RCBE AS dst, sum(VL) AS v, count(*) AS n FROM base2 GROUP BY 1, 2"),
@@ -407,7 +427,7 @@ _reg("risk_scenarios", """
              AS mitigation_strategies
     FROM scen""")
 _reg("partner_risk_score", "SELECT * FROM nprof")
-_reg("diversification_targets", """
+_DIVERSIFICATION = """
     SELECT company_id, CAST(rank AS BIGINT) AS rank, partner_id, avg_transaction_volume, diversification_level,
            risk_score, recommendation_reason
     FROM (SELECT c AS company_id, q AS partner_id, n.*,
@@ -415,7 +435,10 @@ _reg("diversification_targets", """
           FROM (SELECT DISTINCT m.a AS c, x.b AS q FROM adj m JOIN adj x ON x.a = m.b
                 WHERE x.b <> m.a AND NOT EXISTS (SELECT 1 FROM adj y WHERE y.a = m.a AND y.b = x.b)) cq
           JOIN nprof n ON n.partner_id = cq.q) r
-    WHERE rank <= 5""")
+    WHERE rank <= 5"""
+_reg("diversification_targets", _DIVERSIFICATION)
+_reg("diversification_targets_recent", _DIVERSIFICATION, [("base2", dict(CTES)["base2"]
+     + " AND date_trunc('month', ts) >= (SELECT max(date_trunc('month', ts)) FROM pay WHERE ID_PGTO <> ID_RCBE) - INTERVAL 1 MONTH")])
 _reg("risk_report", """
     SELECT c.ID AS company_id, 6 AS period_months, i.hhi AS hhi_in, o.hhi AS hhi_out,
            i.concentration_risk AS risk_in, o.concentration_risk AS risk_out,
@@ -943,10 +966,23 @@ _reg("rename_for_display", """
     FROM rep""")
 
 
+PAGERANK_STEPS = 10
+_reg("pagerank_steps", "SELECT node AS node_id, r AS pagerank FROM pr%d" % PAGERANK_STEPS, [
+    ("prt", "SELECT src, dst, v / sum(v) OVER (PARTITION BY src) AS p FROM pairs WHERE v > 0"),
+    ("prn", "SELECT node, (SELECT count(*) FROM (SELECT src FROM prt UNION SELECT dst FROM prt) x) AS n, "
+            "node NOT IN (SELECT src FROM prt) AS dangling FROM (SELECT src AS node FROM prt UNION SELECT dst FROM prt) y"),
+    ("pr0", "SELECT node, n, dangling, CAST(1 AS DOUBLE) / n AS r FROM prn"),
+    *[(f"pr{i}", f"""
+        SELECT a.node, a.n, a.dangling, (1.0 - 0.85) / a.n
+               + 0.85 * coalesce((SELECT sum(r) FROM pr{i - 1} WHERE dangling), 0.0) / a.n + 0.85 * coalesce(c.s, 0.0) AS r
+        FROM pr{i - 1} a LEFT JOIN (SELECT t.dst, sum(t.p * b.r) AS s FROM prt t JOIN pr{i - 1} b ON b.node = t.src GROUP BY 1) c
+          ON c.dst = a.node""") for i in range(1, PAGERANK_STEPS + 1)]])
+
+
 def build(name: str, digits: dict[str, int]) -> str:
     body, extra = BODIES[name]
-    ctes = CTES + extra
-    with_sql = ",\n".join(f"{n} AS ({s})" for n, s in ctes)
+    ctes = {**dict(CTES), **dict(extra)}  # an extra one may stand for a shared one
+    with_sql = ",\n".join(f"{n} AS ({s})" for n, s in ctes.items())
     if digits:
         repl = ", ".join(
             f'CASE WHEN round("{c}" + {3.14159 * 10.0 ** (-(d + 3))!r}, {d}) = 0 THEN 0.0::DOUBLE '

@@ -74,7 +74,8 @@ def build_all(spark: SparkSession, base1: DataFrame, base2: DataFrame, cfg: Buil
     f = sink("f_empresa_mes", FL.f_empresa_mes(b1, flows))
     feats = sink("stage_features", FT.stage_features(f, cfg.months_window))
     unsup = sink("estagio_unsupervised", ST.stage_unsupervised(feats))
-    sup = sink("supervised_features", FT.supervised_features(b1, flows, b2, cfg.as_of))
+    edges = sink("edges_month", FL.edges_month(b2), ["year_month"])
+    sup = sink("supervised_features", FT.supervised_features(b1, flows, edges, cfg.as_of))
     try:
         pred, ev = ST.stage_supervised(sup)
     except LABELS_UNFIT:
@@ -96,7 +97,6 @@ def build_all(spark: SparkSession, base1: DataFrame, base2: DataFrame, cfg: Buil
         sink("ensemble_weights", info)
     sink("sector_analysis", SC.competitive_analysis(profile))
 
-    edges = sink("edges_month", FL.edges_month(b2), ["year_month"])
     imp = RL.relation_importance(edges, cfg.relations_window)
     sink("relations_latest", RL.top_relations(imp, b1, cfg.top_relations))
     return paths

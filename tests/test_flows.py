@@ -59,7 +59,7 @@ def test_short_history_excluded(spark):
     f = FL.monthly_flows(ledger(spark, rows))
     ids = {r.ID for r in FT.stage_features(f, 12).collect()}
     assert "A" not in ids  # 2 rows < 3
-    beh = {r.ID for r in FT.behaviour_features(f, ledger(spark, rows)).collect()}
+    beh = {r.ID for r in FT.behaviour_features(f, FL.edges_month(ledger(spark, rows))).collect()}
     assert "A" in beh and "B" not in beh  # 2 rows kept, 1 row dropped
 
 

@@ -117,7 +117,7 @@ def _brute_div(rows, k=5):
     return out
 
 
-@pytest.mark.parametrize("top_m,fanout", [(3, 2), (64, 50), (1, 1)])
+@pytest.mark.parametrize("top_m,fanout", [(3, 2), (64, 50), (1, 1), (4, 8)])
 def test_diversification_matches_brute_force(spark, top_m, fanout):
     rnd = random.Random(7)
     nodes = [f"N{i:02d}" for i in range(30)]
