@@ -5,15 +5,16 @@ permutation shuffles the shingles, a second one is shifted circularly by k
 for coordinate k, so two permutations generate every coordinate of the
 signature.  Bands of coordinates are the buckets in which candidates meet.
 
-Documents with one set are one class and only its smallest id goes on.  In a
+Documents with one set are one class, which goes on as a number.  In a
 bucket every member is verified against the bucket's hub, the member that
-meets most others over all bands; those that are linked with it are settled.
-The others are queries against all members of their buckets.  Sets that are
-linked share one of their rarest shingles, and from its places in the two
-sets it follows how many they can share at most; queries meet only members
-that pass this prefix filter, and those pairs are verified too.  So no bucket
-is expanded into its pairs, and no linked pair of candidates is left out
-unless both are linked with the same hub.
+meets most others over all bands; those that the links of all buckets join to
+the hub are settled.  The others are queries against all members of their
+buckets that are not joined to them yet.  Sets that are linked share one of
+their rarest shingles, and from its places in the two sets it follows how many
+they can share at most; queries meet only members that pass this prefix
+filter, and those pairs are verified too.  So no bucket is expanded into its
+pairs, and a linked pair of candidates is left out only if other links join
+the two.  Two texts under one id are two classes, which that id joins.
 
 Cases: null or empty text, or text without words: an empty set, linked with
 nothing.  Fewer words than a shingle: the whole sequence is the one shingle.
@@ -132,6 +133,10 @@ def _utf8(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def _set_id(items: bytes) -> bytes:
+    return hashlib.blake2b(items, digest_size=16).digest()
+
+
 def sketched(docs: DataFrame, n: int, key: str = "doc_id", text: str = "text", bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, set_id (a digest of the whole set), bands."""
     reach_workers(docs.sparkSession)
@@ -141,7 +146,7 @@ def sketched(docs: DataFrame, n: int, key: str = "doc_id", text: str = "text", b
             for batch in _slices(whole, "text", 1 << 20):
                 values, offsets = shingle_sets(_utf8(batch.column("text")), n)
                 sizes = np.diff(offsets)
-                sets = [hashlib.blake2b(values[a:b].tobytes(), digest_size=16).digest() for a, b in zip(offsets, offsets[1:])]
+                sets = [_set_id(values[a:b].tobytes()) for a, b in zip(offsets, offsets[1:])]
                 sig = signatures(values, offsets, bands * rows).reshape(-1, bands, rows)
                 with np.errstate(over="ignore"):
                     keys = np.zeros(sig.shape[:2], np.uint64)
@@ -158,25 +163,31 @@ def sketched(docs: DataFrame, n: int, key: str = "doc_id", text: str = "text", b
     return rows_.mapInArrow(run, "doc_id long, n_shingles long, set_id binary, bands array<long>")
 
 
-def _sets(docs: DataFrame, ids: DataFrame, n: int, key: str, text: str) -> DataFrame:
-    """doc_id, items (the whole set as sorted 64-bit hashes) of the given ids."""
+def _sets(docs: DataFrame, classes: DataFrame, n: int, key: str, text: str) -> DataFrame:
+    """node, items (the whole set as sorted 64-bit hashes) of the given classes (node, rep, set_id).
+
+    The text is read again by the class's smallest id and known by its set, so
+    two texts under one id are told apart.
+    """
     rows = (docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-            .join(ids, "doc_id", "left_semi"))
+            .join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in _slices(whole, "text", 1 << 20):
                 values, offsets = shingle_sets(_utf8(batch.column("text")), n)
                 items = [values[a:b].tobytes() for a, b in zip(offsets, offsets[1:])]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(items, pa.binary())], names=["doc_id", "items"])
+                yield pa.RecordBatch.from_arrays([pa.array([_set_id(x) for x in items], pa.binary()), pa.array(items, pa.binary())],
+                                                 names=["set_id", "items"])
 
-    return rows.mapInArrow(run, "doc_id long, items binary").dropDuplicates(["doc_id"])
+    found = rows.mapInArrow(run, "set_id binary, items binary").join(classes.select("set_id", "node"), "set_id")
+    return found.select("node", "items").dropDuplicates(["node"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """u, v, shared, total, linked for distinct pairs (u, v)."""
-    a = sets.select(F.col("doc_id").alias("u"), F.col("items").alias("a"))
-    b = sets.select(F.col("doc_id").alias("v"), F.col("items").alias("b"))
+    a = sets.select(F.col("node").alias("u"), F.col("items").alias("a"))
+    b = sets.select(F.col("node").alias("v"), F.col("items").alias("b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -249,7 +260,8 @@ def parities(items: np.ndarray) -> np.ndarray:
 
 
 def _prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (u, v) of a query and another set that pass the prefix filter."""
+    """Distinct pairs (u, v) of a query and a set of another component that pass the
+    prefix filter; ``sets``: node, comp, ask, items."""
     spark = sets.sparkSession
     sets = written(sets, "asked-sets")
 
@@ -268,30 +280,30 @@ def _prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
     held = spark.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["side", "token", "class", "place", "size", "rep", *_PARITY]
+        names = ["side", "token", "class", "place", "size", "node", "comp", *_PARITY]
         for whole in batches:
             for batch in _slices(whole, "items", 1 << 20):
                 items = [np.frombuffer(x, np.uint64) for x in batch.column("items").to_pylist()]
                 parts = prefix_rows(items, batch.column("ask").to_pylist(), held.value, percent)
                 if parts:
                     k, *cols = (np.concatenate(c) for c in zip(*parts))
-                    cols += [batch.column("rep").to_numpy()[k], *np.stack([parities(x) for x in items])[k].T]
+                    cols += [batch.column("node").to_numpy()[k], batch.column("comp").to_numpy()[k], *np.stack([parities(x) for x in items])[k].T]
                     yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], names=names)
 
-    rows = written(sets.mapInArrow(run, ", ".join(f"{c} long" for c in ("side", "token", "class", "place", "size", "rep", *_PARITY))),
+    rows = written(sets.mapInArrow(run, ", ".join(f"{c} long" for c in ("side", "token", "class", "place", "size", "node", "comp", *_PARITY))),
                    "prefixes", by=["side"])
 
     def side(k: int, name: str) -> DataFrame:
-        return rows.where(F.col("side") == k).select("token", "class", *(F.col(c).alias(f"{name}_{c}") for c in ("place", "size", "rep", *_PARITY)))
+        return rows.where(F.col("side") == k).select("token", "class", *(F.col(c).alias(f"{name}_{c}") for c in ("place", "size", "node", "comp", *_PARITY)))
 
     # sets that differ in d shingles differ in d parity bits at most
     differ = reduce(Column.__add__, (F.bit_count(F.col(f"x_{c}").bitwiseXOR(F.col(f"y_{c}"))) for c in _PARITY))
     total = F.col("x_size") + F.col("y_size")
 
     left = 1 + F.least(F.col("x_size") - F.col("x_place"), F.col("y_size") - F.col("y_place"))
-    fits = (F.col("x_size") <= F.col("y_size")) & (F.col("x_rep") != F.col("y_rep")) & (
+    fits = (F.col("x_size") <= F.col("y_size")) & (F.col("x_comp") != F.col("y_comp")) & (
         left * (100 + percent) >= total * percent) & (differ * (100 + percent) <= total * (100 - percent))
-    found = [a.join(b, ["token", "class"]).where(fits).select(F.least("x_rep", "y_rep").alias("u"), F.greatest("x_rep", "y_rep").alias("v"))
+    found = [a.join(b, ["token", "class"]).where(fits).select(F.least("x_node", "y_node").alias("u"), F.greatest("x_node", "y_node").alias("v"))
              for a, b in ((side(0, "x"), side(2, "y")), (side(3, "x"), side(1, "y")))]
     return found[0].unionByName(found[1]).distinct()
 
@@ -301,35 +313,46 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, key: s
     """doc_id, n_shingles, set_id, component_id, kept for every row."""
     sketch = written(sketched(docs, shingle, key, text, bands, rows), "sketch")
     classes = (sketch.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_id")
-               .agg(F.min_by(F.struct("n_shingles", "bands"), "doc_id").alias("s"), F.min("doc_id").alias("rep")))
-    members = classes.select("rep", F.col("s.n_shingles").alias("size"), F.explode("s.bands").alias("bucket"))
-    members = written(members, "bands")
+               .agg(F.min_by(F.struct("n_shingles", "bands"), "doc_id").alias("s"), F.min("doc_id").alias("rep"))
+               .withColumn("node", F.monotonically_increasing_id()))
+    classes = written(classes.select("set_id", "rep", "node", F.col("s.n_shingles").alias("size"), F.col("s.bands").alias("bands")), "classes")
+    members = written(classes.select("node", F.explode("bands").alias("bucket")), "bands")
+    classes = classes.drop("bands")
     full = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     met = written(members.join(full, "bucket"), "met")
     # hub: the member that meets most others, a near-copy group's centre
-    central = met.groupBy("rep").agg(F.sum("n").alias("meets"))
-    met = met.join(central, "rep")
-    hubs = met.groupBy("bucket").agg(F.max(F.struct("meets", (-F.col("rep")).alias("r"))).alias("h"))
-    met = written(met.join(hubs.select("bucket", (-F.col("h.r")).alias("hub")), "bucket").select("bucket", "rep", "size", "hub"), "met")
-    sets = written(_sets(docs, met.select(F.col("rep").alias("doc_id")).distinct(), shingle, key, text), "sets")
-
-    star = met.where("rep <> hub").select(F.least("rep", "hub").alias("u"), F.greatest("rep", "hub").alias("v")).distinct()
-    tested = written(_verified(star, sets, percent), "star")
-    links = tested.where("linked").select("u", "v")
-
-    # members that are not linked with their bucket's hub ask all members of the bucket
-    linked = links.select(F.col("u").alias("lu"), F.col("v").alias("lv"))
-    settled = (F.col("rep") == F.col("hub")) | F.col("lu").isNotNull()
-    placed = met.join(linked, (F.least("rep", "hub") == F.col("lu")) & (F.greatest("rep", "hub") == F.col("lv")), "left")
-    placed = written(placed.select("bucket", "rep", settled.alias("settled")), "placed")
+    central = met.groupBy("node").agg(F.sum("n").alias("meets"))
+    met = met.join(central, "node")
+    hubs = met.groupBy("bucket").agg(F.max(F.struct("meets", (-F.col("node")).alias("r"))).alias("h"))
+    met = written(met.join(hubs.select("bucket", (-F.col("h.r")).alias("hub")), "bucket").select("bucket", "node", "hub"), "met")
+    sets = written(_sets(docs, classes.join(met.select("node").distinct(), "node", "left_semi"), shingle, key, text), "sets")
+
+    star = met.where("node <> hub").select(F.least("node", "hub").alias("u"), F.greatest("node", "hub").alias("v")).distinct()
+    # an id on several texts names all of their classes
+    plain = sketch.where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", "set_id")
+    again = plain.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
+    texts = written(plain.join(again, "doc_id", "left_semi").distinct().join(classes, "set_id").select("doc_id", "node"), "again")
+    named = texts.join(texts.groupBy("doc_id").agg(F.min("node").alias("u")), "doc_id").select("u", F.col("node").alias("v")).where("u <> v")
+    links = written(_verified(star, sets, percent).where("linked").select("u", "v").unionByName(named), "star")
+    near = written(components(links), "near")  # node, component
+
+    # members that no link joins to their bucket's hub ask all members of the bucket
+    def component(of: str) -> tuple[DataFrame, Column]:
+        return near.select(F.col("node").alias(f"{of}_"), F.col("component").alias(f"{of}_comp")), F.coalesce(f"{of}_comp", of)
+
+    (own, own_comp), (hub, hub_comp) = component("node"), component("hub")
+    placed = met.join(own, F.col("node") == F.col("node_"), "left").join(hub, F.col("hub") == F.col("hub_"), "left")
+    placed = written(placed.select("bucket", "node", own_comp.alias("comp"), (own_comp == hub_comp).alias("settled")), "placed")
     unsettled = placed.groupBy("bucket").agg(F.min("settled").alias("s")).where("NOT s").select("bucket")
-    asked = written(placed.join(unsettled, "bucket").groupBy("rep").agg((~F.min("settled")).alias("ask")), "asked")
-    rest = _prefix_pairs(asked.join(sets, asked["rep"] == sets["doc_id"]).select("rep", "ask", "items"), percent)
+    asked = written(placed.join(unsettled, "bucket").groupBy("node").agg((~F.min("settled")).alias("ask"), F.first("comp").alias("comp")), "asked")
+    rest = _prefix_pairs(asked.join(sets, "node").select("node", "comp", "ask", "items"), percent)
     more = _verified(written(rest, "rest"), sets, percent).where("linked").select("u", "v")
-    found = components(links.unionByName(more))
+    found = components(near.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more))
 
-    of_class = classes.select("set_id", "rep").join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    of_class = of_class.select("set_id", F.coalesce("component", "rep").alias("component"))
+    # nodes are numbers of classes; a component is named by the smallest id in it
+    of_class = classes.join(found, "node", "left").select("set_id", "rep", F.coalesce("component", "node").alias("c"))
+    least = of_class.groupBy("c").agg(F.min("rep").alias("component"))
+    of_class = of_class.join(least, "c").select("set_id", "component")
     out = sketch.drop("bands").join(of_class, "set_id", "left")
     alone = F.col("n_shingles") == 0
     return out.select("doc_id", "n_shingles", "set_id",

@@ -75,6 +75,16 @@ def test_near_duplicates_against_brute_force(hard_docs, hard_rows, n):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
+def test_an_id_on_several_texts(spark):
+    rng = random.Random(8)
+    a, b, c = (" ".join(rng.choice("abcdefgh") * 3 + str(rng.randrange(50)) for _ in range(60)) for _ in range(3))
+    rows = [(5, a), (5, b), (9, a + " one more"), (7, b + " one more"), (3, c), (8, c + " end"), (8, a), (6, "alone on its own here")]
+    for parts in (1, 4):
+        got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts), shingle=4).collect()
+        assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute_components(rows, 4, 80)
+        assert {r["component_id"] for r in got} == {3, 6}
+
+
 def test_words_are_cut_at_ascii_white_space_only():
     texts = ["a b c d e", "", "  x ", "A b\x0bC\x0cd\re\tF g"]
     values, offsets = minhash.shingle_sets([t.encode() for t in texts], 2)
