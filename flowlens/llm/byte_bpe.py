@@ -27,14 +27,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
+from public_tokenizers import PATTERN
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowlens.llm.common import reach_workers
 
-# Fixed value: the pattern that cuts a text before the merges.
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Pieces whose ids a worker remembers; it starts anew beyond that.
 MEMO_PIECES = 200_000
 #: Below this many bytes a piece is merged directly, without halves.

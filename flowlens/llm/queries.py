@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Callable
 
 import public_tokenizers
@@ -13,7 +14,7 @@ from flowlens.llm import (alignment, byte_bpe, decontaminate, exact_dedup, html_
 from flowlens.llm.common import id_crc, reach_workers, table
 
 #: Where the public vocabularies are; a parameter of the queries that read one.
-TOKENIZERS = "/opt/tokenizers"
+TOKENIZERS = os.path.dirname(public_tokenizers.path("any"))
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,7 +47,7 @@ def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_simple8b_tokens(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
     folder = token_store.token_folder(spark)
     manifest = token_store.write_tokens(table(spark, sf_dir, "documents"), folder,
-                                        f"{tokenizers}/byte_bpe_50k.json", byte_bpe.PATTERN, end_id=0, special=True)
+                                        f"{tokenizers}/byte_bpe_50k.json", end_id=0, special=True)
     return token_store.read_tokens(manifest, folder)
 
 

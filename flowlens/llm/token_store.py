@@ -19,10 +19,8 @@ read.
 from __future__ import annotations
 
 import io
-import os
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -34,15 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from flowlens.llm.byte_bpe import _latin_pattern, _slices, is_latin
+from flowlens.llm import chunks
+from flowlens.llm.byte_bpe import _slices
 from flowlens.llm.common import reach_workers, scratch, written
 
 MAGIC = 0x38424C50494D5353
 BLOCK = 512
 #: Ids of a file, about: what a task holds in memory.
 FILE_IDS = 2_000_000
-#: Pieces whose ids a worker remembers; it starts anew beyond that.
-MEMO_PIECES = 800_000
 # Fixed values of the Simple-8b word: ids a word, bits an id, by selector.
 COUNTS = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTHS = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
@@ -187,48 +184,15 @@ def load_block(raw: bytes, block: int) -> np.ndarray:
     return unpack(part, np.zeros(1, np.uint64), min(BLOCK, n - block * BLOCK))
 
 
-# --- the tokenizers library, piece by piece ----------------------------------
-
-class _Encoder:
-    """Ids of whole texts.  The library cuts a byte-level text by its pattern
-    and encodes each piece alone, so each distinct piece goes through it once.
-    With ``special``, as the library does unless told otherwise, the strings of
-    its added tokens are one id each; texts that hold one go through it whole."""
-
-    def __init__(self, path: str, pattern: str, special: bool):
-        import re
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = not special  # else their strings are ordinary text
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if special else []
-        self.cut = re.compile(_latin_pattern(pattern)).findall
-        self.memo: dict[str, bytes] = {}
-
-    def library(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        # other scripts go whole: the library's own Unicode tables cut them
-        own = [is_latin(t) and not any(a in t for a in self.added) for t in texts]
-        cut = [self.cut(t) if o else None for t, o in zip(texts, own)]
-        if len(self.memo) > MEMO_PIECES:
-            self.memo.clear()
-        new = list(set().union(*(c for c in cut if c)).difference(self.memo))
-        self.memo.update(zip(new, self.library(new)))
-        rest = iter(self.library([t for t, o in zip(texts, own) if not o]))
-        return [next(rest) if c is None else b"".join(map(self.memo.__getitem__, c)) for c in cut]
-
-
 @lru_cache(maxsize=2)
-def _encoder(path: str, pattern: str, special: bool) -> _Encoder:
-    return _Encoder(path, pattern, special)
+def _encoder(path: str, special: bool) -> chunks.ChunkEncoder:
+    """Ids of whole texts: each distinct chunk goes through the library once."""
+    return chunks.ChunkEncoder(path, chunks.byte_level_breaks(), special)
 
 
 # --- the operator ---------------------------------------------------------------
 
-def write_tokens(docs: DataFrame, folder: str, tokenizer: str, pattern: str, end_id: int = 0,
+def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0,
                  key: str = "doc_id", text: str = "text", special: bool = False) -> DataFrame:
     """Encode and write; the manifest: part, file, ids, with one row per file.
 
@@ -248,7 +212,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, pattern: str, end
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         where, base = pafs.FileSystem.from_uri(folder)
         where.create_dir(base, recursive=True)
-        encode, end = _encoder(tokenizer, pattern, special), np.uint32(end_id).tobytes()
+        encode, end = _encoder(tokenizer, special), np.uint32(end_id).tobytes()
         kept: list = []
         state = {"ids": 0, "file": 0}
 
@@ -271,7 +235,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, pattern: str, end
         for whole in batches:
             for batch in _slices(whole, "text"):
                 part = batch.column("part")[0].as_py()
-                blobs = [b + end for b in encode(batch.column("text").to_pylist())]
+                blobs = [ids.tobytes() + end for ids in encode(batch.column("text").to_pylist())]
                 kept.append((batch.column("doc_id"), blobs))
                 state["ids"] += sum(map(len, blobs)) // 4
                 if state["ids"] >= FILE_IDS:

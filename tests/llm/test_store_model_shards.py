@@ -36,7 +36,7 @@ def test_files_hold_the_library_ids(spark, hard_docs, hard_rows, no_docs, monkey
     lib.encode_special_tokens = True
     monkeypatch.setattr(token_store, "FILE_IDS", 5_000)
     folder = token_store.token_folder(spark)
-    got = token_store.read_tokens(token_store.write_tokens(hard_docs, folder, TOKENIZER, byte_bpe.PATTERN), folder).collect()
+    got = token_store.read_tokens(token_store.write_tokens(hard_docs, folder, TOKENIZER), folder).collect()
     ids = [(i, lib.encode(t or "", add_special_tokens=False).ids + [0]) for i, t, *_ in hard_rows]
     expect = Counter((i, len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in ids)
     assert Counter((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in got) == expect
@@ -48,7 +48,7 @@ def test_files_hold_the_library_ids(spark, hard_docs, hard_rows, no_docs, monkey
     order = [r["doc_id"] for r in got if r["doc_id"] is not None]
     assert order == sorted(order) and [r["doc_id"] for r in got[:2]] == [None, None]
     empty = token_store.token_folder(spark)
-    assert token_store.read_tokens(token_store.write_tokens(no_docs, empty, TOKENIZER, byte_bpe.PATTERN), empty).count() == 0
+    assert token_store.read_tokens(token_store.write_tokens(no_docs, empty, TOKENIZER), empty).count() == 0
 
 
 def test_the_query_gives_the_ids_of_the_library_as_loaded(spark, tmp_path):
