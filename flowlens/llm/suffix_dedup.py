@@ -287,13 +287,23 @@ def _merge_shards(segments: DataFrame, length: int, buckets: int) -> DataFrame:
             hit[place < len(shared)] = shared[place[place < len(shared)]] == digests[place < len(shared)]
             out.append(pd.DataFrame({"fp": pdf["fp"].iloc[0], "h": np.frombuffer(h, np.int64)[hit], "n": np.frombuffer(n, np.int32)[hit],
                                      "at": np.frombuffer(at, np.int32)[hit]}))
-        rows = pd.concat(out)
-        spans = [(*k, x.tolist()) for k, x in rows.groupby(["fp", "h", "n"])["at"]]
-        out = pd.DataFrame([(fp, h, n, sorted(at), sorted(at)) for fp, h, n, at in spans], columns=["fp", "h", "n", "lo", "hi"])
-        return out.astype({"lo": object, "hi": object})
+        found = [(*k, x.tolist()) for k, x in pd.concat(out).groupby(["fp", "h", "n"])["at"]]
+        return pd.DataFrame(found, columns=["fp", "h", "n", "at"]).astype({"fp": "int64", "h": "int64", "n": "int32", "at": object})
+
+    def merged(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            spans = []
+            for at in pdf["at"]:  # a segment's starts, neighbours from whichever bucket
+                at = np.unique(np.concatenate(list(at)))
+                cut = np.flatnonzero(np.diff(at) > 1)
+                spans.append((at[np.r_[0, cut + 1]].tolist(), at[np.r_[cut, len(at) - 1]].tolist()))
+            out = pdf[["fp", "h", "n"]].assign(lo=[x for x, _ in spans], hi=[y for _, y in spans])
+            yield out.astype({"lo": object, "hi": object})
 
     lists = segments.groupBy("shard").applyInPandas(listed, _SORTED)
-    return lists.groupBy("fp", "bucket").applyInPandas(met, _MARKS)
+    starts = lists.groupBy("fp", "bucket").applyInPandas(met, "fp long, h long, n int, at array<int>")
+    # starts become intervals before anything is done row by row; a group is one segment's
+    return starts.groupBy("fp", "h", "n").agg(F.collect_list("at").alias("at")).mapInPandas(merged, _MARKS)
 
 
 def _removed(rows: DataFrame, length: int) -> DataFrame:
