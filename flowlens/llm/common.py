@@ -58,13 +58,30 @@ def id_crc(col: str = "doc_id") -> Column:
 BROADCAST_IDS = 500_000
 
 
-def by_id(docs: DataFrame, ids: DataFrame, how: str, key: str = "doc_id") -> DataFrame:
-    """``docs`` semi- or anti-joined with written, distinct ids (null is an id).
+def free(df: DataFrame, *names: str) -> list[str]:
+    """These names, with underscores after those that ``df`` has (in any case of letters)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def by_id(docs: DataFrame, ids: DataFrame, how: str, key: str = "doc_id", text_hash: str | None = None) -> DataFrame:
+    """``docs`` semi- or anti-joined with written, distinct ids (null is an id),
+    and with ``text_hash``, a column of ``ids``, by xxhash64 of the text too.
 
     Few ids are broadcast and the documents stay where they are; the size is
     counted first, and beyond the bound both sides are shuffled.
     """
-    right = ids.select(F.col(key).alias("__id"))
+    id_, hash_ = free(docs, "id_", "hash_")
+    right = ids.select(F.col(key).alias(id_), *([F.col(text_hash).alias(hash_)] if text_hash else []))
     if right.count() <= BROADCAST_IDS:
         right = F.broadcast(right)
-    return docs.join(right, docs[key].eqNullSafe(F.col("__id")), how)
+    same = docs[key].eqNullSafe(F.col(id_))
+    if text_hash:
+        same &= F.xxhash64(docs["text"]) == F.col(hash_)
+    return docs.join(right, same, how)

@@ -8,23 +8,27 @@ are documents of their own: near-dedup links them with nothing.
 """
 from __future__ import annotations
 
+from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlens.llm import byte_bpe, decontaminate, exact_dedup, language_id, minhash
-from flowlens.llm.common import by_id, id_crc, table, written
+from flowlens.llm.common import by_id, free, id_crc, table, written
 
-RANKS = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
+RANKS = path("byte_bpe_multi_50k.tiktoken")
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter go; those of several languages stay, however
-    even their parts, and so do all where no row is labelled to learn from."""
+    even their parts, and so do all where no row is labelled to learn from.
+
+    Only the rejected rows leave the workers, as (id, hash of the text)."""
     model = language_id.train(docs, F.lit(True))
     if not model.languages:
         return docs
-    out = language_id.predict(docs, model, keep_text=True, out=("__lang", "__share", "__spans"))
-    return out.where(F.col("__lang") != language_id.UND).select(*docs.columns)
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
+    gone = language_id.predict(rows, model).where(F.col("lang_pred") == language_id.UND).select("doc_id", "h").distinct()
+    return by_id(docs, written(gone, "no-language"), "left_anti", text_hash="h")
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,12 +39,13 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     once = by_id(docs, written(ids.where("n > 1 OR NOT kept"), "not-plain"), "left_anti")
     # ids of several rows: the decision is the text's, and one row of it stays
     some = by_id(docs, written(ids.where("n > 1 AND kept"), "repeated"), "left_semi")
-    some = some.withColumn("__d", exact_dedup.digest(F.col("text"))).withColumn(
-        "__n", F.char_length(F.coalesce("text", F.lit(""))).cast("long"))
-    won = rows.where("kept").select(F.col("doc_id").alias("__i"), F.col("digest").alias("__w"), F.col("cp").alias("__c")).distinct()
-    longest = won.groupBy("__i", "__w").agg(F.max("__c").alias("__c"))
-    same = F.col("doc_id").eqNullSafe(F.col("__i")) & (F.col("__d") == F.col("__w")) & (F.col("__n") == F.col("__c"))
-    again = some.join(longest, same, "left_semi").dropDuplicates(["doc_id", "__d"]).select(*docs.columns)
+    digest, points, id_, won_digest, won_points = free(docs, "digest", "points", "id_", "won_digest", "won_points")
+    some = some.withColumn(digest, exact_dedup.digest(F.col("text"))).withColumn(
+        points, F.char_length(F.coalesce("text", F.lit(""))).cast("long"))
+    won = rows.where("kept").select(F.col("doc_id").alias(id_), F.col("digest").alias(won_digest), F.col("cp").alias(won_points)).distinct()
+    longest = won.groupBy(id_, won_digest).agg(F.max(won_points).alias(won_points))
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(digest) == F.col(won_digest)) & (F.col(points) == F.col(won_points))
+    again = some.join(longest, same, "left_semi").dropDuplicates(["doc_id", digest]).select(*docs.columns)
     return once.unionByName(again)
 
 
@@ -57,8 +62,10 @@ def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def byte_bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, ranks: str = RANKS) -> DataFrame:
-    """Every document with token_ids, n_tokens and decoded_ok (the ids decode to its bytes)."""
+    """Every document with token_ids, n_tokens and decoded_ok (the ids decode to
+    its bytes); columns of these names that it had are replaced."""
+    raw, = free(docs, "raw")
     out = byte_bpe.encode_documents(docs, ranks, byte_bpe.PATTERN, out="token_ids")
-    out = byte_bpe.decode_documents(out, ranks, byte_bpe.PATTERN, ids="token_ids", out="__raw")
-    same = F.col("__raw") == F.coalesce("text", F.lit("")).cast("binary")
-    return out.withColumn("n_tokens", F.size("token_ids").cast("long")).withColumn("decoded_ok", same).drop("__raw")
+    out = byte_bpe.decode_documents(out, ranks, byte_bpe.PATTERN, ids="token_ids", out=raw)
+    same = F.col(raw) == F.coalesce("text", F.lit("")).cast("binary")
+    return out.withColumn("n_tokens", F.size("token_ids").cast("long")).withColumn("decoded_ok", same).drop(raw)

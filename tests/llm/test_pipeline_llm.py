@@ -10,8 +10,8 @@ from test_dedup import WHITE, brute_components
 
 def test_queries_are_registered():
     names = [q for q in E.queries() if re.match(r"op\d+_", q)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
-    assert "pipeline" in E.queries() and {"op3_exact_dedup", "op10_jump_sharding"} <= set(E.oracle_sql())
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
+    assert "pipeline" in E.queries() and {"op3_exact_dedup", "op10_jump_sharding", "op11_prefix_trie"} <= set(E.oracle_sql())
 
 
 def test_stages_on_hard_rows(spark, hard_docs, hard_rows, no_docs):
@@ -34,6 +34,22 @@ def test_stages_on_hard_rows(spark, hard_docs, hard_rows, no_docs):
     assert last.where("decoded_ok").count() == len(hard_rows)
 
 
+def test_columns_with_clashing_names_stay(spark, hard_docs, hard_rows):
+    from pyspark.sql import functions as F
+    extra = ["id_", "hash_", "__id", "__d", "__n", "__lang", "digest", "points", "won_digest", "won_points", "h", "kept", "Raw", "raw_", "n", "node"]
+    docs = hard_docs.select("*", *(F.lit(f"own {c}").alias(c) for c in extra))
+    sf = "/root/testdata/sf0.001"
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, sf)
+        assert out.columns[:len(docs.columns)] == docs.columns, name
+        assert all(r[c] == f"own {c}" for r in out.select(*extra).collect() for c in extra), name
+        plain = Counter(r["doc_id"] for r in stage(spark, hard_docs, sf).select("doc_id").collect())
+        assert Counter(r["doc_id"] for r in out.select("doc_id").collect()) == plain, name
+    # columns that the last stage makes are replaced
+    last = stages.byte_bpe_stage(spark, hard_docs.withColumn("n_tokens", F.lit("mine")), sf)
+    assert dict(last.dtypes)["n_tokens"] == "bigint"
+
+
 def test_mixed_documents_stay_and_so_do_all_without_a_model(spark):
     words = {"en": "the and with thing house water morning people".split(), "de": "und nicht mit einer straße größe schön wasser".split(),
              "fr": "les des une avec maison être où château".split()}
