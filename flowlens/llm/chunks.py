@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Chunks, and characters of them, that a worker remembers; it starts anew beyond either.
-MEMO_CHUNKS, MEMO_CHARS = 800_000, 16 << 20
+MEMO_CHUNKS, MEMO_CHARS = 800_000, 32 << 20
 #: Bytes that are cut and gathered at once, about; longer texts go in several parts.
 PART_BYTES = 2 << 20
 
@@ -163,13 +163,13 @@ class ChunkEncoder:
     string of an added token go through the library whole.
     """
 
-    def __init__(self, path: str, breaks: np.ndarray, special: bool, same: bytes | None = None):
-        self.tokenizer, self.breaks, self.same = open_tokenizer(path, special), breaks, same
+    def __init__(self, path: str, breaks: np.ndarray, special: bool, same: bytes | None = None, memo: int | None = None):
+        self.tokenizer, self.breaks, self.same, self.limit = open_tokenizer(path, special), breaks, same, memo
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if special else []
         self._start()
 
     def _start(self) -> None:
-        self.ids, self.memo = Rows(np.uint32), Memo(lambda chunks: self.ids.add(*self.library(chunks)))
+        self.ids, self.memo = Rows(np.uint32), Memo(lambda chunks: self.ids.add(*self.library(chunks)), self.limit)
 
     def library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         return flat_ids([e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)], np.uint32)

@@ -43,6 +43,9 @@ from flowlens.llm import chunks
 from flowlens.llm.byte_bpe import _slices
 from flowlens.llm.common import reach_workers, written
 
+#: Words that a worker remembers.
+MEMO_WORDS = 2_000_000
+
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, at long"
 
 
@@ -136,7 +139,7 @@ def _same_for_words() -> bytes:
 
 @lru_cache(maxsize=1)
 def _encoder(path: str) -> chunks.ChunkEncoder:
-    return chunks.ChunkEncoder(path, chunks.word_breaks(), special=True, same=_same_for_words())
+    return chunks.ChunkEncoder(path, chunks.word_breaks(), special=True, same=_same_for_words(), memo=MEMO_WORDS)
 
 
 def cut_documents(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, key: str = "doc_id", text: str = "text",
