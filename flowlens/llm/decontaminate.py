@@ -4,11 +4,12 @@ The test items are the indexed side.  Every passage of every document is a
 query: half overlapping windows.  The half is the longest run of words that
 verification can accept for the longest item, with a fifth of its words
 inserted, so an item's copy lies whole in one of them, edited or not.  An item's score is its BM25 score
-divided by that of its own text, so 1 means that all its words occur, and one
-threshold serves items of any length.
+divided by that of its own text, so 1 means that all its words occur.  An
+item's threshold is the least score that verification can still accept: 1 less
+the heaviest words that its permitted edits can take away.
 
-All items above the threshold are retrieved.  Upper bounds prune, as in
-block-max WAND with a fixed threshold, for all passages of a batch at once:
+All items above their thresholds are retrieved.  Upper bounds prune, as in
+block-max WAND with fixed thresholds, for all passages of a batch at once:
 first a term's highest impact anywhere, then its highest impact in a block of
 items; only blocks that can still reach the threshold are scored item by item.
 A retrieved item is verified on its question and its answer: each must occur
@@ -43,6 +44,7 @@ from flowlens.llm.byte_bpe import _slices
 from flowlens.llm.common import reach_workers, written
 
 K1, B = 1.2, 0.75
+#: Of a search that names no other; ``find`` takes each item's own.
 THRESHOLD = 0.5
 OVERLAP = 0.8
 EXACT_WORDS = 8
@@ -74,20 +76,44 @@ class Index:
     questions: list
     answers: list
     passage: int
-    top: np.ndarray
     block_ptr: np.ndarray
     blocks: np.ndarray
-    block_top: np.ndarray
+    block_at: np.ndarray
     item_ptr: np.ndarray
     items: np.ndarray
     impact: np.ndarray
+    least: np.ndarray
     whole: bool = False  # the answer is a guess: the item as a whole counts too
+    own: tuple = ()
+
+    def relative(self, need: float | np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Impacts by posting, term and block, as shares of what an item needs."""
+        share = self.impact / np.broadcast_to(need, len(self.item_ids))[self.items]
+        if not len(share):
+            return share, share, share
+        return share, np.maximum.reduceat(share, self.item_ptr[:-1]), np.maximum.reduceat(share, self.block_at)
+
+
+def edits_of(words: int) -> int:
+    """The most edits that ``overlap`` accepts for a side of so many words."""
+    if words < EXACT_WORDS:
+        return 0
+    n = int(words * (1 - OVERLAP))
+    return n + (1 - (n + 1) / words >= OVERLAP)
+
+
+def least_score(weight: np.ndarray, tf: np.ndarray, edits: int) -> float:
+    """The least score of a text that so many edits make of the item.  A word goes
+    when all its occurrences go, so its weight is dealt over them (a lower bound)."""
+    order = np.argsort(-weight / tf)
+    taken = np.clip(edits - (np.cumsum(tf[order]) - tf[order]), 0, tf[order])
+    return 1 - float((weight[order] / tf[order] * taken).sum())
 
 
 def build_index(items: list[tuple], df: dict, n_items: int, mean_words: float, whole: bool = False) -> Index:
     """``items``: (id, question, answer); ``df``: items that hold each term."""
     vocab: dict[bytes, int] = {}
-    ids, questions, answers, rows = [], [], [], []
+    ids, questions, answers, rows, least = [], [], [], [], []
     longest = 1
     for item_id, question, answer in items:
         q, a = words_of(question), words_of(answer)
@@ -100,6 +126,7 @@ def build_index(items: list[tuple], df: dict, n_items: int, mean_words: float, w
         weight = weight / weight.sum()  # 1 for a passage that holds every word
         for w, x in zip(uniq, weight.tolist()):
             rows.append((vocab.setdefault(w, len(vocab)), len(ids), x))
+        least.append(least_score(weight, tf, edits_of(len(q) + len(a)) if whole else edits_of(len(q)) + edits_of(len(a))))
         ids.append(item_id)
         questions.append([vocab[w] for w in q])
         answers.append([vocab[w] for w in a])
@@ -110,9 +137,10 @@ def build_index(items: list[tuple], df: dict, n_items: int, mean_words: float, w
     block = item // BLOCK_ITEMS
     new = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])]) if len(term) else np.zeros(0, np.int64)
     n = np.arange(len(vocab) + 1)
-    top = np.maximum.reduceat(impact, np.searchsorted(term, n[:-1])) if len(term) else np.zeros(0)
-    return Index(vocab, ids, questions, answers, 2 * math.ceil(longest / OVERLAP), top, np.searchsorted(term[new], n), block[new],
-                 np.maximum.reduceat(impact, new) if len(new) else np.zeros(0), np.searchsorted(term, n), item, impact, whole)
+    index = Index(vocab, ids, questions, answers, 2 * math.ceil(longest / OVERLAP), np.searchsorted(term[new], n), block[new], new,
+                  np.searchsorted(term, n), item, impact, np.array(least), whole)
+    index.own = index.relative(index.least)
+    return index
 
 
 def _expand(ptr: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -123,8 +151,8 @@ def _expand(ptr: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return row, at
 
 
-def retrieve(index: Index, docs: np.ndarray, places: np.ndarray, terms: np.ndarray, threshold: float = THRESHOLD):
-    """(document, window, item, score) of every pair at or above the threshold.
+def retrieve(index: Index, docs: np.ndarray, places: np.ndarray, terms: np.ndarray, threshold: float | None = THRESHOLD):
+    """(document, window, item, score) of every pair at or above the threshold (None: the item's own).
 
     ``docs``, ``places``, ``terms``: the indexed words of the documents in
     order.  Window k of a document covers places [k*h, k*h + 2h).
@@ -132,6 +160,7 @@ def retrieve(index: Index, docs: np.ndarray, places: np.ndarray, terms: np.ndarr
     none = (np.zeros(0, np.int64),) * 3 + (np.zeros(0),)
     if not len(docs):
         return none
+    share, top, block_top = index.own if threshold is None else index.relative(threshold)
     h = index.passage // 2
     order = np.lexsort((places, terms, docs))
     same = np.r_[False, (docs[order][1:] == docs[order][:-1]) & (terms[order][1:] == terms[order][:-1])]
@@ -145,9 +174,9 @@ def retrieve(index: Index, docs: np.ndarray, places: np.ndarray, terms: np.ndarr
     width = int(k.max()) + 1
     key = d * width + wins[first]
     uniq, row = np.unique(key, return_inverse=True)
-    bound = np.bincount(row, index.top[t], len(uniq))
+    bound = np.bincount(row, top[t], len(uniq))
     eps = 1e-9  # sums in another order
-    live = (bound >= threshold - eps)[row]
+    live = (bound >= 1 - eps)[row]
     row, t = row[live], t[live]
     if not len(row):
         return none
@@ -155,7 +184,7 @@ def retrieve(index: Index, docs: np.ndarray, places: np.ndarray, terms: np.ndarr
     n_blocks = int(index.blocks.max()) + 1
     q, at = _expand(index.block_ptr, t)
     pair, of = np.unique(row[q] * n_blocks + index.blocks[at], return_inverse=True)
-    pair = pair[np.bincount(of, index.block_top[at], len(pair)) >= threshold - eps]
+    pair = pair[np.bincount(of, block_top[at], len(pair)) >= 1 - eps]
     # item level, in the blocks that are left
     alive = np.unique(pair // n_blocks)
     keep = np.isin(row, alive)
@@ -163,9 +192,8 @@ def retrieve(index: Index, docs: np.ndarray, places: np.ndarray, terms: np.ndarr
     r, item = row[keep][q], index.items[at]
     ok = np.isin(r * n_blocks + item // BLOCK_ITEMS, pair)
     found, of = np.unique(r[ok] * len(index.item_ids) + item[ok], return_inverse=True)
-    score = np.bincount(of, index.impact[at[ok]], len(found))
-    hit = score >= threshold - eps
-    found, score = found[hit], score[hit]
+    hit = np.bincount(of, share[at[ok]], len(found)) >= 1 - eps
+    found, score = found[hit], np.bincount(of, index.impact[at[ok]], len(found))[hit]
     w = uniq[found // len(index.item_ids)]
     return w // width, w % width, found % len(index.item_ids), score
 
@@ -204,7 +232,7 @@ def find(texts: list[str | None], ix: Index) -> dict[tuple[int, int], tuple]:
     place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     known, h = flat >= 0, ix.passage // 2
     best: dict[tuple[int, int], tuple] = {}
-    for d, w, item, score in zip(*(x.tolist() for x in retrieve(ix, doc[known], place[known], flat[known]))):
+    for d, w, item, score in zip(*(x.tolist() for x in retrieve(ix, doc[known], place[known], flat[known], None))):
         passage = coded[d][w * h:w * h + 2 * h]
         q, a = overlap(ix.questions[item], passage), overlap(ix.answers[item], passage)
         sides = q >= OVERLAP and a >= OVERLAP

@@ -197,6 +197,49 @@ def test_a_copy_with_inserted_words_is_found_at_any_place(spark):
     assert sorted(r["doc_id"] for r in got) == list(range(160))
 
 
+def test_copies_without_their_rarest_words_are_found():
+    """As brute force over all windows and items: what verification accepts is retrieved."""
+    rng = random.Random(11)
+    common, rare = [f"c{i}" for i in range(40)], [f"r{i}" for i in range(2_000)]
+    items, texts = [], []
+    for i in range(100):
+        words = [rng.choice(rare if rng.random() < 0.3 else common) for _ in range(50)]
+        items.append((i, " ".join(words[:30]), " ".join(words[30:])))
+        edited, left = list(words), [6, 4]  # of the question and of the answer
+        for k in sorted(range(50), key=lambda k: (words[k][0] != "r", k)):
+            if left[k >= 30]:
+                edited[k], left[k >= 30] = "zz", left[k >= 30] - 1
+        texts.append(" ".join(rng.choices(common, k=rng.randint(0, 90)) + edited + rng.choices(common, k=rng.randint(0, 90))))
+    df = {}
+    for _, q, a in items:
+        for w in set(decontaminate.words_of(q) + decontaminate.words_of(a)):
+            df[w] = df.get(w, 0) + 1
+    for whole in (False, True):
+        ix = decontaminate.build_index(items, df, len(items), 50, whole)
+        assert len(ix.least) == 100 and (ix.least > 0).all() and ix.least.min() < decontaminate.THRESHOLD
+        got = decontaminate.find(texts, ix)
+        assert {(i, i) for i in range(100)} <= set(got)
+        expect = set()
+        h = ix.passage // 2
+        for d, text in enumerate(texts[:10]):
+            coded = np.array([ix.vocab.get(w, -1) for w in decontaminate.words_of(text)])
+            for k in range(len(coded) // h + 1):
+                part = coded[k * h:k * h + 2 * h]
+                for i, (q, a) in enumerate(zip(ix.questions, ix.answers)):
+                    sides = min(decontaminate.overlap(q, part), decontaminate.overlap(a, part)) >= decontaminate.OVERLAP
+                    if sides or whole and decontaminate.overlap(q + a, part) >= decontaminate.OVERLAP:
+                        expect.add((d, i))
+        assert {k for k in got if k[0] < 10} == expect
+
+
+def test_the_least_score_is_that_of_the_worst_accepted_edit():
+    assert [decontaminate.edits_of(n) for n in (1, 7, 8, 10, 15, 35, 50)] == [0, 0, 1, 2, 3, 7, 10]
+    weight, tf = np.array([0.4, 0.3, 0.2, 0.1]), np.array([1, 3, 1, 1])
+    assert decontaminate.least_score(weight, tf, 0) == 1
+    assert abs(decontaminate.least_score(weight, tf, 1) - 0.6) < 1e-12
+    assert abs(decontaminate.least_score(weight, tf, 2) - 0.4) < 1e-12
+
+
 def test_an_index_in_parts_finds_the_same(spark, hard_docs, monkeypatch):
     bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
