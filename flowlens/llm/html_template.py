@@ -16,16 +16,18 @@ there (alike in their elements down to the third level).
 
 Extraction walks a page with the template of its host and layout.  Text blocks
 that are template tokens go, inside an article element as elsewhere; slots
-stay, in page order.  Slots of menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles and reader comments go.  Where no template is
-known the roles alone decide: the text of the article (or else the main)
-element, or if there is none all text that is left.
+stay, in page order: those of the article (or else the main) element, or if the
+page has none all that are left.  Slots of menus, headers, footers, sidebars,
+notices, adverts, forms, scripts, styles and reader comments go.  Where no
+template is known the roles alone decide.
+
+An article of which more than half is template, by blocks and by characters, is
+a near copy of other articles: its repeated blocks are its text, and it stays whole.
 
 Cases: null or empty html: empty text.  A host with one page, or a page
 without a url: no template.  Unclosed elements end with their parents; an
 unclosed menu does not swallow an article.  Pages of a host with the same
-article count once, and an article without a slot stays whole: it is a
-repeated page.  Very long pages are read whole.
+article count once.  Very long pages are read whole.
 """
 from __future__ import annotations
 
@@ -41,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.llm.byte_bpe import _slices
-from flowlens.llm.common import reach_workers, written
+from flowlens.llm.common import BROADCAST_IDS, reach_workers, written
 
 #: A valid class: tokens, pages, share of the host's pages.
 CLASS_TOKENS, CLASS_PAGES, CLASS_SHARE = 3, 3, 0.5
@@ -222,14 +224,12 @@ def extract(page: str, template: set[int], layouts: dict[int, set[int]] | None =
         met += known
         if t[0] == "text" and t[3] != "drop":
             blocks.append((t[3], known, t[2]))
-    slots = {zone for zone, known, _ in blocks if not known}
-    if met:
-        # an element without a slot is a repeated article
-        chosen = [x for zone, known, x in blocks if not known or zone and zone not in slots]
-    else:
-        best = next((z for z in ("article", "main") if z in slots), "")
-        chosen = [x for zone, _, x in blocks if zone == best]
-    return " ".join(chosen), met
+    zones = {zone for zone, _, _ in blocks}
+    best = next((z for z in ("article", "main") if z in zones), "")
+    inside = [(known, x) for zone, known, x in blocks if zone == best]
+    repeated, own = ([x for known, x in inside if known == k] for k in (True, False))
+    near_copy = best and len(repeated) > len(own) and sum(map(len, repeated)) > sum(map(len, own))
+    return " ".join(x for known, x in inside if near_copy or not known), met
 
 
 #: Layout 0 is the host as a whole; token 0 counts the pages.
@@ -279,11 +279,25 @@ def occurrence_classes(pages: DataFrame) -> DataFrame:
 
 
 def _once(pages: DataFrame) -> DataFrame:
-    """One page of a host for each article (or main) element, or else each whole page."""
+    """One page of a host for each article (or main) element, or else each whole page.
+
+    Only keys are shuffled: of a repeated article the smallest (page_id, url)
+    stays, by a broadcast join while there are few.  Where rows share that too,
+    these rows alone are shuffled whole."""
     inner = F.regexp_extract("html", r"(?is)<(?:article|main)\b.*</(?:article|main)\s*>", 0)
     body = F.xxhash64(F.when(inner != "", inner).otherwise(F.col("html")))
-    rows = pages.where("html IS NOT NULL AND html <> ''").withColumn("__host", _host_column("url")).withColumn("__body", body)
-    return rows.dropDuplicates(["__host", "__body"]).select("page_id", "url", "html")
+    rows = pages.where("html IS NOT NULL AND html <> ''").withColumn("body", F.xxhash64(_host_column("url"), body))
+    name = F.struct("page_id", "url")
+    times = rows.groupBy("body", "page_id", "url").agg(F.count(F.lit(1)).alias("n")).groupBy("body").agg(
+        F.sum("n").alias("n"), F.min(F.struct(name.alias("name"), "n")).alias("won"))
+    again = written(times.where("n > 1").select(F.col("body").alias("again"), "won.name", F.col("won.n").alias("copies")), "again")
+    few = again.count() <= BROADCAST_IDS
+    found = rows.join(F.broadcast(again) if few else again, F.col("body") == F.col("again"), "left").where(
+        F.col("again").isNull() | name.eqNullSafe(F.col("name")))
+    if again.where("copies > 1").isEmpty():
+        return found.select("page_id", "url", "html")
+    plain = found.where("copies IS NULL OR copies = 1")
+    return plain.unionByName(found.where("copies > 1").dropDuplicates(["body"])).select("page_id", "url", "html")
 
 
 def _host_column(url: str):

@@ -301,6 +301,60 @@ def test_template_decides_inside_the_article_and_by_layout(spark):
     pages += [(310, "http://c.example/2", f"<html><body><article>{story(2)}</article></body></html>")]
     df = spark.createDataFrame(pages, "page_id long, url string, html string")
     by = {r["page_id"]: r["text"] for r in html_template.extract_main_text(df).collect()}
-    assert by[3] == "Today 3 Story 3 xxx Line 3 More of 3"
+    assert by[3] == "Story 3 xxx Line 3"  # what lies outside the article element goes
     assert by[102] == by[202] == "Story 2 xx Line 2"
     assert by[300] == by[304] == "Story 1 x Line 1 End" and by[310] == "Story 2 xx Line 2"
+
+
+def test_near_copies_of_an_article_stay_whole(spark):
+    """Six pages of one host with the same title and paragraphs and one changed sentence."""
+    shared = ["The bridge over the river", *(f"Paragraph {k} tells how the {k} towns came to build it." for k in range(12))]
+
+    def page(i, blocks, side=""):
+        inner = "".join(f"<p>{b}</p>" for b in blocks)
+        return (f"<html><body><nav><ul><li>Home<li>News</ul></nav><div class=zq>Read next: story {i}</div><article>{inner}"
+                f"{side}</article><div class=likes>{i} people like this</div><div>All rights with us</div></body></html>")
+    pages = [(i, f"http://near.example/{i}", page(i, [*shared, f"Updated {i} times so far."])) for i in range(6)]
+    # own articles of a host with boilerplate inside: more blocks than the story, but short
+    pages += [(50 + i, f"http://own.example/{i}", page(i, [f"Story {i} " + f"of many own words {i} " * 9],
+                                                       "<p>Share</p><p>Print</p><p>Mail it</p>")) for i in range(6)]
+    pages += [(90, "http://alone.example/", page(5, ["Own text 5."]))]
+    # one long page, and rows that share their id and article
+    long = [f"Sentence {k} of the very long page." for k in range(30_000)]
+    pages += [(95, "http://long.example/", page(1, long))] + [(96, "http://own.example/again", page(7, ["Twice"]))] * 3
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    rows = html_template.extract_main_text(df).collect()
+    by = {r["page_id"]: r["text"] for r in rows}
+    assert len(rows) == len(pages)
+    for i in range(6):
+        assert by[i] == " ".join([*shared, f"Updated {i} times so far."])
+        assert by[50 + i] == (f"Story {i} " + f"of many own words {i} " * 9).strip()
+    assert by[90] == "Own text 5." and by[95] == " ".join(long) and by[96] == "Twice"
+
+
+def test_classes_equal_those_of_plain_vectors(spark):
+    """Occurrence vectors and valid classes by plain counting, per host."""
+    rng = random.Random(4)
+    pages = []
+    for i in range(40):
+        chrome = "".join(f"<div class=c{k}>Fixed {k}</div>" for k in range(rng.randint(2, 5)))
+        inner = "".join(f"<p>Text {i} {k}</p>" for k in range(rng.randint(1, 4)))
+        pages.append((i, f"http://h{i % 3}.example/{i}", f"<body>{chrome}<article>{inner}</article></body>"))
+    pages += [(100 + i, "http://h0.example/x", pages[0][2]) for i in range(5)]  # repeats of one article count once
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {}
+    for r in html_template.occurrence_classes(df).where("layout = 0").collect():
+        got.setdefault((r["host"], r["class"]), set()).add(r["token"])
+    expect = set()
+    for host in {html_template.host_of(u) for _, u, _ in pages}:
+        mine = [p for p in pages[:40] if html_template.host_of(p[1]) == host]
+        vectors = {}
+        for n, (_, _, page) in enumerate(mine):
+            for token, (count, _, _) in html_template.page_counts(list(html_template.tokens(page))).items():
+                vectors.setdefault(token, {})[n] = count
+        classes = {}
+        for token, v in vectors.items():
+            if len(v) >= max(html_template.CLASS_PAGES, len(mine) * html_template.CLASS_SHARE):
+                classes.setdefault(tuple(sorted(v.items())), set()).add(token)
+        expect |= {(host, frozenset(c)) for c in classes.values() if len(c) >= html_template.CLASS_TOKENS}
+    assert {(host, frozenset(c)) for (host, _), c in got.items()} == expect and expect
