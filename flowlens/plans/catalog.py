@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .context import Context, context, finalize
+from ..schemas import BASE1, BASE2
+from ..sources import declared as DC
 from ..sources import ingest as IN
 from ..sources.tables import sql_over_parquet
 from ..operators import flows as FL
@@ -78,6 +80,13 @@ def q_ingest_counts(ctx: Context):
                             IN.ingest_transactions(ctx.bases.base2_raw))
 
 
+@query("ingest_rejects")
+def q_ingest_rejects(ctx: Context):
+    """Rows of the raw tables by what breaks the declared schema ('' for none)."""
+    return DC.reject_counts("base1", DC.classified(ctx.bases.base1_raw, BASE1)).unionByName(
+        DC.reject_counts("base2", DC.classified(ctx.bases.base2_raw, BASE2)))
+
+
 @query("sql_over_parquet", money("gross_value"))
 def q_sql_over_parquet(ctx: Context):
     d = ctx.sf_dir.rstrip("/")

@@ -122,6 +122,12 @@ _reg("ingest_transactions", "SELECT * FROM ledger_in")
 _reg("ingest_counts", """
     SELECT 'base1' AS "table", count(*) AS n_rows FROM base1_raw
     UNION ALL SELECT 'base2', count(*) FROM base2_raw""")
+_reg("ingest_rejects", """
+    SELECT 'base1' AS "table", CASE WHEN TRY_CAST(trim(VL_SLDO) AS DOUBLE) IS NULL AND VL_SLDO IS NOT NULL THEN 'VL_SLDO' ELSE '' END AS reason,
+           count(*) AS n_rows FROM base1_raw GROUP BY 2
+    UNION ALL
+    SELECT 'base2', CASE WHEN TRY_CAST(trim(VL) AS DOUBLE) IS NULL AND VL IS NOT NULL THEN 'VL' ELSE '' END, count(*)
+    FROM base2_raw GROUP BY 2""")
 _reg("sql_over_parquet", """
     SELECT 'E' || lpad(CAST(l_suppkey AS VARCHAR), 6, '0') AS ID, s_nationkey AS nation,
            count(*) AS n_lines, sum(l_extendedprice) AS gross_value

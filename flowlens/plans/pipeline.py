@@ -4,6 +4,8 @@ analysis -> relations, every result written as parquet.
 Each step writes its output to ``out_dir`` (a shared folder on a cluster)
 and the next step reads the written table back: lineage is cut at every
 sink, so an executor lost late in the build only re-runs the current step.
+The tables of a build lie aside until its last one is written; then a manifest
+names them (``sources.publish``), so a build that dies leaves the earlier one.
 """
 from __future__ import annotations
 
@@ -22,6 +24,7 @@ from ..operators import sector as SC
 from ..operators import stages as ST
 from ..operators import summary as SM
 from ..sources.ingest import write_parquet
+from ..sources.publish import new_build, publish
 
 log = logging.getLogger(__name__)
 
@@ -51,12 +54,12 @@ def _sink(spark: SparkSession, df: DataFrame, path: str, partition_by=None) -> D
         # rows of a partition meet first (large ones in several tasks): few files each
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     write_parquet(df, path, partition_by)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # an empty partitioned table has no file to infer from
 
 
 def build_all(spark: SparkSession, base1: DataFrame, base2: DataFrame, cfg: BuildConfig) -> dict[str, str]:
     """Run the whole build; returns the written table paths by name."""
-    out = cfg.out_dir.rstrip("/")
+    out = new_build(cfg.out_dir)
     paths: dict[str, str] = {}
 
     def sink(name, df, partition_by=None):
@@ -99,4 +102,5 @@ def build_all(spark: SparkSession, base1: DataFrame, base2: DataFrame, cfg: Buil
 
     imp = RL.relation_importance(edges, cfg.relations_window)
     sink("relations_latest", RL.top_relations(imp, b1, cfg.top_relations))
+    publish(spark, cfg.out_dir, paths)
     return paths
