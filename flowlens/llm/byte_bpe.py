@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowlens.llm.common import reach_workers
+from flowlens.llm.common import lean, reach_workers
 
 #: Pieces whose ids a worker remembers; it starts anew beyond that.
 MEMO_PIECES = 200_000
@@ -216,7 +216,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, text: str =
                 ids = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
                 yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), ids], names=[*names, out])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def decode_documents(docs: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -234,7 +234,7 @@ def decode_documents(docs: DataFrame, ranks_path: str, pattern: str, ids: str =
                 raw = pa.array([decode(flat[a:b]) for a, b in pairwise([0, *ends])], pa.binary())
                 yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), raw], names=[*names, out])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def ids_sha256(ids: str = "ids"):

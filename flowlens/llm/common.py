@@ -1,9 +1,12 @@
 """What the operators share: the scratch folder, row ids and narrow tables."""
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +31,21 @@ def reach_workers(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([REPO, *paths])
 
 
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` for a worker that gives freed memory back when a task ends: workers
+    are used again, and what they keep adds up beside the executor's own heap."""
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+            if trim:
+                trim(0)
+
+    return wrapped
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -37,14 +55,17 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
+def written(df: DataFrame, name: str, by: list[str] | None = None, block_mb: int | None = None) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: lineage is cut and the
-    rows survive a lost executor."""
+    rows survive a lost executor.  ``block_mb``: size of a row group, which a
+    writer holds in memory (whole texts)."""
     spark = df.sparkSession
     path = scratch(spark, name)
     out = df.write
     if by:
         out = out.partitionBy(*by)
+    if block_mb:
+        out = out.option("parquet.block.size", block_mb << 20)
     out.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

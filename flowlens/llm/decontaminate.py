@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.llm.byte_bpe import _slices
-from flowlens.llm.common import reach_workers, written
+from flowlens.llm.common import lean, reach_workers, written
 
 K1, B = 1.2, 0.75
 #: Of a search that names no other; ``find`` takes each item's own.
@@ -315,5 +315,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", **columns:
                     stay[[d for d, _ in find(batch.column(text).to_pylist(), held.value)]] = False
                     yield batch.filter(pa.array(stay))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(lean(run), docs.schema)
     return docs

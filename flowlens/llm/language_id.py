@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from flowlens.llm.byte_bpe import _slices
-from flowlens.llm.common import reach_workers
+from flowlens.llm.common import lean, reach_workers
 
 UND = "und"
 #: Labelled texts of each language that the model is fitted on, at most.
@@ -288,4 +288,4 @@ def predict(docs: DataFrame, model: Model, text: str = "text", spans: bool = Fal
                 yield pa.RecordBatch.from_arrays(cols, names=schema.names)
         m.forget()
 
-    return docs.select(*dict.fromkeys([*names, text])).mapInArrow(run, schema)
+    return docs.select(*dict.fromkeys([*names, text])).mapInArrow(lean(run), schema)

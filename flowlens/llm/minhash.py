@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.llm.byte_bpe import _slices
-from flowlens.llm.common import reach_workers, written
+from flowlens.llm.common import lean, reach_workers, written
 from flowlens.llm.graph import components
 
 BANDS, ROWS = 32, 5  # a pair at Jaccard 0.8 is missed with probability 3e-6
@@ -160,7 +160,7 @@ def sketched(docs: DataFrame, n: int, key: str = "doc_id", text: str = "text", b
                      pa.ListArray.from_arrays(pa.array(ends), flat)], names=["doc_id", "n_shingles", "set_id", "bands"])
 
     rows_ = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows_.mapInArrow(run, "doc_id long, n_shingles long, set_id binary, bands array<long>")
+    return rows_.mapInArrow(lean(run), "doc_id long, n_shingles long, set_id binary, bands array<long>")
 
 
 def _sets(docs: DataFrame, classes: DataFrame, n: int, key: str, text: str) -> DataFrame:
@@ -180,7 +180,7 @@ def _sets(docs: DataFrame, classes: DataFrame, n: int, key: str, text: str) -> D
                 yield pa.RecordBatch.from_arrays([pa.array([_set_id(x) for x in items], pa.binary()), pa.array(items, pa.binary())],
                                                  names=["set_id", "items"])
 
-    found = rows.mapInArrow(run, "set_id binary, items binary").join(classes.select("set_id", "node"), "set_id")
+    found = rows.mapInArrow(lean(run), "set_id binary, items binary").join(classes.select("set_id", "node"), "set_id")
     return found.select("node", "items").dropDuplicates(["node"])
 
 
@@ -201,7 +201,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v"), pa.array(shared, pa.int64()), pa.array(total, pa.int64())],
                                                  names=["u", "v", "shared", "total"])
 
-    out = pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInArrow(run, "u long, v long, shared long, total long")
+    out = pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInArrow(lean(run), "u long, v long, shared long, total long")
     return out.withColumn("linked", F.col("shared") * 100 >= F.col("total") * percent)
 
 
@@ -274,7 +274,7 @@ def _prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], names=["slot", "n"])
 
     # COUNT_SLOTS rows at most come to the driver; the order is right with any counts, and selective with these
-    seen = sets.select("items").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    seen = sets.select("items").mapInArrow(lean(count), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(COUNT_SLOTS, np.int64)
     counts[seen["slot"].to_numpy()] = seen["n"].to_numpy()
     held = spark.sparkContext.broadcast(counts)
@@ -290,7 +290,7 @@ def _prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
                     cols += [batch.column("node").to_numpy()[k], batch.column("comp").to_numpy()[k], *np.stack([parities(x) for x in items])[k].T]
                     yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], names=names)
 
-    rows = written(sets.mapInArrow(run, ", ".join(f"{c} long" for c in ("side", "token", "class", "place", "size", "node", "comp", *_PARITY))),
+    rows = written(sets.mapInArrow(lean(run), ", ".join(f"{c} long" for c in ("side", "token", "class", "place", "size", "node", "comp", *_PARITY))),
                    "prefixes", by=["side"])
 
     def side(k: int, name: str) -> DataFrame:
