@@ -19,6 +19,9 @@ STAGES = [
     ("byte_bpe", stages.byte_bpe_stage),
 ]
 
+#: Row groups of the stage tables: two writers hold one each beside the workers.
+BLOCK_MB = 32
+
 #: SQL cannot express the stages; the tests hold them against brute force.
 ORACLE_SQL = None
 
@@ -27,5 +30,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     reach_workers(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name}", block_mb=BLOCK_MB)
     return docs
