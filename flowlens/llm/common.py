@@ -17,6 +17,8 @@ REPO = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 
 #: Rows of an Arrow batch, at most: texts are long, and two workers share an executor.
 BATCH_ROWS = 1_000
+#: Bytes of an Arrow batch, about: the JVM and the worker hold one each.
+BATCH_BYTES = 8 << 20
 
 
 def reach_workers(spark: SparkSession) -> None:
@@ -25,6 +27,7 @@ def reach_workers(spark: SparkSession) -> None:
     rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
         spark.conf.set(rows, str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if REPO not in paths:

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.llm.byte_bpe import _slices
-from flowlens.llm.common import lean, reach_workers, written
+from flowlens.llm.common import by_id, lean, reach_workers, written
 from flowlens.llm.graph import components
 
 BANDS, ROWS = 32, 5  # a pair at Jaccard 0.8 is missed with probability 3e-6
@@ -169,8 +169,9 @@ def _sets(docs: DataFrame, classes: DataFrame, n: int, key: str, text: str) -> D
     The text is read again by the class's smallest id and known by its set, so
     two texts under one id are told apart.
     """
-    rows = (docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-            .join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"))
+    # few ids are broadcast behind a count and the texts stay where they are
+    rows = by_id(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")),
+                 written(classes.select(F.col("rep").alias("doc_id")).distinct(), "reps"), "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -220,8 +221,12 @@ def _size_classes() -> np.ndarray:
 _CLASSES = _size_classes()
 
 
-def prefix_rows(sets: list[np.ndarray], ask: list[bool], counts: np.ndarray, percent: int) -> list[tuple[np.ndarray, ...]]:
-    """(set, side, shingle, class of the partner's or own size, place, size).
+#: Prefix rows that a worker sends together.
+PREFIX_ROWS = 1 << 16
+
+
+def prefix_rows(sets: list[np.ndarray], ask: list[bool], counts: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(set, side, shingle, class of the partner's or own size, place, size), run by run.
 
     Shingles are in one order, the rare first; places count from 1.  Linked
     sets of sizes x <= y share p(x+y)/(100+p) shingles, so the first shared one
@@ -232,7 +237,6 @@ def prefix_rows(sets: list[np.ndarray], ask: list[bool], counts: np.ndarray, per
     def need(x, y):
         return -(-percent * (x + y) // (100 + percent))
 
-    out = []
     for k, (items, asks) in enumerate(zip(sets, ask)):
         n = len(items)
         items = items[np.lexsort((items, counts[(items % np.uint64(COUNT_SLOTS)).astype(np.int64)]))]
@@ -245,9 +249,10 @@ def prefix_rows(sets: list[np.ndarray], ask: list[bool], counts: np.ndarray, per
             spans += [(2, c, n - need(max(int(_CLASSES[c]), least), n) + 1) for c in range(low, own + 1)]
             spans += [(3, c, n - need(n, max(int(_CLASSES[c]), n)) + 1) for c in range(own, high + 1)]
         for side, c, m in spans:
-            m = max(0, min(n, m))
-            out.append((np.full(m, k), np.full(m, side), items[:m].view(np.int64), np.full(m, c), np.arange(1, m + 1), np.full(m, n)))
-    return out
+            for a in range(0, min(n, m), PREFIX_ROWS):  # a very long set's rows go in several runs
+                b = min(n, m, a + PREFIX_ROWS)
+                same = np.ones(b - a, np.int64)
+                yield same * k, same * side, items[a:b].view(np.int64), same * c, np.arange(a + 1, b + 1), same * n
 
 
 _PARITY = [f"p{k}" for k in range(8)]
@@ -284,11 +289,21 @@ def _prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
         for whole in batches:
             for batch in _slices(whole, "items", 1 << 20):
                 items = [np.frombuffer(x, np.uint64) for x in batch.column("items").to_pylist()]
-                parts = prefix_rows(items, batch.column("ask").to_pylist(), held.value, percent)
-                if parts:
+                of_set = [batch.column("node").to_numpy(), batch.column("comp").to_numpy(), *np.stack([parities(x) for x in items]).T]
+
+                def together(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
                     k, *cols = (np.concatenate(c) for c in zip(*parts))
-                    cols += [batch.column("node").to_numpy()[k], batch.column("comp").to_numpy()[k], *np.stack([parities(x) for x in items])[k].T]
-                    yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], names=names)
+                    return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in (*cols, *(c[k] for c in of_set))], names=names)
+
+                held_back, waiting = [], 0
+                for part in prefix_rows(items, batch.column("ask").to_pylist(), held.value, percent):
+                    held_back.append(part)
+                    waiting += len(part[0])
+                    if waiting >= PREFIX_ROWS:
+                        yield together(held_back)
+                        held_back, waiting = [], 0
+                if held_back:
+                    yield together(held_back)
 
     rows = written(sets.mapInArrow(lean(run), ", ".join(f"{c} long" for c in ("side", "token", "class", "place", "size", "node", "comp", *_PARITY))),
                    "prefixes", by=["side"])
