@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowlens.llm.common import lean, reach_workers
+from flowlens.llm.common import lean, reach_workers, remembers
 
 #: Pieces whose ids a worker remembers; it starts anew beyond that.
 MEMO_PIECES = 200_000
@@ -185,6 +185,9 @@ def _memo(path: str, pattern: str) -> _Memo:
     return _Memo(ByteBpe(path, pattern))
 
 
+remembers("byte_bpe", _memo.cache_clear)
+
+
 def _slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows with about ``limit`` bytes of the column."""
     if not batch.num_rows:
@@ -198,11 +201,15 @@ def _slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterato
         yield batch.slice(a, b - a)
 
 
-def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
-    """``docs`` with the column ``out``: array<int> of the text's token ids."""
+def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", out: str = "ids",
+                     decoded: str | None = None) -> DataFrame:
+    """``docs`` with the column ``out``: array<int> of the text's token ids; with
+    ``decoded``, a column of the bytes that these ids decode to (one worker for both)."""
     reach_workers(docs.sparkSession)
-    schema = T.StructType([f for f in docs.schema.fields if f.name != out] + [T.StructField(out, T.ArrayType(T.IntegerType()))])
-    names = schema.names[:-1]
+    others = [f for f in docs.schema.fields if f.name not in (out, decoded)]
+    names = [f.name for f in others]
+    new = [T.StructField(out, T.ArrayType(T.IntegerType())), *([T.StructField(decoded, T.BinaryType())] if decoded else [])]
+    schema = T.StructType(others + new)
 
     def run(batches):
         memo = _memo(ranks_path, pattern)
@@ -214,9 +221,10 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, text: str =
                 np.cumsum([len(x) // 4 for x in found], out=offsets[1:])
                 values = pa.array(np.frombuffer(b"".join(found), np.int32))
                 ids = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
-                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), ids], names=[*names, out])
+                back = [pa.array([memo.bpe.decode(np.frombuffer(x, np.int32).tolist()) for x in found], pa.binary())] if decoded else []
+                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), ids, *back], names=schema.names)
 
-    return docs.mapInArrow(lean(run), schema)
+    return docs.mapInArrow(lean(run, "byte_bpe"), schema)
 
 
 def decode_documents(docs: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -234,7 +242,7 @@ def decode_documents(docs: DataFrame, ranks_path: str, pattern: str, ids: str =
                 raw = pa.array([decode(flat[a:b]) for a, b in pairwise([0, *ends])], pa.binary())
                 yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), raw], names=[*names, out])
 
-    return docs.mapInArrow(lean(run), schema)
+    return docs.mapInArrow(lean(run, "byte_bpe"), schema)
 
 
 def ids_sha256(ids: str = "ids"):

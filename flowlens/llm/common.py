@@ -34,10 +34,27 @@ def reach_workers(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([REPO, *paths])
 
 
-def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """``run`` for a worker that gives freed memory back when a task ends: workers
-    are used again, and what they keep adds up beside the executor's own heap."""
+#: What a worker remembers from task to task: its owner, and how to forget it.
+_REMEMBERED: dict[str, Callable[[], None]] = {}
+
+
+def remembers(owner: str, forget: Callable[[], None]) -> None:
+    _REMEMBERED[owner] = forget
+
+
+def forget_others(owner: str) -> None:
+    """Drop what the tasks of other owners left in this worker."""
+    for name, forget in _REMEMBERED.items():
+        if name != owner:
+            forget()
+
+
+def lean(run: Callable[[Iterator], Iterator], owner: str = "") -> Callable[[Iterator], Iterator]:
+    """``run`` for a worker that begins without what other operators remember and
+    gives freed memory back when a task ends: workers are used again, and what
+    they keep adds up beside the executor's own heap."""
     def wrapped(batches: Iterator) -> Iterator:
+        forget_others(owner)
         try:
             yield from run(batches)
         finally:

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.llm.byte_bpe import _slices
-from flowlens.llm.common import by_id, lean, reach_workers, written
+from flowlens.llm.common import by_id, lean, reach_workers, remembers, written
 from flowlens.llm.graph import components
 
 BANDS, ROWS = 32, 5  # a pair at Jaccard 0.8 is missed with probability 3e-6
@@ -63,6 +63,9 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return up, down
 
 
+remembers("minhash", _powers.cache_clear)
+
+
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash of each word, first word, words) of each text, A-Z in lower case.
 
@@ -160,7 +163,7 @@ def sketched(docs: DataFrame, n: int, key: str = "doc_id", text: str = "text", b
                      pa.ListArray.from_arrays(pa.array(ends), flat)], names=["doc_id", "n_shingles", "set_id", "bands"])
 
     rows_ = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows_.mapInArrow(lean(run), "doc_id long, n_shingles long, set_id binary, bands array<long>")
+    return rows_.mapInArrow(lean(run, "minhash"), "doc_id long, n_shingles long, set_id binary, bands array<long>")
 
 
 def _sets(docs: DataFrame, classes: DataFrame, n: int, key: str, text: str) -> DataFrame:
@@ -181,7 +184,7 @@ def _sets(docs: DataFrame, classes: DataFrame, n: int, key: str, text: str) -> D
                 yield pa.RecordBatch.from_arrays([pa.array([_set_id(x) for x in items], pa.binary()), pa.array(items, pa.binary())],
                                                  names=["set_id", "items"])
 
-    found = rows.mapInArrow(lean(run), "set_id binary, items binary").join(classes.select("set_id", "node"), "set_id")
+    found = rows.mapInArrow(lean(run, "minhash"), "set_id binary, items binary").join(classes.select("set_id", "node"), "set_id")
     return found.select("node", "items").dropDuplicates(["node"])
 
 

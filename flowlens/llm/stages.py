@@ -65,7 +65,6 @@ def byte_bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, ranks: str
     """Every document with token_ids, n_tokens and decoded_ok (the ids decode to
     its bytes); columns of these names that it had are replaced."""
     raw, = free(docs, "raw")
-    out = byte_bpe.encode_documents(docs, ranks, byte_bpe.PATTERN, out="token_ids")
-    out = byte_bpe.decode_documents(out, ranks, byte_bpe.PATTERN, ids="token_ids", out=raw)
+    out = byte_bpe.encode_documents(docs, ranks, byte_bpe.PATTERN, out="token_ids", decoded=raw)
     same = F.col(raw) == F.coalesce("text", F.lit("")).cast("binary")
     return out.withColumn("n_tokens", F.size("token_ids").cast("long")).withColumn("decoded_ok", same).drop(raw)

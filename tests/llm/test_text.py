@@ -6,7 +6,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from flowlens.llm import byte_bpe, decontaminate, html_template, language_id, queries
+from flowlens.llm import byte_bpe, common, decontaminate, html_template, language_id, queries
 
 RANKS = queries.TOKENIZERS + "/byte_bpe_multi_50k.tiktoken"
 
@@ -99,12 +99,22 @@ def test_joins_of_long_pieces(bpe, library):
             assert bpe.join(bpe.encode(left), bpe.encode(right)) == ids
 
 
+def test_a_task_forgets_what_other_operators_remember():
+    byte_bpe._memo(RANKS, byte_bpe.PATTERN)
+    list(common.lean(iter, "byte_bpe")([]))
+    assert byte_bpe._memo.cache_info().currsize
+    assert list(common.lean(iter, "minhash")([1, 2])) == [1, 2]
+    assert not byte_bpe._memo.cache_info().currsize
+
+
 def test_documents_round_trip(hard_docs, hard_rows, no_docs, library):
     out = byte_bpe.encode_documents(hard_docs, RANKS, byte_bpe.PATTERN, out="n_chars")  # the name is taken over
     back = byte_bpe.decode_documents(out, RANKS, byte_bpe.PATTERN, ids="n_chars").collect()
     assert sorted(bytes(r["decoded"]) for r in back) == sorted((t or "").encode() for _, t, *_ in hard_rows)
     for r in back:
         assert r["n_chars"] == library.encode_ordinary(r["text"] or "")
+    both = byte_bpe.encode_documents(hard_docs, RANKS, byte_bpe.PATTERN, out="n_chars", decoded="decoded")
+    assert both.columns == back[0].__fields__ and sorted(map(str, both.collect())) == sorted(map(str, back))
     assert byte_bpe.decode_documents(byte_bpe.encode_documents(no_docs, RANKS, byte_bpe.PATTERN), RANKS, byte_bpe.PATTERN).count() == 0
 
 
