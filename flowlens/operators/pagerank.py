@@ -14,21 +14,10 @@ effective uniform 1/N; this operator is the optional real ranking.
 """
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
-
-
-def bucketed(df: DataFrame, key: str, parts: int, names: list[str]) -> DataFrame:
-    """``df`` as a table of ``parts`` buckets by ``key``; its name is added to ``names``."""
-    spark = df.sparkSession
-    name = f"pagerank_{uuid.uuid4().hex}"
-    names.append(name)
-    df.write.format("parquet").bucketBy(parts, key).option("path", f"{checkpoint_dir(spark).rstrip('/')}/{name}").saveAsTable(name)
-    return spark.table(name)
+from ..session import bucketed, checkpoint_dir
 
 
 def transitions(edges: DataFrame, parts: int, names: list[str]) -> DataFrame:

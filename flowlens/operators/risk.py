@@ -8,12 +8,14 @@ never put their whole neighbourhood into one task.
 """
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions.columns import banded
-from ..session import checkpoint_dir
+from ..session import bucketed, checkpoint_dir, stored
 
 
 def pair_volumes(edges: DataFrame) -> DataFrame:
@@ -21,8 +23,9 @@ def pair_volumes(edges: DataFrame) -> DataFrame:
     return edges.groupBy("src", "dst").agg(F.sum("valor").alias("v"), F.sum("n").alias("n"))
 
 
-def partner_flows(pairs: DataFrame) -> DataFrame:
-    """(company, partner) -> value and payments received from / paid to the partner."""
+def partner_flows(pairs: DataFrame, parts: int | None = None) -> DataFrame:
+    """(company, partner) -> value and payments received from / paid to the
+    partner; with ``parts``, dealt by company into that many partitions."""
     zero, none = F.lit(0.0), F.lit(0).cast("long")
     legs = pairs.select(F.explode(F.array(
         F.struct(F.col("dst").alias("company_id"), F.col("src").alias("partner_id"), F.col("v").alias("vin"),
@@ -30,9 +33,19 @@ def partner_flows(pairs: DataFrame) -> DataFrame:
         F.struct(F.col("src").alias("company_id"), F.col("dst").alias("partner_id"), zero.alias("vin"),
                  F.col("v").alias("vout"), none.alias("nin"), F.col("n").cast("long").alias("nout")),
     )).alias("l")).select("l.*")
+    if parts:
+        legs = legs.repartition(parts, "company_id")  # at most two rows a key: nothing to combine before
     return legs.groupBy("company_id", "partner_id").agg(*(F.sum(c).alias(c) for c in ("vin", "vout", "nin", "nout")))
 
 
+def partner_flows_by_company(pairs: DataFrame) -> DataFrame:
+    """``partner_flows`` as a table bucketed by company.  A company has at most
+    as many rows as there are companies, whatever its payments."""
+    spark = pairs.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return bucketed(partner_flows(pairs, parts), "company_id", parts, prefix="partner_flows")
+
+
 def _level(x) -> F.Column:
     return banded(x, C.RISK_LEVELS, C.RISK_LEVEL_LAST)
 
@@ -180,8 +193,10 @@ def node_profile(edges: DataFrame, flows: DataFrame | None = None) -> DataFrame:
                     risk.alias("risk_score"), reason.alias("recommendation_reason"))
 
 
-def adjacency(edges: DataFrame) -> DataFrame:
-    """Distinct undirected partner pairs (both orientations)."""
+def adjacency(edges: DataFrame | None = None, flows: DataFrame | None = None) -> DataFrame:
+    """Distinct undirected partner pairs (both orientations); ``partner_flows`` has them already."""
+    if flows is not None:
+        return flows.select(F.col("company_id").alias("a"), F.col("partner_id").alias("b")).filter(F.col("a") != F.col("b"))
     p = edges.select("src", "dst").distinct()
     return (p.select(F.col("src").alias("a"), F.col("dst").alias("b"))
             .unionByName(p.select(F.col("dst").alias("a"), F.col("src").alias("b")))
@@ -203,6 +218,60 @@ def ranked_candidates(profile: DataFrame) -> DataFrame:
             .withColumn("place", (F.col("_own") + F.col("_before")).cast("long")).drop("_part", "_own", "_before").checkpoint())
 
 
+#: Candidates that one bit mask holds, and masks of the first and later rounds.
+MASK_BITS, MASKS = 64, (1, 8, 64)
+#: Partners of partners that one round may list, or this many for each pair of partners.
+LISTED_ROWS, LISTED_PER_PAIR = 20_000_000, 2
+#: Rows of a table of masks that go to every executor.
+BROADCAST_ROWS = 500_000
+
+
+def _block_of(place: F.Column, top_m: int, fanout: int, n: int) -> tuple[F.Column, int]:
+    """Number of the block that holds a place, and the number of blocks of ``n`` places."""
+    if fanout == 1:
+        return F.ceil(place / F.lit(top_m)).cast("int"), math.ceil(n / top_m)
+    ends = [top_m]
+    while ends[-1] < n:
+        ends.append(ends[-1] + top_m * fanout ** len(ends))
+    return (sum((F.when(place > e, 1).otherwise(0) for e in ends[:-1]), F.lit(1))).cast("int"), len(ends)
+
+
+def _by_masks(near: DataFrame, adj: DataFrame, cand: DataFrame, low: int, words: int) -> DataFrame:
+    """c, new: places (ascending) of the candidates in low + 1 .. low + 64 * words
+    that are partners of c's partners, but neither c nor partners of c.
+
+    A company's mask has the bits of itself and of its partners.  What c's
+    partners have together, less what c has, is new: its partners' own bits are
+    among c's.  So a pair of partners is one row, whatever their partners."""
+    part = cand.filter((F.col("place") > low) & (F.col("place") <= low + MASK_BITS * words)).select(
+        F.col("partner_id").alias("b"), (F.col("place") - F.lit(low + 1)).alias("at"))
+    bits = adj.join(F.broadcast(part), "b").select("a", "at").unionByName(part.select(F.col("b").alias("a"), "at"))  # 4096 rows at most
+    word, bit = F.floor(F.col("at") / MASK_BITS), F.expr(f"shiftleft(1L, cast(at % {MASK_BITS} as int))")
+    names = [f"m{i}" for i in range(words)]
+    masks = stored(bits.groupBy("a").agg(*[F.bit_or(F.when(word == i, bit).otherwise(F.lit(0).cast("long"))).alias(m) for i, m in enumerate(names)]), "masks")
+    theirs = masks.withColumnRenamed("a", "p")
+    if masks.count() * words <= BROADCAST_ROWS:
+        theirs = F.broadcast(theirs)
+    met = near.join(theirs, "p").groupBy("c").agg(*[F.bit_or(m).alias(f"t{i}") for i, m in enumerate(names)])
+    found = met.join(masks.withColumnRenamed("a", "c"), "c", "left").select("c", F.array(*[
+        F.col(f"t{i}").bitwiseAND(F.bitwise_not(F.coalesce(F.col(m), F.lit(0).cast("long")))) for i, m in enumerate(names)]).alias("w"))
+    places = F.flatten(F.transform("w", lambda w, i: F.transform(
+        F.filter(F.sequence(F.lit(0), F.lit(MASK_BITS - 1)), lambda j: F.getbit(w, j) == 1),
+        lambda j: F.lit(low + 1).cast("long") + i * F.lit(MASK_BITS) + j)))
+    return found.select("c", places.alias("new"))
+
+
+def _by_lists(near: DataFrame, adj: DataFrame, cand: DataFrame, low: int, k: int) -> DataFrame:
+    """c, new: the first ``k`` places behind ``low`` as in ``_by_masks``, by listing the partners' partners."""
+    rest = cand.filter(F.col("place") > low).select(F.col("partner_id").alias("q"), "place")
+    lists = adj.join(rest, adj.b == F.col("q")).select(F.col("a").alias("p"), "q", "place")
+    met = near.join(lists, "p").filter(F.col("c") != F.col("q")).select("c", "q", "place").distinct()
+    new = met.join(near.select("c", F.col("p").alias("q")), ["c", "q"], "left_anti")
+    rank = F.row_number().over(Window.partitionBy("c").orderBy("place"))
+    return (new.withColumn("rank", rank).filter(F.col("rank") <= k)  # k rows a company
+            .groupBy("c").agg(F.array_sort(F.collect_list("place")).alias("new")))
+
+
 def diversification_targets(edges: DataFrame, k: int = 5, top_m: int = 64, fanout: int = 8,
                             profile: DataFrame | None = None, adj: DataFrame | None = None,
                             with_block: bool = False) -> DataFrame:
@@ -210,46 +279,51 @@ def diversification_targets(edges: DataFrame, k: int = 5, top_m: int = 64, fanou
     itself and its current partners, ranked by (risk asc, mean payment
     desc, id asc).
 
-    A rank join by the threshold rule.  Candidates are read in blocks of that
-    order, the first of ``top_m``, each next one ``fanout`` times as long.  A
-    block meets the partners of the companies that are still open; a company
-    leaves as soon as it has ``k`` candidates, because all of the later blocks
-    rank after them, or as many as it has non-partners at all.  So a company
-    reads its partners' lists only as far as its answer lies, and hubs are
-    never expanded for everybody.  What is open shrinks from block to block
-    and is checkpointed.  ``with_block`` adds the block that closed a company.
+    A rank join by the threshold rule.  Candidates are read in that order, in
+    rounds of 64, 512 and then 4096.  A round meets the partners of the
+    companies that are still open, as bit masks; a company leaves as soon as it
+    has ``k`` candidates, because all later ones rank after them, or as many as
+    it has non-partners at all.  As soon as the partners' partners of the open
+    companies are few rows, one round lists them and ends the search.
+
+    The order is cut into blocks, the first of ``top_m``, each next one
+    ``fanout`` times as long.  ``with_block`` adds the block in which a company
+    had all it can have (the last block if it never had).  Rounds do not follow
+    the blocks: short ones would need as many rounds as there are companies.
     """
     spark = edges.sparkSession
     checkpoint_dir(spark)
-    adj = adjacency(edges) if adj is None else adj
-    prof = node_profile(edges) if profile is None else profile
-    cand = ranked_candidates(prof)
-    degree = adj.groupBy("a").agg(F.count(F.lit(1)).alias("_deg"))
-    n = cand.count()
+    if profile is None or adj is None:
+        flows = partner_flows_by_company(pair_volumes(edges))
+        profile = node_profile(edges, flows) if profile is None else profile
+        adj = adjacency(flows=flows) if adj is None else adj
+    cand = stored(ranked_candidates(profile), "candidates")
+    degree = stored(adj.groupBy("a").agg(F.count(F.lit(1)).alias("_deg")), "degrees")
+    n, pairs = cand.count(), degree.agg(F.coalesce(F.sum("_deg"), F.lit(0))).first()[0]
     # a company can find no more than the companies that are no partners of it
-    open_ = degree.select(F.col("a").alias("c"), F.least(F.lit(k), n - 1 - F.col("_deg")).alias("most")).filter("most > 0").checkpoint()
-    mine = adj.select(F.col("a").alias("c"), F.col("b").alias("p"))
-    best = spark.createDataFrame([], "c string, q string, place long")
-    out, low, size, block = [], 0, top_m, 1
-    per = Window.partitionBy("c").orderBy("place")
+    open_ = stored(degree.select(F.col("a").alias("c"), F.least(F.lit(k), n - 1 - F.col("_deg")).alias("most"),
+                                 F.array().cast("array<bigint>").alias("have")).filter("most > 0"), "open")
+    out, low, turn = [], 0, 0
     while low < n and not open_.isEmpty():
-        part = cand.filter((F.col("place") > low) & (F.col("place") <= low + size)).select(F.col("partner_id").alias("q"), "place")
-        lists = adj.join(part, adj.b == F.col("q")).select(F.col("a").alias("p"), "q", "place")
-        met = mine.join(open_.select("c"), "c", "left_semi").join(lists, "p").filter(F.col("c") != F.col("q")).select("c", "q", "place").distinct()
-        new = met.join(mine.select("c", F.col("p").alias("q")), ["c", "q"], "left_anti")
-        held = best.unionByName(new).withColumn("rank", F.row_number().over(per)).filter(F.col("rank") <= k)
-        held = held.join(open_, "c").withColumn("_found", F.count(F.lit(1)).over(Window.partitionBy("c"))).checkpoint()  # k rows a company
-        last = low + size >= n
-        closed = held if last else held.filter(F.col("_found") >= F.col("most"))
-        out.append(closed.select("c", "q", "rank", F.lit(block).alias("block")))
-        open_ = open_.join(closed.select("c").distinct(), "c", "left_anti").checkpoint()
-        best = held.filter(F.col("_found") < F.col("most")).select("c", "q", "place")
-        low, size, block = low + size, size * fanout, block + 1
-    rows = spark.createDataFrame([], "c string, q string, rank int, block int")
+        near = adj.select(F.col("a").alias("c"), F.col("b").alias("p")).join(open_.select("c"), "c", "left_semi")
+        listed = near.groupBy("p").count().join(degree, F.col("p") == F.col("a")).agg(F.sum(F.col("count") * F.col("_deg"))).first()[0] or 0
+        if listed <= max(LISTED_ROWS, LISTED_PER_PAIR * pairs):
+            new, low = _by_lists(near, adj, cand, low, k), n
+        else:
+            words = MASKS[min(turn, len(MASKS) - 1)]
+            new, low, turn = _by_masks(near, adj, cand, low, words), low + MASK_BITS * words, turn + 1
+        have = F.slice(F.concat("have", F.coalesce("new", F.array().cast("array<bigint>"))), 1, k)
+        held = stored(open_.join(new, "c", "left").select("c", "most", have.alias("have")), "held")
+        full = F.size("have") >= F.col("most")
+        out.append(held if low >= n else held.filter(full))
+        open_ = held.filter(~full)
+    rows = spark.createDataFrame([], "c string, most long, have array<bigint>")
     for r in out:
         rows = rows.unionByName(r)
-    return rows.join(cand, F.col("q") == F.col("partner_id")).select(
-        F.col("c").alias("company_id"), F.col("rank").cast("long").alias("rank"), "partner_id", "avg_transaction_volume",
+    block, blocks = _block_of(F.element_at("have", F.col("most").cast("int")), top_m, fanout, n)
+    rows = rows.select("c", F.when(F.size("have") >= F.col("most"), block).otherwise(F.lit(blocks)).alias("block"), F.posexplode("have").alias("_at", "place"))
+    return rows.join(cand, "place").select(
+        F.col("c").alias("company_id"), (F.col("_at") + 1).cast("long").alias("rank"), "partner_id", "avg_transaction_volume",
         "diversification_level", "risk_score", "recommendation_reason", *(["block"] if with_block else []))
 
 

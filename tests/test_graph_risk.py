@@ -153,3 +153,36 @@ def test_scenarios_carry_codes(spark):
     assert set(got) == {"top_payer_loss", "top_payee_loss", "top_partners_joint_loss"}
     assert got["top_payer_loss"].description == "loss_cuts_receipts"
     assert got["top_partners_joint_loss"].mitigation_strategies[-1] == "contingency_plan"
+
+
+def _random_rows(nodes, n, hub=0):
+    rnd = random.Random(11)
+    names = [f"N{i:03d}" for i in range(nodes)]
+    rows = [(*rnd.sample(names, 2), m(2020, rnd.randint(1, 4)), float(rnd.randint(1, 500)), 1) for _ in range(n)]
+    return rows + [("HUB", x, m(2020, 1), 7.0, 1) for x in names[:hub]]
+
+
+@pytest.mark.parametrize("listed", [0, 300, 10**9])
+def test_diversification_by_masks_and_by_lists(spark, monkeypatch, listed):
+    """By bit masks alone (rounds of one word, then two), by both ways, and by lists alone."""
+    monkeypatch.setattr(RK, "LISTED_ROWS", listed)
+    monkeypatch.setattr(RK, "LISTED_PER_PAIR", 0)
+    monkeypatch.setattr(RK, "MASKS", (1, 2))
+    rows = _random_rows(220, 260, hub=30)
+    got = {}
+    for r in RK.diversification_targets(edges(spark, rows), 5, top_m=6, fanout=1).collect():
+        got.setdefault(r.company_id, []).append((r.rank, r.partner_id))
+    assert {c: [p for _, p in sorted(v)] for c, v in got.items()} == {c: v for c, v in _brute_div(rows).items() if v}
+
+
+def test_short_blocks_do_not_make_more_rounds(spark, monkeypatch):
+    """300 blocks of one candidate were 300 rounds of several jobs each."""
+    rounds = []
+    for name in ("_by_masks", "_by_lists"):
+        plain = getattr(RK, name)
+        monkeypatch.setattr(RK, name, lambda *a, plain=plain: rounds.append(1) or plain(*a))
+    rows = _random_rows(300, 200)
+    got = RK.diversification_targets(edges(spark, rows), 5, top_m=1, fanout=1, with_block=True).collect()
+    assert len(rounds) <= 2
+    n = len({r[0] for r in rows} | {r[1] for r in rows})
+    assert got and max(r.block for r in got) == n
