@@ -47,3 +47,11 @@ def test_ensemble_probabilities(spark):
     assert abs(w["rf"] + w["gb"] - 1.0) < 1e-12
     ex = ST.explain_prediction(pred, info, xs, 3)
     assert ex.select("feature").distinct().count() <= 3
+
+
+def test_partitions_of_a_fit():
+    # 60,000 companies were two tasks, 4.8 million rows were 96 that each sent all open nodes' statistics
+    assert ST._model_partitions(60_000, 12) == 12
+    assert ST._model_partitions(4_800_000, 12) == 24
+    assert ST._model_partitions(1_000, 12) == 1
+    assert ST._model_partitions(0, 12) == 1
