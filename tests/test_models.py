@@ -51,7 +51,8 @@ def test_ensemble_probabilities(spark):
 
 def test_partitions_of_a_fit():
     # 60,000 companies were two tasks, 4.8 million rows were 96 that each sent all open nodes' statistics
-    assert ST._model_partitions(60_000, 12) == 12
+    assert ST._model_partitions(60_000, 12, ST.ENSEMBLE_TASK_ROWS) == 12
+    assert ST._model_partitions(60_000, 12) == 2
     assert ST._model_partitions(4_800_000, 12) == 24
     assert ST._model_partitions(1_000, 12) == 1
     assert ST._model_partitions(0, 12) == 1
