@@ -9,15 +9,18 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
-from itertools import chain, repeat
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Chunks, and characters of them, that a worker remembers; it starts anew beyond either.
 MEMO_CHUNKS, MEMO_CHARS = 800_000, 32 << 20
 #: Bytes that are cut and gathered at once, about; longer texts go in several parts.
 PART_BYTES = 2 << 20
+#: New chunks that go through the library as one text, where they can.
+RUN_CHUNKS = 256
 
 _LETTERS = np.array([chr(c).isalpha() and c < 128 for c in range(256)])
 _DIGITS = np.array([0x30 <= c <= 0x39 for c in range(256)])
@@ -161,19 +164,52 @@ class ChunkEncoder:
     ``same`` maps bytes to bytes that the tokenizer cannot tell apart (case,
     kinds of white space), so fewer chunks are distinct.  Texts that hold the
     string of an added token go through the library whole.
+
+    ``runs``, for tokens of bytes and breaks between a visible character and a
+    space: new chunks that such breaks part go through the library in runs, and
+    the ids go back to their chunks by the bytes of the tokens.
     """
 
-    def __init__(self, path: str, breaks: np.ndarray, special: bool, same: bytes | None = None, memo: int | None = None):
+    def __init__(self, path: str, breaks: np.ndarray, special: bool, same: bytes | None = None, memo: int | None = None, runs: bool = False):
         self.tokenizer, self.breaks, self.same, self.limit = open_tokenizer(path, special), breaks, same, memo
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if special else []
+        # a run shall hold no added token that none of its chunks holds
+        self.sizes = self._token_bytes() if runs and not any(" " in a for a in self.added) else None
         self._start()
 
     def _start(self) -> None:
-        self.ids, self.memo = Rows(np.uint32), Memo(lambda chunks: self.ids.add(*self.library(chunks)), self.limit)
+        learn = self.library if self.sizes is None else self.in_runs
+        self.ids, self.memo = Rows(np.uint32), Memo(lambda chunks: self.ids.add(*learn(chunks)), self.limit)
+
+    def _token_bytes(self) -> np.ndarray:
+        """Bytes of each id's token: a byte-level token has a character for each."""
+        tokens = self.tokenizer.get_vocab(with_added_tokens=False)
+        out = np.zeros(1 + max([*tokens.values(), *self.tokenizer.get_added_tokens_decoder()]), np.int64)
+        out[np.fromiter(tokens.values(), np.int64, len(tokens))] = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        return out
 
     def library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         return flat_ids([e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)], np.uint32)
 
+    def in_runs(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``library`` of chunks; one by one where tokens do not end with the chunks."""
+        apart = [c[0] == " " and "!" <= c[-1] <= "~" for c in chunks]
+        some = list(compress(chunks, apart))
+        ends = np.cumsum(pc.binary_length(pa.array(some, pa.large_string())).to_numpy(zero_copy_only=False))
+        ids, _ = self.library(["".join(some[i:i + RUN_CHUNKS]) for i in range(0, len(some), RUN_CHUNKS)])
+        sizes = self.sizes[ids]
+        after = np.cumsum(sizes)
+        if not len(some) or not len(ids) or after[-1] != ends[-1] or not sizes.all():
+            return self.library(chunks)
+        last = np.searchsorted(after, ends)
+        if (after[last] != ends).any():
+            return self.library(chunks)
+        rest, lengths = self.library([c for c, a in zip(chunks, apart) if not a])
+        found = Rows(np.uint32)
+        found.add(ids, np.diff(last, prepend=-1))
+        found.add(rest, lengths)
+        return found.take(np.argsort(np.argsort(~np.array(apart), kind="stable"), kind="stable"))
+
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         held: list[list[np.ndarray]] = [[] for _ in texts]
         raws = []

@@ -40,6 +40,8 @@ MAGIC = 0x38424C50494D5353
 BLOCK = 512
 #: Ids of a file, about: what a task holds in memory.
 FILE_IDS = 2_000_000
+#: Chunks that a worker remembers.
+MEMO_CHUNKS = 1_200_000
 # Fixed values of the Simple-8b word: ids a word, bits an id, by selector.
 COUNTS = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTHS = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
@@ -73,7 +75,7 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     size[-1] = n - (blocks - 1) * BLOCK
     bits = _bit_lengths(grid.ravel()).reshape(grid.shape)
     # widest[i]: bits of the widest of the next `count` ids, for growing counts
-    choice = np.full((blocks, BLOCK), ESCAPE, np.uint8)
+    fits = np.zeros((blocks, BLOCK), np.uint8)
     window, span = bits, 1
     for s in range(len(COUNTS) - 1, -1, -1):
         count = int(COUNTS[s])
@@ -82,7 +84,11 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             span *= 2
         shift = count - span
         widest = np.maximum(window[:, :BLOCK], window[:, shift:shift + BLOCK])
-        choice[widest <= WIDTHS[s]] = s
+        fit = widest <= WIDTHS[s]
+        if not fit.any():
+            break
+        fits += fit  # what fits at one count fits at all smaller ones
+    choice = np.where(fits, np.uint8(len(COUNTS)) - fits, np.uint8(ESCAPE))
     # follow the chain of words through all blocks together
     step = np.zeros(16, np.int64)
     step[:14], step[ESCAPE] = COUNTS, 1
@@ -137,8 +143,11 @@ def unpack(words: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
     # a word's first id: the ids of its block's words before it
     total = np.cumsum(held) - held
     first = np.searchsorted(head.astype(np.uint64), offsets)
-    start = total - total[first[block]] + block * BLOCK
-    out = np.zeros(-(-n // BLOCK) * BLOCK + 60, np.uint64)
+    blocks = -(-n // BLOCK)
+    # a block's last word may be filled beyond it: room for that lies between blocks
+    start = total - total[first[block]] + block * (BLOCK + 60)
+    grid = np.zeros((blocks, BLOCK + 60), np.uint64)
+    out = grid.ravel()
     for s in np.unique(sel):
         mine = np.flatnonzero(sel == s)
         if s == ESCAPE:
@@ -146,11 +155,10 @@ def unpack(words: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
             continue
         count, width = int(COUNTS[s]), int(WIDTHS[s])
         mask = np.uint64((1 << width) - 1)
-        word, end = words[head[mine]], (block[mine] + 1) * BLOCK
+        word, at = words[head[mine]], start[mine]
         for k in range(count):
-            inside = start[mine] + k < end
-            out[(start[mine] + k)[inside]] = (word[inside] >> np.uint64(k * width)) & mask
-    return out[:n]
+            out[at + k] = (word >> np.uint64(k * width)) & mask
+    return grid[:, :BLOCK].ravel()[:n]
 
 
 # --- files ----------------------------------------------------------------
@@ -187,7 +195,7 @@ def load_block(raw: bytes, block: int) -> np.ndarray:
 @lru_cache(maxsize=2)
 def _encoder(path: str, special: bool) -> chunks.ChunkEncoder:
     """Ids of whole texts: each distinct chunk goes through the library once."""
-    return chunks.ChunkEncoder(path, chunks.byte_level_breaks(), special)
+    return chunks.ChunkEncoder(path, chunks.byte_level_breaks(), special, memo=MEMO_CHUNKS, runs=True)
 
 
 # --- the operator ---------------------------------------------------------------

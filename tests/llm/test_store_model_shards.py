@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from flowlens.llm import byte_bpe, kneser_ney, queries, sharding, token_store
+from flowlens.llm import byte_bpe, chunks, kneser_ney, queries, sharding, token_store
 
 TOKENIZER = queries.TOKENIZERS + "/byte_bpe_50k.json"
 
@@ -30,6 +30,20 @@ def test_simple8b_round_trip(n, top):
         assert (token_store.load_block(raw, b) == ids[b * 512:(b + 1) * 512]).all()
 
 
+def test_new_chunks_go_through_the_library_in_runs(hard_rows):
+    from tokenizers import Tokenizer
+    encode = chunks.ChunkEncoder(TOKENIZER, chunks.byte_level_breaks(), special=True, runs=True)
+    library, texts, asked = Tokenizer.from_file(TOKENIZER), [r[1] or "" for r in hard_rows], []
+    texts += ["".join(f" {a}é{b}, {b}{a}" for a in "abcdefgh" * 6 for b in "ijklmnop"), " \u00e9 \u00e9", "a  b   c", " x <|endoftext|> y", "\n\n a 's", "x" * 99]
+    whole = encode.library
+    encode.library = lambda some: asked.append(len(some)) or whole(some)
+    assert [x.tolist() for x in encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sum(asked) < len(encode.memo.at) / 2  # fewer texts than chunks
+    encode.sizes = encode.sizes + 1  # tokens that do not end with the chunks
+    encode._start()
+    assert [x.tolist() for x in encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_files_hold_the_library_ids(spark, hard_docs, hard_rows, no_docs, monkeypatch):
     from tokenizers import Tokenizer
     lib = Tokenizer.from_file(TOKENIZER)
