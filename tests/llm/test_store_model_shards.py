@@ -182,6 +182,31 @@ def test_the_query_knows_two_words_of_context(spark, tmp_path):
     assert score["a x b"] > score["a x d"] + 0.8
 
 
+def test_merged_parts_do_not_stay_on_disk(spark, hard_docs, tmp_path, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "SHARD_BYTES", 20_000)
+    names = iter(["ngrams", "ngram-parts-3-0", "ngram-parts-3-1", *(f"ngram-parts-2-{i}" for i in range(kneser_ney.TURNS)), "ngram-parts-1"])
+    monkeypatch.setattr(kneser_ney, "scratch", lambda _, name: f"{tmp_path}/{next(names)}")
+    kneser_ney.train(hard_docs, order=3)
+    assert not list(names)
+    left = {x.name for p in tmp_path.glob("ngram-parts-*") for x in p.iterdir() if x.is_dir()}
+    assert left == {f"turn={kneser_ney.TURNS}"}  # sums alone
+
+
+@pytest.mark.parametrize("n", [1, 40, 5000])
+def test_counts_in_tables(tmp_path, n):
+    rng = np.random.default_rng(n)
+    keys = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+    keys[n // 2:] += np.uint64(1 << 40)  # some share their other bits
+    keys = np.unique(np.concatenate([keys, keys[:9] ^ np.uint64(1 << 31)]))
+    counts = [rng.integers(0, 2, len(keys)) * rng.integers(0, top, len(keys)) for top in (4, 300, 2**40)]
+    strangers = np.setdiff1d(keys ^ np.uint64(1 << 60), keys)
+    kneser_ney._save(f"file://{tmp_path}", "x", 3, keys, *counts)
+    there, got = kneser_ney._look_up(kneser_ney._mapped(f"file://{tmp_path}", "x", 3), np.concatenate([keys, strangers]))
+    assert there.tolist() == [True] * len(keys) + [False] * len(strangers)
+    assert (got[:, :len(keys)] == np.array(counts)).all()
+    assert kneser_ney._mapped(f"file://{tmp_path}", "x", 4) is None
+
+
 def test_no_rows_to_score(no_docs):
     assert kneser_ney.train_and_score(no_docs, F.lit(True)).count() == 0
 
