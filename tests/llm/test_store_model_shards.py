@@ -245,3 +245,46 @@ def test_jump_shards(spark, hard_docs, hard_rows, shards):
 
 def test_no_documents_to_shard(no_docs):
     assert sharding.shard_documents(no_docs).count() == 0
+
+
+def test_many_tables_are_read_in_one_look_up(tmp_path, monkeypatch):
+    """A few reads a table and batch, not a search in each: there are as many tables as shards."""
+    rng = np.random.default_rng(7)
+    shards, n = 40, 6000
+    hashes = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+    counts = rng.integers(1, 70_000, len(hashes))
+    for k, (keys, c) in kneser_ney._shares(shards, hashes, hashes, counts):
+        if k != 3:
+            kneser_ney._save(f"file://{tmp_path}", "gram2", k, keys, c)
+    model = kneser_ney.Model(f"file://{tmp_path}", shards, 1, 1, 1, [[0.0] * 3] * 2, 1.0)
+    calls, look_up = [], kneser_ney._look_up
+    monkeypatch.setattr(kneser_ney, "_look_up", lambda tables, *a: calls.append(len(tables)) or look_up(tables, *a))
+    asked = rng.permutation(np.r_[hashes, ~hashes])
+    (got,) = model._find("gram2", asked, 1, model._dealt(shards, asked))
+    known = {h: c for h, c in zip(hashes.tolist(), counts.tolist()) if kneser_ney.shard_of(np.array([h], np.uint64), shards)[0] != 3}
+    assert got.tolist() == [known.get(h, 0) for h in asked.tolist()]
+    assert calls == [shards - 1]
+    monkeypatch.setattr(kneser_ney, "LOOK_UPS", 500)
+    assert model._find("gram2", asked, 1, model._dealt(shards, asked)).tolist() == [got.tolist()] and len(calls) > 10
+
+
+def test_order_where_leading_bits_are_the_same():
+    rng = np.random.default_rng(8)
+    low = rng.integers(0, 6, 3000).astype(np.uint64)
+    for keys in (rng.integers(0, 2**64, 3000, dtype=np.uint64), low << np.uint64(32), low, np.uint64(5) << np.uint64(32) | low << np.uint64(60)):
+        keys = np.r_[keys, keys[:100]]
+        order, first = kneser_ney._in_order(keys)
+        turned = kneser_ney._turned(keys)
+        assert np.array_equal(turned[order], np.sort(turned)) and np.array_equal(turned[order][first], np.unique(turned))
+        own, total = kneser_ney._sum_by(keys, np.ones(len(keys)))
+        assert dict(zip(own.tolist(), total.tolist())) == Counter(keys.tolist())
+
+
+def test_words_are_in_fewer_shards(hard_docs, monkeypatch, tmp_path):
+    monkeypatch.setattr(kneser_ney, "SHARD_BYTES", 20_000)
+    monkeypatch.setattr(kneser_ney, "scratch", lambda _, name, n=iter(range(99)): f"{tmp_path}/{name}-{next(n)}")
+    model = kneser_ney.train(hard_docs, order=3)
+    tables = {kind: {int(x.name) for p in tmp_path.glob(f"ngrams-*/{kind}") for x in p.iterdir() if not x.name.startswith(".")}
+              for kind in ("gram1", "context2", "gram2", "context3", "gram3")}
+    assert model.shards > 4 and max(tables["gram3"]) >= model.shards - 2
+    assert max(*tables["gram1"], *tables["context2"]) < kneser_ney.word_shards(model.shards)
